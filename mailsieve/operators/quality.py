@@ -122,19 +122,23 @@ def quality_summary(
     if kept is not None:
         parts.append(("kept", label_counts(kept)))
     cells = issues.select(F.lit("issue").alias("part"), F.col("issue").alias("key"), "n")
+    label = F.col("label").cast("double")
+    key = F.when(label == F.floor(label), label.cast("long").cast("string")).otherwise(
+        label.cast("string")
+    )
     for part, counts in parts:
-        key = F.coalesce(F.col("label").cast("string"), F.lit("null"))
         cells = cells.unionByName(counts.select(F.lit(part).alias("part"), key.alias("key"), "n"))
 
     def total(part: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("part") == part, F.col("n"))), F.lit(0))
 
     def as_map(part: str) -> Column:
-        # The labels and issue names are already counted: a handful of entries.
-        entry = F.when(F.col("part") == part, F.struct("key", "n"))
+        # The labels and issue names are already counted: a handful of entries. Rows
+        # without a label count towards the totals only.
+        entry = F.when((F.col("part") == part) & F.col("key").isNotNull(), F.struct("key", "n"))
         return F.map_from_entries(F.array_sort(F.collect_list(entry)))
 
-    summary = cells.agg(
+    return cells.agg(
         F.lit(input_path).alias("input_path"),
         F.lit(output_path).alias("clean_output_path"),
         total("input").alias("input_rows"),
@@ -146,7 +150,6 @@ def quality_summary(
         F.lit(not missing_columns(raw, REQUIRED_COLUMNS)).alias("required_columns_present"),
         *([(total("input") - total("kept")).alias("filtered_rows")] if kept is not None else []),
     )
-    return summary
 
 
 def assert_quality(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:

@@ -32,7 +32,11 @@ def totals_before(frame: DataFrame, order_col: str, totals: Sequence[str]) -> Da
     n_ranges = 1 << RANGE_BITS
     shares = [i / n_ranges for i in range(1, n_ranges)]
     bounds = frame.agg(F.percentile_approx(order_col, shares).alias("bounds"))
-    ranged = frame.withColumn("_range", _range_of(F.col(order_col), bounds.scalar()))
+    ranged = (
+        frame.withColumn("_bounds", bounds.scalar())
+        .withColumn("_range", _range_of(F.col(order_col), F.col("_bounds")))
+        .drop("_bounds")
+    )
     by_range = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")

@@ -151,16 +151,37 @@ def fit_tfidf(
     return TfidfModel(rows["term"].tolist(), idf.tolist(), tuple(ngram_range), stop)
 
 
-def vector_entries(frame: DataFrame, vector_col: str, model: TfidfModel, key: str) -> DataFrame:
-    """Non-zero entries of a TF-IDF vector as rows of key, term and weight."""
-    parts = F.unwrap_udt(vector_col)
-    entries = frame.select(key, parts.alias("_parts")).select(
-        key,
-        F.inline(F.arrays_zip(F.col("_parts.indices").alias("i"), F.col("_parts.values").alias("w"))),
-    )
+def vector_entries(
+    frame: DataFrame, vector_col: str, model: TfidfModel, keys: Sequence[str]
+) -> DataFrame:
+    """Non-zero entries of a TF-IDF vector as rows of keys, term and weight."""
+    parts = frame.select(*keys, F.unwrap_udt(vector_col).alias("_parts"))
+    zipped = F.arrays_zip(F.col("_parts.indices").alias("i"), F.col("_parts.values").alias("w"))
     # One literal, folded to an array when the query is optimised.
     terms = F.split(F.lit("\x01".join(model.terms)), "\x01")
-    return entries.select(key, F.get(terms, F.col("i")).alias("term"), F.col("w").alias("weight"))
+    return parts.select(*keys, F.inline(zipped).alias("i", "w")).select(
+        *keys, F.get(terms, F.col("i")).alias("term"), F.col("w").alias("weight")
+    )
+
+
+def naive_bayes_log_theta(
+    entries: DataFrame, n_terms: int, alpha: float = settings.NAIVE_BAYES_ALPHA
+) -> DataFrame:
+    """Smoothed log probability of each term in each class.
+
+    ``entries`` holds label, term and weight of the texts the vocabulary was fitted
+    on, so every term occurs at least once.
+    """
+    by_term = entries.groupBy("term").agg(
+        *(F.sum(F.when(F.col("label") == c, F.col("weight")).otherwise(0.0)).alias(f"class_{c}")
+          for c in settings.LABELS)
+    )
+    sums = by_term.unpivot("term", [f"class_{c}" for c in settings.LABELS], "class", "weight")
+    totals = entries.groupBy("label").agg(F.sum("weight").alias("class_total"))
+    labelled = sums.withColumn("label", F.substring("class", 7, 1).cast("int"))
+    joined = labelled.join(F.broadcast(totals), "label")  # one row per class
+    log_theta = F.log(F.col("weight") + alpha) - F.log(F.col("class_total") + alpha * n_terms)
+    return joined.select("label", "term", log_theta.alias("log_theta"))
 
 
 def manual_feature_stage(text_col: str = "text") -> SQLTransformer:
