@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve.functions import patterns as P
@@ -29,9 +29,9 @@ def preview(value: Column, size: int = 80) -> Column:
 def without_blocks(value: Column) -> Column:
     """Script and style blocks become one blank each."""
     text = as_text(value)
-    for guard, block in ((r"(?iu)</script>", P.SCRIPT_BLOCK), (r"(?iu)</style>", P.STYLE_BLOCK)):
-        text = F.when(text.rlike(guard), F.regexp_replace(text, block, " ")).otherwise(text)
-    return text
+    no_script = F.regexp_replace(text, P.SCRIPT_BLOCK, " ")
+    replaced = F.regexp_replace(no_script, P.STYLE_BLOCK, " ")
+    return F.when(text.contains("</"), replaced).otherwise(text)
 
 
 def without_tags(value: Column) -> Column:
@@ -47,15 +47,20 @@ def without_tags(value: Column) -> Column:
     return F.when(text.contains(">"), tagged).otherwise(text)
 
 
-def without_markup(value: Column) -> Column:
-    return decode_entities(without_tags(without_blocks(value)))
+def without_urls(value: Column) -> Column:
+    text = as_text(value)
+    lower = F.lower(text)
+    may_hold_url = lower.contains("http") | lower.contains("www.")
+    return F.when(may_hold_url, F.regexp_replace(text, P.URL, P.URL_TOKEN)).otherwise(text)
+
 
+def without_addresses(value: Column) -> Column:
+    text = as_text(value)
+    return F.when(text.contains("@"), F.regexp_replace(text, P.EMAIL, P.EMAIL_TOKEN)).otherwise(text)
 
-def with_entity_tokens(value: Column) -> Column:
-    """URLs, then e-mail addresses, then numbers become tokens."""
-    text = F.regexp_replace(as_text(value), P.URL, P.URL_TOKEN)
-    text = F.when(text.contains("@"), F.regexp_replace(text, P.EMAIL, P.EMAIL_TOKEN)).otherwise(text)
-    return F.regexp_replace(text, P.DIGITS, P.NUMBER_TOKEN)
+
+def without_numbers(value: Column) -> Column:
+    return F.regexp_replace(as_text(value), P.DIGITS, P.NUMBER_TOKEN)
 
 
 def letters_only(value: Column) -> Column:
@@ -74,18 +79,58 @@ def stopword_list(preset: str = "short", extra: Iterable[str] = ()) -> list[str]
     return words + [word.lower() for word in extra]
 
 
-def without_stopwords(value: Column, words: Iterable[str] | None = None) -> Column:
-    stop = list(P.SHORT_STOPWORDS if words is None else words)
-    tokens = F.split(strip(value), f"[{P.SPACE_CLASS}]+")
-    kept = F.filter(tokens, lambda token: (token != "") & ~token.isin(stop))
+def _drop_words(text: Column, words: list[str]) -> Column:
+    kept = F.filter(F.split(text, " "), lambda word: (word != "") & ~word.isin(words))
     return F.array_join(kept, " ")
 
 
-def clean_text(
-    value: Column,
+def without_stopwords(value: Column, words: Iterable[str] | None = None) -> Column:
+    """Words between white space of any kind, without the stop words, one blank apart."""
+    blanks = F.translate(as_text(value), P.WHITESPACE, " " * len(P.WHITESPACE))
+    return _drop_words(blanks, list(P.SHORT_STOPWORDS if words is None else words))
+
+
+Step = Callable[[Column], Column]
+
+MARKUP_STEPS: tuple[Step, ...] = (as_text, without_blocks, without_tags, decode_entities)
+# The order matters: a URL may hold an address, and both may hold digits.
+TOKEN_STEPS: tuple[Step, ...] = (without_urls, without_addresses, without_numbers)
+
+
+def with_steps(
+    frame: DataFrame, text_col: str, output_col: str, steps: Iterable[Step]
+) -> DataFrame:
+    """Apply text functions one after the other.
+
+    Some of them read their input more than once. As a column of its own each
+    result is computed once; the optimiser merges the steps that can be merged.
+    """
+    frame = frame.withColumn(output_col, F.col(text_col))
+    for step in steps:
+        frame = frame.withColumn(output_col, step(F.col(output_col)))
+    return frame
+
+
+def with_plain_text(frame: DataFrame, text_col: str, output_col: str = "plain_text") -> DataFrame:
+    """Add the text without markup and with character references decoded."""
+    return with_steps(frame, text_col, output_col, MARKUP_STEPS)
+
+
+def with_entity_tokens(frame: DataFrame, text_col: str, output_col: str) -> DataFrame:
+    """Add the text with tokens in place of URLs, e-mail addresses and numbers."""
+    return with_steps(frame, text_col, output_col, TOKEN_STEPS)
+
+
+def with_clean_text(
+    frame: DataFrame,
+    text_col: str = "text",
+    output_col: str = "clean_text",
     remove_common_words: bool = True,
     stopwords: Iterable[str] | None = None,
-) -> Column:
-    """Markup, entity tokens, letters only, stop words: the whole cleaner."""
-    text = letters_only(with_entity_tokens(without_markup(value)))
-    return without_stopwords(text, stopwords) if remove_common_words else text
+) -> DataFrame:
+    """Add the cleaned text: no markup, entity tokens, letters only, no stop words."""
+    steps = [*MARKUP_STEPS, *TOKEN_STEPS, letters_only]
+    if remove_common_words:
+        words = list(P.SHORT_STOPWORDS if stopwords is None else stopwords)
+        steps.append(lambda text: _drop_words(text, words))
+    return with_steps(frame, text_col, output_col, steps)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import settings
-from mailsieve.functions.text import clean_text
+from mailsieve.functions.text import with_clean_text
 from mailsieve.operators.dedupe import duplicate_keys, sized_keys
 from mailsieve.operators.normalise import normalise_messages
 from mailsieve.operators.quality import (
@@ -79,7 +79,7 @@ def preprocess_texts(
     """Add the cleaned text; drop rows whose cleaned text is too short, if asked."""
     text_col = text_column_by_suffix(frame) if text_col is None else text_col
     require_columns(frame, [text_col])
-    cleaned = frame.withColumn(output_col, clean_text(F.col(text_col)))
+    cleaned = with_clean_text(frame, text_col, output_col)
     if min_text_length > 0:
         cleaned = cleaned.filter(F.length(output_col) >= min_text_length)
     return cleaned

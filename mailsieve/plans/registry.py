@@ -20,7 +20,7 @@ from mailsieve.plans import scoring, training
 from mailsieve.plans.full_run import run_all
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
 from mailsieve.schema import ROW_KEY
-from mailsieve.session import scratch_path, written
+from mailsieve.session import scratch_path, spread, written
 from mailsieve.sources import readers, sinks
 from mailsieve.streaming.scoring import read_message_stream, score_stream, start_scoring
 
@@ -40,10 +40,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts are worked on: one file must not mean one task."""
+    return spread(table(spark, folder, name))
+
+
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the junk label (1 = low quality) where one is known."""
     known = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
-    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    documents = texts(spark, folder, "documents").select("doc_id", "source", "text")
     return documents.join(known, "doc_id", "left").select(
         F.col("doc_id").alias(ROW_KEY),
         "source",
@@ -277,7 +282,7 @@ def duplicate_row_keys(spark, folder):
 
 @query
 def whole_row_distinct(spark, folder):
-    return dedupe.distinct_rows(table(spark, folder, "documents").select("lang", "text"))
+    return dedupe.distinct_rows(texts(spark, folder, "documents").select("lang", "text"))
 
 
 def flat_summary(summary: DataFrame) -> DataFrame:
@@ -374,58 +379,58 @@ def seeded_shuffle(spark, folder):
 
 @query
 def pages_without_markup(spark, folder):
-    pages = table(spark, folder, "pages")
-    return pages.select("page_id", text.without_markup(F.col("html")).alias("text"))
+    pages = texts(spark, folder, "pages")
+    return text.with_plain_text(pages, "html", "text").select("page_id", "text")
 
 
 @query
 def entity_tokens(spark, folder):
-    documents = table(spark, folder, "documents")
-    return documents.select("doc_id", text.with_entity_tokens(F.col("text")).alias("text"))
+    documents = texts(spark, folder, "documents").select("doc_id", "text")
+    return text.with_entity_tokens(documents, "text", "text")
 
 
 @query
 def entity_tokens_pages(spark, folder):
     """URLs stand next to markup here, so they run on to the next blank."""
-    pages = table(spark, folder, "pages")
-    both = F.concat_ws(" ", "url", "html")
-    return pages.select("page_id", text.with_entity_tokens(both).alias("text"))
+    pages = texts(spark, folder, "pages")
+    both = pages.select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    return text.with_entity_tokens(both, "text", "text")
 
 
 @query
 def letters_only(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     return documents.select("doc_id", text.letters_only(F.col("text")).alias("text"))
 
 
 @query
 def stopwords_removed(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     words = text.stopword_list("short", extra=["Que", "AUX"])
     return documents.select("doc_id", text.without_stopwords(F.col("text"), words).alias("text"))
 
 
 @query
 def clean_text_documents(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = texts(spark, folder, "documents").select("doc_id", "text")
     return preprocess_texts(documents).drop("text")
 
 
 @query
 def clean_text_pages(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", "html")
+    pages = texts(spark, folder, "pages").select("page_id", "html")
     return preprocess_texts(pages, "html").drop("html")
 
 
 @query
 def clean_text_min_length(spark, folder):
-    chats = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    chats = texts(spark, folder, "conversations").select("conv_id", "turn", "text")
     return preprocess_texts(chats, min_text_length=100).drop("text")
 
 
 @query
 def preprocessing_job(spark, folder):
-    documents = table(spark, folder, "documents").select("lang", "text")
+    documents = texts(spark, folder, "documents").select("lang", "text")
     stored = run_preprocessing_job(documents, scratch_path(spark, "preprocessing"))
     return stored.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("clean_text")).alias("characters")
@@ -434,13 +439,13 @@ def preprocessing_job(spark, folder):
 
 @query
 def manual_features(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = texts(spark, folder, "documents").select("doc_id", "text")
     return feat.with_manual_features(documents).drop("text")
 
 
 @query
 def manual_features_pages(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", F.concat("url", "html").alias("text"))
+    pages = texts(spark, folder, "pages").select("page_id", F.concat("url", "html").alias("text"))
     return feat.with_manual_features(pages).drop("text")
 
 
@@ -448,7 +453,7 @@ def manual_features_pages(spark, folder):
 
 
 def tfidf_input(spark, folder) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return texts(spark, folder, "documents").select("doc_id", "text")
 
 
 @query
@@ -547,7 +552,7 @@ def prediction_alignment(spark, folder):
 @query
 def aligned_accuracy(spark, folder):
     truth = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     guess = (feat.character_count(F.col("text"), "!") >= 3).cast("int").alias("prediction")
     predictions = documents.select("doc_id", guess)
     joined = evaluation.align_predictions(truth, predictions, "doc_id")
@@ -562,7 +567,7 @@ def roc_auc(spark, folder):
 
 @query
 def sigmoid_score(spark, folder):
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     margin = 40 * feat.uppercase_ratio(F.col("text")) - 1
     return documents.select(
         "doc_id", numeric.round_half_even(numeric.sigmoid(margin)).alias("spam_score")
@@ -574,8 +579,8 @@ def sigmoid_score(spark, folder):
 
 def naive_bayes_model(spark, folder) -> PipelineModel:
     """Naive Bayes on the cleaned texts of the balanced messages."""
-    rows = balanced(spark, folder).select("label", text.clean_text(F.col("text")).alias("text"))
-    rows = written(rows, "model-rows")
+    rows = balanced(spark, folder).select("label", "text")
+    rows = written(text.with_clean_text(rows, "text", "text"), "model-rows")
     model = terms.fit_tfidf(rows, max_features=2000, stopwords=[])
     features = PipelineModel(model.stages("text", "features"))
     vectors = features.transform(rows).select("label", "features")
@@ -588,7 +593,7 @@ def naive_bayes_model(spark, folder) -> PipelineModel:
 @query
 def batch_scores(spark, folder):
     model = naive_bayes_model(spark, folder)
-    documents = table(spark, folder, "documents")
+    documents = texts(spark, folder, "documents")
     return scoring.score_texts(model, documents, keep=["doc_id"])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mailsieve.functions.labels import display_name
 from mailsieve.functions.numeric import round_half_even, sigmoid
-from mailsieve.functions.text import clean_text
+from mailsieve.functions.text import with_clean_text
 from mailsieve.sources.readers import read_text_files, texts_to_frame
 
 # Sample messages for a quick look at a model.
@@ -43,8 +43,8 @@ def score_texts(
 ) -> DataFrame:
     """Clean and score every row. Works the same on a table and on a stream."""
     # The model's stages read a column called "text".
-    cleaned = frame.select(*keep, clean_text(F.col(text_col)).alias("text"))
-    scored = model.transform(cleaned)
+    texts = frame.select(*keep, F.col(text_col).alias("text"))
+    scored = model.transform(with_clean_text(texts, "text", "text"))
     label = F.col(model.stages[-1].getOrDefault("predictionCol")).cast("int")
     return scored.select(
         *keep,

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import settings
-from mailsieve.functions.text import clean_text
+from mailsieve.functions.text import with_clean_text
 from mailsieve.operators.evaluation import compare_models, long_predictions, model_metrics
 from mailsieve.operators.sampling import capped_sample, stratified_split
 from mailsieve.operators.terms import combine_features, fit_tfidf, manual_feature_stage
@@ -122,7 +122,7 @@ def train_models(
         row_key, "label", "text"
     )
     if clean:
-        rows = rows.withColumn("text", clean_text(F.col("text")))
+        rows = with_clean_text(rows, "text", "text")
     sizes = require_two_classes(rows)
     if sample_size and sum(sizes.values()) > sample_size:
         rows = capped_sample(rows, sample_size, row_key=row_key, seed=seed)

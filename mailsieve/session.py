@@ -62,3 +62,12 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Give heavy per-row work on a few files as many tasks as there are cores.
+
+    Tables with at least that many partitions are left as they are.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
