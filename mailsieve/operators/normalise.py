@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from mailsieve.functions.labels import label_name, numeric_label
 from mailsieve.functions.text import strip
@@ -19,7 +20,10 @@ def normalise_messages(frame: DataFrame, row_key: str = ROW_KEY) -> DataFrame:
     present = {
         name: F.col(name) if name in frame.columns else F.lit("") for name in STANDARD_COLUMNS
     }
-    label = numeric_label(present["label"])
+    # A label stored as a number is compared as it is, so that filters reach the scan.
+    label_type = frame.select(present["label"]).schema[0].dataType
+    is_number = isinstance(label_type, NumericType)
+    label = present["label"].cast("double") if is_number else numeric_label(present["label"])
     fields = {
         **present,
         "label": label,

@@ -14,11 +14,14 @@ RANGE_BITS = 10
 def _range_of(value: Column, bounds: Column) -> Column:
     """How many of the sorted bounds are not above the value, by binary search."""
     steps = F.array(*(F.lit(1 << bit) for bit in reversed(range(RANGE_BITS))))
-    return F.aggregate(
+    found = F.aggregate(
         steps,
         F.lit(0),
         lambda low, step: F.when(F.get(bounds, low + step - 1) <= value, low + step).otherwise(low),
     )
+    # Never null, and declared so: otherwise a null check on the whole search is
+    # pushed down to the rows the values were made from.
+    return F.coalesce(found, F.lit(0))
 
 
 def totals_before(frame: DataFrame, order_col: str, totals: Sequence[str]) -> DataFrame:

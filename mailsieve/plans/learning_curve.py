@@ -12,7 +12,7 @@ from mailsieve import settings
 from mailsieve.functions.numeric import round_half_even
 from mailsieve.operators.evaluation import metrics_from_cells
 from mailsieve.operators.sampling import seeded_hash
-from mailsieve.plans.training import classifier, feature_model
+from mailsieve.plans.training import ROWS_PER_TASK, classifier, feature_model
 from mailsieve.schema import ROW_KEY
 from mailsieve.session import written
 
@@ -65,6 +65,7 @@ def learning_curve(
             )
             fit_on = vectors.filter(F.col("fold") != held_out)
             n_train = fit_on.count()
+            fit_on = fit_on.coalesce(1 + n_train // ROWS_PER_TASK)
             for name in names:
                 fitted = classifier(name, n_train).fit(fit_on)
                 part = F.when(F.col("fold") == held_out, "validation").otherwise("train")

@@ -585,9 +585,7 @@ def naive_bayes_model(spark, folder) -> PipelineModel:
     features = PipelineModel(model.stages("text", "features"))
     vectors = features.transform(rows).select("label", "features")
     fitted = training.classifier("naive_bayes", 1).fit(vectors)
-    path = scratch_path(spark, "naive-bayes")
-    PipelineModel([*features.stages, fitted]).write().save(path)
-    return scoring.load_model(path)
+    return PipelineModel([*features.stages, fitted])
 
 
 @query
@@ -599,7 +597,9 @@ def batch_scores(spark, folder):
 
 @query
 def stream_scores(spark, folder):
-    model = naive_bayes_model(spark, folder)
+    path = scratch_path(spark, "naive-bayes")
+    naive_bayes_model(spark, folder).write().save(path)
+    model = scoring.load_model(path)
     schema = table(spark, folder, "documents").schema
     arriving = read_message_stream(spark, folder, schema, pathGlobFilter="documents.parquet")
     scored = score_stream(model, arriving, keep=["doc_id"])

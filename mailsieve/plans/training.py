@@ -20,6 +20,9 @@ from mailsieve.session import written
 from mailsieve.sources.readers import training_rows
 from mailsieve.sources.sinks import write_csv, write_json
 
+#: Fewer rows than this are not worth a solver task of their own.
+ROWS_PER_TASK = 20_000
+
 # Model names.
 MODEL_NAMES = ["naive_bayes", "logistic_regression", "linear_svm"]
 
@@ -140,6 +143,9 @@ def train_models(
     train = vectors.filter(~F.col("is_test"))
     test = vectors.filter("is_test")
     train_rows, test_rows = train.count(), test.count()
+    # Each solver step is a job over all partitions: a small table gets few of them,
+    # a large one keeps what it has.
+    train = train.coalesce(1 + train_rows // ROWS_PER_TASK)
 
     models = {}
     scored = test
