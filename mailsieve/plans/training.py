@@ -165,7 +165,7 @@ def train_models(
 def save_training(result: Training, output_folder: str) -> str:
     """Store every model, the best one once more, and the reports."""
     for name, model in result.models.items():
-        model.write().overwrite().save(f"{output_folder}/models/{name}_pipeline")
+        model.write().overwrite().save(f"{output_folder}/models/{name}")
     best_path = f"{output_folder}/models/spam_classifier"
     result.best_model.write().overwrite().save(best_path)
     metrics_path = write_csv(result.metrics, f"{output_folder}/model_metrics", single_file=True)
