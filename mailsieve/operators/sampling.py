@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from mailsieve import settings
 from mailsieve.schema import ROW_KEY
 
-#: Hash prefixes of four hexadecimal digits: at most 65,536 counts per class.
-PREFIX_DIGITS = 4
+#: Hash prefixes of three hexadecimal digits: at most 4,096 counts per class leave
+#: each task, and the rows ranked in the end are one in 4,096.
+PREFIX_DIGITS = 3
 
 Quota = Callable[[DataFrame], DataFrame]
 

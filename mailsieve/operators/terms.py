@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -10,38 +11,53 @@ from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     CountVectorizerModel,
     ElementwiseProduct,
-    NGram,
     Normalizer,
-    RegexTokenizer,
     SQLTransformer,
-    StopWordsRemover,
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsieve import settings
 from mailsieve.functions import patterns as P
 from mailsieve.functions.features import MANUAL_FEATURES
-from mailsieve.functions.text import as_text, stopword_list
+from mailsieve.functions.text import stopword_list
 
 
-def words(text: Column, stopwords: Iterable[str]) -> Column:
-    """Lower-cased words of two or more characters that are no stop words."""
-    found = F.regexp_extract_all(F.lower(as_text(text)), F.lit(P.WORD), 0)
-    stop = list(stopwords)
-    return F.filter(found, lambda word: ~word.isin(stop)) if stop else found
+def _grams_sql(n: int) -> str:
+    """Runs of ``n`` neighbouring words, joined by a blank."""
+    if n == 1:
+        return "_words"
+    shorter = _grams_sql(n - 1)
+    starts = f"slice({shorter}, 1, greatest(size({shorter}) - 1, 0))"
+    ends = f"slice(_words, {n}, greatest(size(_words) - {n - 1}, 0))"
+    return f"zip_with({starts}, {ends}, (a, b) -> concat(a, ' ', b))"
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` neighbouring words, joined by a blank."""
-    grams = tokens
-    for k in range(1, n):
-        starts = F.slice(grams, F.lit(1), F.greatest(F.size(grams) - 1, F.lit(0)))
-        ends = F.slice(tokens, F.lit(k + 1), F.greatest(F.size(tokens) - k, F.lit(0)))
-        grams = F.zip_with(starts, ends, lambda a, b: F.concat(a, F.lit(" "), b))
-    return grams
+def term_stage(
+    text_col: str = "text",
+    output_col: str = "terms",
+    ngram_range: Sequence[int] = settings.NGRAM_RANGE,
+    stopwords: Iterable[str] | None = None,
+) -> SQLTransformer:
+    """Text to an array of terms: lower-cased words without stop words, and n-grams of them.
+
+    The same stage makes the vocabulary and, stored with a model, the vectors.
+    """
+    stop = stopword_list("english") if stopwords is None else stopwords
+    # Entries that are not a single word, such as "don't", can never match one.
+    listed = ", ".join(f"'{word}'" for word in stop if re.fullmatch(r"\w+", word))
+    words = f"regexp_extract_all(lower(coalesce({text_col}, '')), r'{P.WORD}', 0)"
+    if listed:
+        words = f"filter({words}, word -> word NOT IN ({listed}))"
+    low, high = ngram_range
+    grams = ", ".join(_grams_sql(n) for n in range(low, high + 1))
+    return SQLTransformer(
+        statement=f"""
+        SELECT * EXCEPT (_words), concat({grams}) AS {output_col}
+        FROM (SELECT *, {words} AS _words FROM __THIS__)"""
+    )
 
 
 def with_terms(
@@ -51,11 +67,7 @@ def with_terms(
     stopwords: Iterable[str] | None = None,
 ) -> DataFrame:
     """Add the array column ``terms``."""
-    stop = stopword_list("english") if stopwords is None else list(stopwords)
-    low, high = ngram_range
-    worded = frame.withColumn("_words", words(F.col(text_col), stop))
-    grams = [ngrams(F.col("_words"), n) for n in range(low, high + 1)]
-    return worded.withColumn("terms", F.concat(*grams)).drop("_words")
+    return term_stage(text_col, "terms", ngram_range, stopwords).transform(frame)
 
 
 def term_counts(frame: DataFrame) -> DataFrame:
@@ -81,8 +93,26 @@ def term_counts(frame: DataFrame) -> DataFrame:
 
 
 def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> DataFrame:
-    """The ``max_features`` most frequent terms; ties go to the lower term."""
-    return term_counts(frame).orderBy(F.desc("tf"), "term").limit(max_features)
+    """The ``max_features`` most frequent terms; ties go to the lower term.
+
+    Counting the terms per frequency tells how frequent a term must be to get in.
+    Only those are sorted, instead of the top of every partition in one task. There
+    are at most sqrt(2 * occurrences) different frequencies.
+    """
+    counts = term_counts(frame)
+    downwards = Window.orderBy(F.desc("tf"))
+    per_frequency = (
+        counts.groupBy("tf")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("df").alias("df"))
+        .withColumn("running", F.sum("n").over(downwards))
+    )
+    enough = per_frequency.filter(F.col("running") >= max_features)
+    # Carrying df along keeps both uses of the counts alike: they share one shuffle.
+    lowest = enough.agg(F.max(F.struct("tf", "df")).alias("last")).select(
+        F.coalesce("last.tf", F.lit(0)).alias("tf")
+    )
+    frequent = counts.filter(F.col("tf") >= lowest.scalar())
+    return frequent.orderBy(F.desc("tf"), "term").limit(max_features)
 
 
 @dataclass(frozen=True)
@@ -96,21 +126,7 @@ class TfidfModel:
 
     def stages(self, text_col: str = "text", output_col: str = "tfidf") -> list[Transformer]:
         """Spark ML stages from text to a unit-length TF-IDF vector; no shuffle."""
-        low, high = self.ngram_range
-        names = [f"_grams_{n}" for n in range(low, high + 1)]
-        split = RegexTokenizer(
-            inputCol=text_col, outputCol="_split", pattern=P.WORD, gaps=False, toLowercase=True
-        )
-        kept = StopWordsRemover(
-            inputCol="_split", outputCol="_words", stopWords=self.stopwords, locale="en_US"
-        )
-        grams = [
-            NGram(n=n, inputCol="_words", outputCol=name)
-            for n, name in zip(range(low, high + 1), names, strict=True)
-        ]
-        joined = SQLTransformer(
-            statement=f"SELECT *, concat({', '.join(names)}) AS _terms FROM __THIS__"
-        )
+        split = term_stage(text_col, "_terms", self.ngram_range, self.stopwords)
         counted = CountVectorizerModel.from_vocabulary(
             self.terms, inputCol="_terms", outputCol="_counts"
         )
@@ -118,9 +134,10 @@ class TfidfModel:
             scalingVec=Vectors.dense(self.idf), inputCol="_counts", outputCol="_weights"
         )
         unit = Normalizer(p=2.0, inputCol="_weights", outputCol=output_col)
-        dropped = ", ".join(["_split", "_words", *names, "_terms", "_counts", "_weights"])
-        tidy = SQLTransformer(statement=f"SELECT * EXCEPT ({dropped}) FROM __THIS__")
-        return [split, kept, *grams, joined, counted, weighted, unit, tidy]
+        tidy = SQLTransformer(
+            statement="SELECT * EXCEPT (_terms, _counts, _weights) FROM __THIS__"
+        )
+        return [split, counted, weighted, unit, tidy]
 
     def transform(
         self, frame: DataFrame, text_col: str = "text", output_col: str = "tfidf"

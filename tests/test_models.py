@@ -1,8 +1,10 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
 from pyspark.sql import functions as F
 
 from mailsieve.functions.text import stopword_list
@@ -155,15 +157,27 @@ def test_words_and_ngrams(spark):
     assert [r["terms"] for r in rows[1:]] == [[], [], ["one"]]
 
 
-def test_stage_terms_equal_column_terms(spark):
-    frame = spark.createDataFrame([("The Cat sat on THE mat; 3 cats, été İx",), ("because of x1 y2",)], "text string")
+def test_terms_equal_those_of_the_library_stages(spark):
+    texts = ["The Cat sat on THE mat; 3 cats, été don't Íx", "because of x1 y2", ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
     stop = stopword_list("english")
-    model = terms.fit_tfidf(frame, stopwords=stop)
-    staged = frame
-    for stage in model.stages()[:5]:
-        staged = stage.transform(staged)
-    expected = [r["terms"] for r in terms.with_terms(frame, stopwords=stop).collect()]
-    assert [r["_terms"] for r in staged.collect()] == expected
+    stages = [
+        RegexTokenizer(inputCol="text", outputCol="split", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False),
+        StopWordsRemover(inputCol="split", outputCol="words", stopWords=stop),
+        NGram(n=2, inputCol="words", outputCol="pairs"),
+    ]
+    expected = [r["words"] + r["pairs"] for r in PipelineModel(stages).transform(frame).collect()]
+    assert [r["terms"] for r in terms.with_terms(frame).collect()] == expected
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 6, 7, 50])
+def test_vocabulary_of_any_size(spark, size):
+    texts = ["a1 a1 a1 b1 b1 c1", "c1 d1 e1 f1", "f1 f1"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    termed = terms.with_terms(frame, ngram_range=(1, 1), stopwords=[])
+    counts = Counter(" ".join(texts).split())
+    expected = sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:size]
+    assert [(r["term"], r["tf"]) for r in terms.vocabulary(termed, size).collect()] == expected
 
 
 def test_log_theta_equals_the_fitted_model(spark, dataset):
