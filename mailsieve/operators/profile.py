@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailsieve.functions.labels import display_name, is_valid_label
+from mailsieve.functions.labels import display_name
 from mailsieve.functions.numeric import round_half_even, safe_divide, share_percent
+from mailsieve.settings import LABELS
 
 HISTOGRAM_BINS = 50
 
@@ -132,7 +133,7 @@ def length_histogram(
     counts. All bins are listed, empty ones with zero.
     """
     counts = (
-        frame.filter(is_valid_label(F.col("label")))
+        frame.filter(F.col("label").isin(*LABELS))
         .groupBy(F.col("label").cast("int").alias("label"), F.length(text_col).alias("length"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

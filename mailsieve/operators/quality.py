@@ -78,7 +78,7 @@ def issue_counts(frame: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH) -
 
 def usable_rows(frame: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH) -> DataFrame:
     """Rows with a known label and a text of at least ``min_length`` characters."""
-    return frame.filter(is_valid_label(F.col("label")) & (F.length("text") >= min_length))
+    return frame.filter(F.col("label").isin(*settings.LABELS) & (F.length("text") >= min_length))
 
 
 def with_final_labels(frame: DataFrame) -> DataFrame:

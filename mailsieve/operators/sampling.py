@@ -73,6 +73,16 @@ def stratified_share(test_share: float = settings.TEST_SHARE) -> Quota:
     return quota
 
 
+def _by_class(table: DataFrame, *names: str) -> Column:
+    """A table of one row per class as a single map, for use inside other queries."""
+    entry = F.struct("class", F.struct(*names))
+    return table.agg(F.map_from_entries(F.collect_list(entry)).alias("by_class")).scalar()
+
+
+def _of_class(by_class: Column, klass: Column, name: str) -> Column:
+    return F.try_element_at(by_class, klass).getField(name)
+
+
 def flag_smallest(
     frame: DataFrame,
     quota: Quota,
@@ -85,16 +95,16 @@ def flag_smallest(
 ) -> DataFrame:
     """Mark in each class the ``quota`` rows with the lowest seeded hash.
 
-    ``classes`` is the closed list of classes, so the tables sent to every
-    executor hold at most that many rows. Without ``class_col`` the whole table is
+    ``classes`` is the closed list of classes: quotas and cuts are single values with
+    one entry per class, computed ahead of the scan that uses them. Without ``class_col`` the whole table is
     one class. ``keys`` may hold the class and row key columns of the same rows in a
     narrower table, which is then read to find the cut.
     """
     if class_col is None:
         classes = (0,)
-    klass = F.lit(0) if class_col is None else F.col(class_col)
+    klass = F.lit(0) if class_col is None else F.col(class_col).cast("int")
     keyed = (frame if keys is None else keys).select(
-        klass.cast("int").alias("class"),
+        klass.alias("class"),
         F.col(row_key).alias("key"),
         seeded_hash(F.col(row_key), seed).alias("hash"),
     ).filter(F.col("class").isin(*classes))
@@ -102,35 +112,32 @@ def flag_smallest(
 
     counts = keyed.groupBy("class", "prefix").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("class").agg(F.sum("n").alias("size"))
-    quotas = quota(sizes).select("class", "quota")
+    quotas = _by_class(quota(sizes), "quota")
+
     upto = Window.partitionBy("class").orderBy("prefix")
+    need = _of_class(quotas, F.col("class"), "quota") - (F.col("running") - F.col("n"))
     cut = (
         counts.withColumn("running", F.sum("n").over(upto))
-        .join(F.broadcast(quotas), "class")
-        .withColumn("need", F.col("quota") - (F.col("running") - F.col("n")))
+        .withColumn("need", need)
         .filter((F.col("need") > 0) & (F.col("need") <= F.col("n")))
-        .select("class", "prefix", "need")
     )
+    cuts = _by_class(cut, "prefix", "need")
+
     order = Window.partitionBy("class").orderBy("hash", "key")
-    boundary = (
-        keyed.join(F.broadcast(cut), ["class", "prefix"])
+    # Not an equality: on a joined input that would become a key of its join.
+    last = (
+        keyed.filter(F.col("hash").startswith(_of_class(cuts, F.col("class"), "prefix")))
         .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") == F.col("need"))
-        .select(
-            F.col("class").alias("_class"),
-            F.col("hash").alias("_cut_hash"),
-            F.col("key").alias("_cut_key"),
-        )
+        .filter(F.col("place") == _of_class(cuts, F.col("class"), "need"))
     )
-    row_hash = seeded_hash(F.col(row_key), seed)
-    below = (row_hash < F.col("_cut_hash")) | (
-        (row_hash == F.col("_cut_hash")) & (F.col(row_key) <= F.col("_cut_key"))
-    )
-    return (
-        frame.join(F.broadcast(boundary), klass.cast("int") == F.col("_class"), "left")
-        .withColumn(flag, F.coalesce(below, F.lit(False)))
-        .drop("_class", "_cut_hash", "_cut_key")
+    lasts = _by_class(last, "hash", "key")
+
+    # One comparison, by hash and then by key, with one mention of the subquery.
+    place = F.struct(
+        seeded_hash(F.col(row_key), seed).alias("hash"), F.col(row_key).alias("key")
     )
+    taken = place <= F.try_element_at(lasts, klass)
+    return frame.withColumn(flag, F.coalesce(taken, F.lit(False)))
 
 
 def take_smallest(frame: DataFrame, quota: Quota, **options) -> DataFrame:

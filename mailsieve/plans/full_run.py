@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from mailsieve.operators.normalise import normalise_messages, union_sources
 from mailsieve.operators.profile import source_label_report
 from mailsieve.operators.sampling import balance_classes
-from mailsieve.functions.labels import is_valid_label
 from mailsieve.plans.quality_job import QualityTables, run_quality_job
 from mailsieve.plans.training import Training, save_training, train_models
 from mailsieve.schema import ROW_KEY
+from mailsieve.settings import LABELS
 from mailsieve.sources.sinks import write_json, write_table
 
 
@@ -24,24 +24,31 @@ class FullRun:
     training: Training | None
 
 
+def with_known_label(frame: DataFrame) -> DataFrame:
+    return frame.filter(F.col("label").isin(*LABELS))
+
+
 def load_sources(
     sources: Sequence[DataFrame], output_folder: str, row_key: str = ROW_KEY
 ) -> DataFrame:
-    """Merge labelled sources; store them whole and balanced, per source, with a report.
+    """Merge labelled sources and store them, with a report of rows per source and label.
 
-    The row key must be unique over all sources.
+    They are stored whole (``labelled``), balanced one by one (``balanced_sources``)
+    and balanced together (``balanced``). The row key must be unique over all sources.
     """
     spark = sources[0].sparkSession
-    merged = union_sources(*(normalise_messages(source, row_key) for source in sources))
+    normal = [normalise_messages(source, row_key) for source in sources]
+    merged = union_sources(*normal)
     labelled_path = write_table(merged, f"{output_folder}/labelled", partition_by="source")
     labelled = spark.read.schema(merged.schema).parquet(labelled_path)
-    valid = labelled.filter(is_valid_label(F.col("label")))
-    balanced_path = write_table(
-        balance_classes(valid, row_key=row_key), f"{output_folder}/balanced", partition_by="source"
-    )
-    balanced = spark.read.schema(merged.schema).parquet(balanced_path)
+
+    for number, source in enumerate(normal):
+        one = balance_classes(with_known_label(source), row_key=row_key)
+        write_table(one, f"{output_folder}/balanced_sources/{number}")
+    all_sources = balance_classes(with_known_label(labelled), row_key=row_key)
+    balanced_path = write_table(all_sources, f"{output_folder}/balanced", partition_by="source")
     write_json(source_label_report(labelled), f"{output_folder}/source_report")
-    return balanced
+    return spark.read.schema(merged.schema).parquet(balanced_path)
 
 
 def run_all(

@@ -66,10 +66,15 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return quality.clean_messages(messages(spark, folder))
 
 
+def kept_keys(rows: DataFrame) -> DataFrame:
+    """Label and key of the rows to keep, stored: sampling reads them several times."""
+    return written(quality.clean_keys(rows), "kept-keys")
+
+
 def balanced(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned, balanced messages: duplicates and sample are decided on keys alone."""
     rows = messages(spark, folder)
-    keys = sampling.balance_classes(quality.clean_keys(rows)).select(ROW_KEY)
+    keys = sampling.balance_classes(kept_keys(rows)).select(ROW_KEY)
     return quality.with_final_labels(rows.join(keys, ROW_KEY, "left_semi"))
 
 
@@ -310,7 +315,7 @@ def flat_summary(summary: DataFrame) -> DataFrame:
 @query
 def quality_summary(spark, folder):
     rows = messages(spark, folder)
-    balanced_keys = sampling.balance_classes(quality.clean_keys(rows))
+    balanced_keys = sampling.balance_classes(kept_keys(rows))
     summary = quality.quality_summary(rows, balanced_keys, quality.issue_counts(rows))
     return flat_summary(summary)
 
@@ -352,13 +357,12 @@ def balanced_sample(spark, folder):
 
 @query
 def capped_sample(spark, folder):
-    keys = quality.clean_keys(messages(spark, folder))
-    return sampling.capped_sample(keys, 60)
+    return sampling.capped_sample(kept_keys(messages(spark, folder)), 60)
 
 
 @query
 def stratified_split(spark, folder):
-    return sampling.stratified_split(quality.clean_keys(messages(spark, folder)))
+    return sampling.stratified_split(kept_keys(messages(spark, folder)))
 
 
 @query

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mailsieve.functions.labels import is_valid_label, label_name, merge_phishing
+from mailsieve.functions.labels import label_name, merge_phishing, numeric_label
 from mailsieve.functions.text import as_text
 from mailsieve.operators.normalise import normalise_messages
 from mailsieve.schema import ROW_KEY, require_columns
 from mailsieve.session import written
+from mailsieve.settings import LABELS
 from mailsieve.sources.catalogue import archive_catalogue
 
 _BLANK_LINE = r"\r?\n\r?\n"
@@ -133,7 +134,9 @@ def texts_to_frame(spark: SparkSession, texts: Sequence[str]) -> DataFrame:
 def training_rows(frame: DataFrame) -> DataFrame:
     """Rows with a known label; null texts are empty."""
     require_columns(frame, ["label", "text"])
-    valid = frame.filter(is_valid_label(F.col("label").try_cast("double")))
-    return valid.withColumns(
-        {"label": F.col("label").cast("double").cast("int"), "text": as_text(F.col("text"))}
+    label = F.col("label")
+    if not isinstance(frame.schema["label"].dataType, T.NumericType):
+        label = numeric_label(label)
+    return frame.filter(label.isin(*LABELS)).withColumns(
+        {"label": label.cast("int"), "text": as_text(F.col("text"))}
     )

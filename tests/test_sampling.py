@@ -108,10 +108,18 @@ def test_full_rows_are_not_shuffled(spark, tmp_path):
     path = str(tmp_path / "rows")
     frame, _ = classes(spark, {0: 60, 1: 25})
     frame.withColumn("text", F.lit("x")).write.parquet(path)
-    plan = sampling.balance_classes(spark.read.parquet(path))._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan ==") :]
-    top = physical[: physical.index("BroadcastExchange")]
-    assert "Exchange hashpartitioning" not in top and "Window" not in top
+    balanced = sampling.balance_classes(spark.read.parquet(path))
+    plan = balanced._jdf.queryExecution().executedPlan().toString()
+    main_query = plan[: plan.index("Subquery")]
+    assert "Exchange" not in main_query and "Join" not in plan
+
+
+def test_classes_may_come_from_a_join(spark):
+    frame, data = classes(spark, {0: 70, 1: 25})
+    labels = frame.select(F.col("row_index").alias("id"), "label")
+    joined = frame.select("row_index").join(labels, F.col("row_index") == F.col("id"))
+    out = sampling.balance_classes(joined)
+    assert keys_of(out, 0) == lowest([k for k, c in data if c == 0], 25)
 
 
 def test_shuffle_is_seeded(spark):

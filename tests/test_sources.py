@@ -143,6 +143,12 @@ def test_full_run_with_training(spark, tmp_path):
     assert result.training.metrics.first()["f1_spam"] == 1.0
     assert (tmp_path / "training" / "models" / "spam_classifier").exists()
     assert spark.read.parquet(str(tmp_path / "labelled")).count() == 70
+    assert spark.read.parquet(str(tmp_path / "balanced")).count() == 60
+    # Each source here has one class only, which is then the smallest.
+    sizes = [spark.read.parquet(str(tmp_path / "balanced_sources" / n)).count() for n in "01"]
+    assert sizes == [30, 40]
+    report = spark.read.json(str(tmp_path / "source_report")).collect()
+    assert {(r["source"], r["label"]): r["n"] for r in report}["all", "all"] == 70
 
 
 def test_shared_folder_is_the_configured_one(spark):
