@@ -11,6 +11,7 @@ from mailsieve.functions.labels import label_from_word
 from mailsieve.functions.numeric import round_half_even, safe_divide
 from mailsieve.operators.running import totals_before
 from mailsieve.schema import require_columns
+from mailsieve.session import written
 
 # Ranking order of the metric table.
 RANKING = ["f1_spam", "recall_spam", "precision_spam"]
@@ -141,7 +142,8 @@ def roc_auc(frame: DataFrame, label_col: str = "label", score_col: str = "score"
         F.count_if(F.col(label_col) == 1).alias("spam"),
         F.count_if(F.col(label_col) == 0).alias("ham"),
     )
-    ranked = totals_before(by_score, "score", ["ham"])
+    # Stored: the running totals read it three times, and it is all they need.
+    ranked = totals_before(written(by_score, "score-counts"), "score", ["ham"])
     won = F.col("spam").cast("double") * (F.col("ham_before") + F.col("ham") / 2.0)
     sums = ranked.agg(
         F.sum(won).alias("won"), F.sum("spam").alias("n_spam"), F.sum("ham").alias("n_ham")

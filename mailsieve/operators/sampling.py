@@ -38,6 +38,17 @@ def smallest_class(sizes: DataFrame) -> DataFrame:
     return sizes.withColumn("quota", F.min("size").over(_all_rows()))
 
 
+def class_sizes(frame: DataFrame, class_col: str = "label") -> DataFrame:
+    """Rows per class, with the smallest class size and the number of classes."""
+    sizes = frame.groupBy(class_col).agg(F.count(F.lit(1)).alias("size"))
+    return sizes.withColumns(
+        {
+            "smallest": F.min("size").over(_all_rows()),
+            "n_classes": F.count(F.lit(1)).over(_all_rows()),
+        }
+    )
+
+
 def capped_classes(sample_size: int) -> Quota:
     """An equal share of ``sample_size`` per class, if there are more rows than that."""
 

@@ -77,7 +77,7 @@ def term_counts(frame: DataFrame) -> DataFrame:
     are counted without grouping by text. Frequent terms are combined per task
     before the shuffle.
     """
-    ordered = frame.select(F.array_sort("terms").alias("terms"))
+    ordered = frame.select(F.sort_array("terms").alias("terms"))
     marked = F.transform(
         "terms",
         lambda term, i: F.struct(

@@ -358,6 +358,9 @@ FROM done""",
 SELECT row_index, source, CAST(label AS INTEGER) AS label, label_name, text FROM ranked
 WHERE rk <= (SELECT min(n_label) FROM ranked)""",
     "balanced_sample": f"WITH {BALANCED} SELECT * FROM balanced",
+    "class_sizes": f"""WITH {CLEAN}, sizes AS (
+  SELECT label, count(*) AS size FROM cleaned GROUP BY label)
+SELECT label, size, min(size) OVER () AS smallest, count(*) OVER () AS n_classes FROM sizes""",
     "capped_sample": f"""WITH {RANKED}
 SELECT label, row_index FROM ranked
 WHERE n_all <= 60 OR rk <= greatest(1, 60 // (SELECT count(DISTINCT label) FROM ranked))""",
@@ -461,4 +464,5 @@ FROM documents""",
     "batch_scores": SCORES,
     "stream_scores": SCORES + f" WHERE {strip('d.original')} <> ''",
 }
+ORACLES["evaluation_job"] = ORACLES["metrics_compare"]
 ORACLES["json_report"] = ORACLES["source_label_report"]

@@ -17,6 +17,7 @@ from mailsieve.operators import dedupe, evaluation, profile, quality, sampling,
 from mailsieve.operators.normalise import normalise_messages, union_sources
 from mailsieve.plans import learning_curve as curve
 from mailsieve.plans import scoring, training
+from mailsieve.plans.evaluation_job import run_evaluation_job
 from mailsieve.plans.full_run import run_all
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
 from mailsieve.schema import ROW_KEY
@@ -355,6 +356,13 @@ def balanced_sample(spark, folder):
     return balanced(spark, folder)
 
 
+@query
+def class_sizes(spark, folder):
+    """Rows per class beside the smallest class and the number of classes."""
+    keys = kept_keys(messages(spark, folder))
+    return sampling.class_sizes(keys)
+
+
 @query
 def capped_sample(spark, folder):
     return sampling.capped_sample(kept_keys(messages(spark, folder)), 60)
@@ -519,6 +527,13 @@ def metrics_compare(spark, folder):
     return rounded(evaluation.evaluate_columns(predictions, "label", RULES))
 
 
+@query
+def evaluation_job(spark, folder):
+    path, output = scratch_path(spark, "predictions"), scratch_path(spark, "evaluation")
+    sinks.write_csv(rule_predictions(spark, folder).drop(ROW_KEY), path)
+    return rounded(run_evaluation_job(spark, path, "label", RULES, output))
+
+
 @query
 def best_model(spark, folder):
     metrics = evaluation.model_metrics(long_rules(spark, folder))

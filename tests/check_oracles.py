@@ -20,7 +20,7 @@ TABLES = (
 
 def comparable(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
+        return None if math.isnan(value) else value
     if hasattr(value, "as_tuple"):
         return round(float(value), 9)
     return value

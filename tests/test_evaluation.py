@@ -71,6 +71,22 @@ def test_confusion_rows_include_empty_cells(spark):
     assert rows[1]["true_label"] == "not spam" and rows[1]["predicted_label"] == "spam"
 
 
+def test_evaluation_job(spark, tmp_path):
+    from mailsieve.plans.evaluation_job import run_evaluation_job
+
+    path = tmp_path / "p.csv"
+    path.write_text("label,nb,svm\n0,0,ham\n0,1,ham\n1,1,spam\n1,0, Spam\n1,1,phish\n")
+    out = str(tmp_path / "out")
+    rows = run_evaluation_job(spark, str(path), "label", ["nb", "svm"], out).collect()
+    assert [(r["model"], r["tp"], r["fp"]) for r in rows] == [("svm", 3, 0), ("nb", 2, 1)]
+    stored = spark.read.option("header", True).csv(f"{out}/model_comparison").collect()
+    assert [r["model"] for r in stored] == ["svm", "nb"]
+    assert spark.read.json(f"{out}/model_metrics").count() == 2
+    assert spark.read.option("header", True).csv(f"{out}/confusion_matrix").count() == 8
+    with pytest.raises(ValueError):
+        run_evaluation_job(spark, str(path), "label", ["absent"], out)
+
+
 def test_alignment(spark):
     truth = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "k int, label int")
     guess = spark.createDataFrame([(2, 1), (3, 0), (4, 1)], "k int, prediction int")
