@@ -14,7 +14,7 @@ from mailsieve.operators.evaluation import metrics_from_cells
 from mailsieve.operators.sampling import seeded_hash
 from mailsieve.plans.training import ROWS_PER_TASK, classifier, feature_model
 from mailsieve.schema import ROW_KEY
-from mailsieve.session import written
+from mailsieve.session import side_by_side, written
 
 _HASH_RANGE = 1 << 32
 
@@ -53,33 +53,38 @@ def learning_curve(
         ),
         "curve-rows",
     )
-    parts = []
-    for size in sizes:
-        for held_out in range(folds):
-            in_train = (F.col("fold") != held_out) & (F.col("place") < size)
-            train = rows.filter(in_train)
-            features = feature_model(train, "text", max_features, ngram_range)
-            used = rows.filter(in_train | (F.col("fold") == held_out))
-            vectors = written(
-                features.transform(used).select("label", "features", "fold"), "curve-vectors"
+
+    def predictions_of(run: tuple[float, int]) -> list[DataFrame]:
+        size, held_out = run
+        in_train = (F.col("fold") != held_out) & (F.col("place") < size)
+        features = feature_model(rows.filter(in_train), "text", max_features, ngram_range)
+        used = rows.filter(in_train | (F.col("fold") == held_out))
+        vectors = written(
+            features.transform(used).select("label", "features", "fold"), "curve-vectors"
+        )
+        train = vectors.filter(F.col("fold") != held_out)
+        n_train = train.count()
+        train = train.coalesce(1 + n_train // ROWS_PER_TASK)
+        part = F.when(F.col("fold") == held_out, "validation").otherwise("train")
+        return [
+            classifier(name, n_train)
+            .fit(train)
+            .transform(vectors)
+            .select(
+                F.lit(name).alias("model"),
+                F.lit(float(size)).alias("size"),
+                F.lit(held_out).alias("fold"),
+                F.lit(n_train).alias("train_rows"),
+                part.alias("part"),
+                "label",
+                F.col(name).cast("int").alias("prediction"),
             )
-            fit_on = vectors.filter(F.col("fold") != held_out)
-            n_train = fit_on.count()
-            fit_on = fit_on.coalesce(1 + n_train // ROWS_PER_TASK)
-            for name in names:
-                fitted = classifier(name, n_train).fit(fit_on)
-                part = F.when(F.col("fold") == held_out, "validation").otherwise("train")
-                parts.append(
-                    fitted.transform(vectors).select(
-                        F.lit(name).alias("model"),
-                        F.lit(float(size)).alias("size"),
-                        F.lit(held_out).alias("fold"),
-                        F.lit(n_train).alias("train_rows"),
-                        part.alias("part"),
-                        "label",
-                        F.col(name).cast("int").alias("prediction"),
-                    )
-                )
+            for name in names
+        ]
+
+    runs = [(size, held_out) for size in sizes for held_out in range(folds)]
+    found = side_by_side(dataset.sparkSession, predictions_of, runs)
+    parts = [part for run_parts in found for part in run_parts]
     predictions = reduce(DataFrame.unionByName, parts)
     keys = ["model", "size", "fold", "train_rows", "part"]
     label, guess = F.col("label"), F.col("prediction")

@@ -16,7 +16,7 @@ from mailsieve.operators.evaluation import compare_models, long_predictions, mod
 from mailsieve.operators.sampling import capped_sample, stratified_split
 from mailsieve.operators.terms import combine_features, fit_tfidf, manual_feature_stage
 from mailsieve.schema import ROW_KEY
-from mailsieve.session import written
+from mailsieve.session import side_by_side, written
 from mailsieve.sources.readers import training_rows
 from mailsieve.sources.sinks import write_csv, write_json
 
@@ -147,12 +147,14 @@ def train_models(
     # a large one keeps what it has.
     train = train.coalesce(1 + train_rows // ROWS_PER_TASK)
 
+    fitted = side_by_side(
+        train.sparkSession, lambda name: classifier(name, train_rows).fit(train), names
+    )
     models = {}
     scored = test
-    for name in names:
-        fitted = classifier(name, train_rows).fit(train)
-        models[name] = PipelineModel([*features.stages, fitted])
-        scored = fitted.transform(scored)
+    for name, model in zip(names, fitted, strict=True):
+        models[name] = PipelineModel([*features.stages, model])
+        scored = model.transform(scored)
     predictions = written(
         scored.select(row_key, "label", *(F.col(name).cast("int") for name in names)),
         "test-predictions",

@@ -4,8 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from functools import cache
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
+
+T = TypeVar("T")
+R = TypeVar("R")
 
 # Settings that hold for any data size; parallelism is left to the cluster.
 SESSION_CONF = {
@@ -33,6 +41,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="mailsieve-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -43,9 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="mailsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -64,6 +75,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def side_by_side(
+    spark: SparkSession, work: Callable[[T], R], items: Sequence[T], threads: int = 4
+) -> list[R]:
+    """Run independent Spark work for each item, several at a time, results in order.
+
+    One small job after another leaves a cluster idle between them.
+    """
+    with ThreadPool(max(1, min(threads, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
+
+
 def spread(frame: DataFrame) -> DataFrame:
     """Give heavy per-row work on a few files as many tasks as there are cores.
 

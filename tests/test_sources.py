@@ -155,6 +155,21 @@ def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+class FakeSession:
+    """A session without the folder setting."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_only_a_local_session_makes_its_own_folder():
+    folder = session.shared_folder(FakeSession("local[2]"))
+    assert folder == session.shared_folder(FakeSession("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(FakeSession("spark://host:7077"))
+
+
 def test_spread_leaves_partitioned_tables_alone(spark):
     assert session.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
     wide = spark.range(10, numPartitions=9)
