@@ -53,7 +53,7 @@ def map_arrow(
     return frame.mapInArrow(work, schema)
 
 
-def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows whose texts sum up to about ``slice_bytes``.
 
     Keeps the memory of a worker independent of the batch size; a single longer text

@@ -5,16 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsieve.llm.bpe import decode, encode
 from mailsieve.llm.common import table
 from mailsieve.llm.exact_dedup import copy_groups
+from mailsieve.llm.packing import pack
 from mailsieve.llm.secret_scan import STRONG, scan_secrets, span_list
 from mailsieve.llm.simhash import near_groups
+from mailsieve.llm.token_counts import count_flat, part_number, write_flat
+from mailsieve.session import scratch_path
+
+
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary, as installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary_path()).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode(table(spark, sf_dir, "documents"), vocabulary_path())
+    return decode(encoded, vocabulary_path()).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document of the flat token files that ``documents`` are written to."""
+    folder = scratch_path(spark, "token-files")
+    names = write_flat(table(spark, sf_dir, "documents"), vocabulary_path(), folder)
+    counts = count_flat(spark, folder).withColumn("part", part_number("path"))
+    return counts.join(names, ["part", "ordinal"], "left").select(
+        "doc_id", "part", "ordinal", "start", "n_tokens", "ended"
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -40,6 +83,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_packing": op4_packing,
+    "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash": op8_simhash,
     "op10_secrets": op10_secrets,
 }
