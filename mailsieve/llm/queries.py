@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsieve.llm import licenses, quality, topk, toxicity
 from mailsieve.llm.bpe import decode, encode
 from mailsieve.llm.common import table
 from mailsieve.llm.exact_dedup import copy_groups
@@ -22,6 +23,16 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    grammar = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judged(toxicity.score(docs, grammar), 0.5)
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(table(spark, sf_dir, "documents"))
 
@@ -38,6 +49,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode(table(spark, sf_dir, "documents"), vocabulary_path())
     return decode(encoded, vocabulary_path()).select(
@@ -66,6 +81,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.judged(quality.score(docs, model), 0.3)
+
+
 def _count(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
@@ -82,15 +103,34 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_licenses": op2_licenses,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
+    "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
 }
 
 ORACLES = {
+    "op5_topk": """
+        WITH vectors AS (
+          SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+          FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (
+          SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                 vec_id, score
+          FROM scored)
+        SELECT * FROM ranked WHERE rank <= 10""",
     "op3_exact_dedup": """
         WITH keyed AS (
           SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
