@@ -231,31 +231,37 @@ def vocabulary(path: str) -> Vocabulary:
 
 @lru_cache(maxsize=2)
 def _piece_cache(path: str) -> PieceCache:
-    return PieceCache(vocabulary(path).merge)
+    merge = vocabulary(path).merge
+    return PieceCache(lambda pieces: [ids.tobytes() for ids in merge(pieces)])
 
 
-def _encoder(path: str, mark: bool):
+def _encoder(path: str, mark: bool, kind: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark_id = vocabulary(path).mark_id if mark else None
         for batch in batches:
             for run in text_slices(batch, 1):
                 texts = [t or "" for t in run.column(1).to_pylist()]
-                ids = [row[0].astype("<u4", copy=False).tobytes() for row in encode_texts(texts, _piece_cache(path), mark_id)]
+                ids = [row[0].astype(kind, copy=False).tobytes() for row in encode_texts(texts, _piece_cache(path), mark_id)]
                 yield pa.RecordBatch.from_arrays([run.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return work
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", mark: bool = True
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    mark: bool = True,
+    bits: int = 32,
 ) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit integers, end to end) of each row.
+    """doc_id and ids (little-endian unsigned integers of ``bits`` bits, end to end) of each row.
 
     ``mark=False`` reads the end-of-text mark inside a text as ordinary text.
     """
     return map_arrow(
         docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")),
-        _encoder(path, mark),
+        _encoder(path, mark, f"<u{bits // 8}"),
         f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids binary",
     )
 

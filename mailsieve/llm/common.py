@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mailsieve.session import written
 
-__all__ = ["ascii_lower", "held_out", "map_arrow", "table", "text_slices", "written"]
+__all__ = ["ascii_lower", "held_out", "map_arrow", "table", "text_slices", "worker_path", "written"]
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -41,19 +41,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def map_arrow(
-    frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package, from wherever it was started."""
-    env = frame.sparkSession.sparkContext.environment
+def worker_path(spark: SparkSession) -> None:
+    """Let workers import this package, from wherever the session was started."""
+    env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if _ROOT not in paths:
         paths.insert(0, _ROOT)
     env["PYTHONPATH"] = os.pathsep.join(paths)
+
+
+def map_arrow(
+    frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with a package that workers can import."""
+    worker_path(frame.sparkSession)
     return frame.mapInArrow(work, schema)
 
 
-def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows whose texts sum up to about ``slice_bytes``.
 
     Keeps the memory of a worker independent of the batch size; a single longer text

@@ -33,12 +33,6 @@ SEPARATOR = 50256
 BLOCK = 1 << 20
 
 
-def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [np.frombuffer(ids, "<u4").astype("<u2").tobytes() for ids in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
-
-
 def write_flat(
     docs: DataFrame, vocabulary: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
     separator: int = SEPARATOR,
@@ -49,11 +43,10 @@ def write_flat(
     Rows keep the partitions and the order of ``docs``, which should be a plain scan, so
     that file numbers and places follow from the scan alone.
     """
-    ids = encode(docs, vocabulary, id_col, text_col, mark=False).select("ids")
     # The text writer puts out bytes as they are, and the separator after each row.
     ending = separator.to_bytes(2, "little").decode("latin-1")
     (
-        map_arrow(ids, _narrow, "ids binary")
+        encode(docs, vocabulary, id_col, text_col, mark=False, bits=16)
         .select(F.col("ids").cast("string"))
         .write.option("encoding", "ISO-8859-1")
         .option("lineSep", ending)
