@@ -26,6 +26,7 @@ an empty result; extra columns of any name are not read.
 
 from __future__ import annotations
 
+import os
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from mailsieve.llm.common import map_arrow, text_slices
-from mailsieve.llm.pretokens import MARK, PieceCache, encode_texts
+from mailsieve.llm.pretokens import MARK, PieceCache, encode_texts, is_space
 
 SIZE = 2048
 END_ID = 1
@@ -172,17 +173,38 @@ class _Stream:
         self.held = sum(map(len, self.bits))
 
 
+_LINES = 2000
+
+
 @lru_cache(maxsize=2)
 def _piece_cache(path: str) -> tuple[PieceCache, int | None]:
+    """A cache of pieces that the tokenizer library encodes, and the id of the mark.
+
+    Pieces go to the library as the lines of one text, which is several times as fast as one
+    by one: a line end is a piece and an id of its own beside a piece that is not of spaces.
+    """
+    # Spark gives a task one core.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-
-    def encode(pieces: list[str]) -> list[np.ndarray]:
-        found = []
-        for a in range(0, len(pieces), 4096):
-            rows = tokenizer.encode_batch_fast(pieces[a : a + 4096], add_special_tokens=False)
-            found += [np.array(row.ids, dtype="<u4") for row in rows]
+    (line_end,) = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        found: list = [None] * len(pieces)
+        lines = [i for i, p in enumerate(pieces) if not is_space(p[-1])]
+        for a in range(0, len(lines), _LINES):
+            run = lines[a : a + _LINES]
+            (row,) = tokenizer.encode_batch_fast(["\n".join([pieces[i] for i in run])], add_special_tokens=False)
+            ids = np.array(row.ids, dtype="<u4")
+            data, ends = ids.tobytes(), [*(np.flatnonzero(ids == line_end) * 4).tolist(), 4 * len(ids)]
+            at = 0
+            for i, end in zip(run, ends, strict=True):
+                found[i] = data[at:end]
+                at = end + 4
+        for i, piece in enumerate(pieces):
+            if found[i] is None:
+                found[i] = np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         return found
 
     return PieceCache(encode), tokenizer.token_to_id(MARK)

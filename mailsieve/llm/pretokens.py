@@ -19,7 +19,7 @@ import pyarrow as pa
 from tokenizers.pre_tokenizers import ByteLevel
 
 MARK = "<|endoftext|>"
-CACHE = 200_000
+CACHE = 300_000
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = range(5)
 _APOSTROPHE, _BLANK = 0x27, 0x20
 
@@ -119,6 +119,15 @@ class Cut:
         self.pieces = array.dictionary.to_pylist()
 
 
+@cache
+def is_space(last: str) -> bool:
+    """Whether a piece with this last character is a run of spaces.
+
+    Other pieces hold one space at most, their first character.
+    """
+    return bool(_kinds(np.array([ord(last)]))[0] == _SPACE)
+
+
 def spread_rows(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """values[s : s + n] for every start s and size n, one after the other."""
     ends = np.cumsum(sizes)
@@ -127,9 +136,12 @@ def spread_rows(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
 
 
 class PieceCache:
-    """Encodes pieces, keeping the ids of recent ones: two generations of ``limit`` pieces."""
+    """Encodes pieces, keeping the ids of recent ones: two generations of ``limit`` pieces.
+
+    ``encode`` gives the ids of each piece as little-endian 32-bit integers.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], limit: int = CACHE):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE):
         self._encode, self._limit = encode, limit
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -141,7 +153,7 @@ class PieceCache:
         if missing:
             encoded = self._encode([pieces[i] for i in missing])
             for i, ids in zip(missing, encoded, strict=True):
-                found[i] = ids.tobytes()
+                found[i] = ids
         if len(young) + len(pieces) > self._limit:
             self._young, self._old = {}, young
         self._young.update(zip(pieces, found, strict=True))

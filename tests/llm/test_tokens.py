@@ -38,13 +38,17 @@ ODD_LETTERS = [
 def test_random_texts_encode_as_the_library_does(library):
     draw = random.Random(1)
     words = vocabulary(PATH)
-    cache = PieceCache(words.merge, limit=500)
+    cache = PieceCache(lambda pieces: [ids.tobytes() for ids in words.merge(pieces)], limit=500)
+    by_library, mark_id = packing._piece_cache(PATH)
+    assert mark_id == words.mark_id
     for _ in range(400):
         texts = ["".join(draw.choice(ODD_LETTERS) for _ in range(draw.randrange(40))) for _ in range(6)]
         for text, row in zip(texts, encode_texts(texts, cache, words.mark_id), strict=True):
             assert row[0].tolist() == library_ids(library, text), repr(text)
             assert row[1].sum() == len(row[0])
             assert words.decode(row[0]) == text
+        for text, row in zip(texts, encode_texts(texts, by_library, mark_id), strict=True):
+            assert row[0].tolist() == library_ids(library, text), repr(text)
 
 
 def test_long_pieces_and_both_trees(library):
