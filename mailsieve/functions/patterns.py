@@ -20,6 +20,7 @@ URL_TOKEN = " urltoken "
 EMAIL_TOKEN = " emailtoken "
 NUMBER_TOKEN = " numbertoken "
 
+# Regular expressions whose matches the results depend on.
 SCRIPT_BLOCK = r"(?isu)<script[^>]*>.*?</script>"
 STYLE_BLOCK = r"(?isu)<style[^>]*>.*?</style>"
 TAG = r"<[^>]+>"
@@ -39,7 +40,14 @@ UPPERCASE_RUN = r"\p{IsUppercase}+"
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 # The short English stop-word list.
-SHORT_STOPWORDS = (
-    "a an and are as at be by for from has he in is it its of on or "
-    "that the this to was were will with you your"
-).split()
+SHORT_STOPWORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it",
+    "its", "of", "on", "or", "that", "the", "this", "to", "was", "were", "will", "with", "you",
+    "your",
+]
+
+#: Languages whose stop words ship with Spark.
+STOPWORD_LANGUAGES = [
+    "danish", "dutch", "english", "finnish", "french", "german", "hungarian", "italian",
+    "norwegian", "portuguese", "russian", "spanish", "swedish", "turkish",
+]

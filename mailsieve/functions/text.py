@@ -68,14 +68,14 @@ def letters_only(value: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(as_text(value)), P.NOT_LETTERS, " "))
 
 
-def stopword_list(preset: str = "short", extra: Iterable[str] = ()) -> list[str]:
-    """``short``: 29 words; ``english``: the list that ships with Spark."""
-    if preset == "short":
+def stopword_list(language: str = "short", extra: Iterable[str] = ()) -> list[str]:
+    """``short``: 29 English words; else the list of that language that ships with Spark."""
+    if language == "short":
         words = list(P.SHORT_STOPWORDS)
-    elif preset == "english":
-        words = list(StopWordsRemover.loadDefaultStopWords("english"))
+    elif language in P.STOPWORD_LANGUAGES:
+        words = list(StopWordsRemover.loadDefaultStopWords(language))
     else:
-        raise ValueError(f"unknown stop-word list: {preset}")
+        raise ValueError(f"unknown stop-word list: {language}")
     return words + [word.lower() for word in extra]
 
 

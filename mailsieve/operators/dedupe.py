@@ -2,7 +2,9 @@
 
 Groups of equal rows are found on a hash of the text with a plain aggregate, so a
 group that holds a third of all rows shrinks to one record per task before the
-shuffle. Rows then meet their verdict on the unique row key, which cannot skew.
+shuffle. Only groups with later copies go on: their rows are found by a join of narrow
+records, and the copies, usually few, meet the full rows in one join on the unique row
+key. How that join is done is left to adaptive execution, which measures both sides.
 """
 
 from __future__ import annotations
@@ -14,10 +16,6 @@ from pyspark.sql import functions as F
 
 from mailsieve.functions.text import as_text
 from mailsieve.schema import ROW_KEY
-from mailsieve.session import written
-
-#: Most row keys sent to every executor: 16 MB of longs.
-BROADCAST_KEYS = 2_000_000
 
 
 def text_digest(text: Column) -> Column:
@@ -38,32 +36,35 @@ def first_rows(
     )
 
 
-def keep_first(
+def duplicate_keys(
     frame: DataFrame,
     keys: Sequence[str] = ("label",),
     text_col: str = "text",
     row_key: str = ROW_KEY,
 ) -> DataFrame:
-    """Keep the lowest row key of each group of equal rows."""
-    firsts = first_rows(frame, keys, text_col, row_key).select(row_key)
-    return frame.join(firsts, row_key, "left_semi")
+    """Row keys of all later copies. No join side holds a text."""
+    group = F.struct(*keys, text_digest(F.col(text_col)).alias("text_digest"))
+    narrow = frame.select(F.col(row_key).alias("_key"), F.xxhash64(group).alias("_hash"), group.alias("_group"))
+    firsts = (
+        narrow.groupBy("_hash", "_group")
+        .agg(F.min("_key").alias("_first"), F.count(F.lit(1)).alias("copies"))
+        .filter("copies > 1")
+        .select(F.col("_hash").alias("_of_hash"), F.col("_group").alias("_of_group"), "_first")
+    )
+    # The hash of the group is never null, its fields may be: labels can be unknown.
+    same = (F.col("_hash") == F.col("_of_hash")) & F.col("_group").eqNullSafe(F.col("_of_group"))
+    later = narrow.join(firsts, same & (F.col("_key") > F.col("_first")), "left_semi")
+    return later.select(F.col("_key").alias(row_key))
 
 
-def duplicate_keys(
+def keep_first(
     frame: DataFrame,
     keys: Sequence[str] = ("label",),
     text_col: str = "text",
     row_key: str = ROW_KEY,
 ) -> DataFrame:
-    """Row keys of all later copies. Both join sides hold nothing but keys."""
-    firsts = first_rows(frame, keys, text_col, row_key).select(row_key)
-    return frame.select(row_key).join(firsts, row_key, "left_anti")
-
-
-def sized_keys(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Write a key table and mark it for broadcast if it turned out small enough."""
-    table = written(keys, "row-keys")
-    return F.broadcast(table) if table.count() <= limit else table
+    """Keep the lowest row key of each group of equal rows."""
+    return frame.join(duplicate_keys(frame, keys, text_col, row_key), row_key, "left_anti")
 
 
 def mark_duplicates(
@@ -74,8 +75,8 @@ def mark_duplicates(
     row_key: str = ROW_KEY,
 ) -> DataFrame:
     """Add a flag that is true on every copy but the first."""
-    firsts = first_rows(frame, keys, text_col, row_key).select(row_key, F.lit(False).alias(flag))
-    return frame.join(firsts, row_key, "left").withColumn(flag, F.coalesce(flag, F.lit(True)))
+    later = duplicate_keys(frame, keys, text_col, row_key).withColumn(flag, F.lit(True))
+    return frame.join(later, row_key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def distinct_rows(frame: DataFrame) -> DataFrame:

@@ -69,6 +69,14 @@ def model_metrics(predictions: DataFrame) -> DataFrame:
     return metrics_from_cells(confusion_counts(predictions))
 
 
+def lenient_metrics(frame: DataFrame, true_col: str, pred_cols: Sequence[str]) -> DataFrame:
+    """Metrics over the rows with two known labels, and ``unparsed``: how many have not."""
+    predictions = long_predictions(frame, true_col, pred_cols, strict=False)
+    unknown = F.col("label").isNull() | F.col("prediction").isNull()
+    counted = predictions.groupBy("model").agg(F.count_if(unknown).alias("unparsed"))
+    return model_metrics(predictions).join(counted, "model")  # one row per model
+
+
 def compare_models(metrics: DataFrame) -> DataFrame:
     """Best model first; sort columns that are absent are skipped."""
     order = [F.desc(name) for name in RANKING if name in metrics.columns]

@@ -100,24 +100,31 @@ def column_profile(frame: DataFrame) -> DataFrame:
 def length_describe(frame: DataFrame, text_col: str = "text", by: str | None = None) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of the text length.
 
-    The quartiles keep one counter per distinct length, so their state grows with
-    the longest text and not with the number of rows.
+    Rows are counted per distinct length first, combined before the shuffle. All figures
+    come from those counts, whose number is bounded by the longest text.
     """
-    lengths = frame.select(*([by] if by else []), F.length(text_col).alias("length"))
-    grouped = lengths.groupBy(*([by] if by else []))
-    stats = grouped.agg(
-        F.count("length").alias("count"),
-        round_half_even(F.avg("length")).alias("mean"),
-        round_half_even(F.stddev_samp("length")).alias("std"),
+    keys = [by] if by else []
+    counts = (
+        frame.select(*keys, F.length(text_col).alias("length"))
+        .groupBy(*keys, "length")
+        .agg(F.count("length").alias("n"))
+    )
+    length, n = F.col("length").cast("decimal(38,0)"), F.col("n")
+    stats = counts.groupBy(*keys).agg(
+        F.sum("n").alias("count"),
+        F.sum(length * n).cast("double").alias("total"),
+        F.sum(length * length * n).cast("double").alias("squares"),
         F.min("length").alias("min"),
-        F.percentile("length", [0.25, 0.5, 0.75]).alias("quartiles"),
+        F.percentile("length", [0.25, 0.5, 0.75], F.when(n > 0, n).otherwise(F.lit(0))).alias("quartiles"),
         F.max("length").alias("max"),
     )
+    count = F.nullif(F.col("count"), F.lit(0))
+    deviations = F.greatest(F.lit(0.0), F.col("squares") - F.col("total") * F.col("total") / count)
     return stats.select(
-        *([by] if by else []),
+        *keys,
         "count",
-        "mean",
-        "std",
+        round_half_even(F.col("total") / count).alias("mean"),
+        round_half_even(F.sqrt(deviations / F.nullif(count - 1, F.lit(0)))).alias("std"),
         "min",
         *(F.col("quartiles")[i].alias(name) for i, name in enumerate(["p25", "p50", "p75"])),
         "max",

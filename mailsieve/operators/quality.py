@@ -25,25 +25,19 @@ def row_rules(min_length: int = settings.MIN_TEXT_LENGTH) -> dict[str, Column]:
     }
 
 
-def find_issues(
-    frame: DataFrame,
-    min_length: int = settings.MIN_TEXT_LENGTH,
-    row_key: str = ROW_KEY,
-    duplicates: DataFrame | None = None,
+def flag_rows(
+    frame: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH, row_key: str = ROW_KEY
 ) -> DataFrame:
-    """One record per row and broken rule, from one pass over the rows.
+    """Add one flag per rule: the table from which audit, filter and counts follow.
 
-    ``duplicates`` may hold the row keys of later copies, as found before.
+    The only join of full rows is the one with the keys of later copies.
     """
-    rule = "duplicate_label_text"
     flagged = frame.withColumns(row_rules(min_length))
-    if duplicates is None:
-        flagged = mark_duplicates(flagged, rule, row_key=row_key)
-    else:
-        found = duplicates.withColumn(rule, F.lit(True))
-        flagged = flagged.join(found, row_key, "left").withColumn(
-            rule, F.coalesce(rule, F.lit(False))
-        )
+    return mark_duplicates(flagged, "duplicate_label_text", row_key=row_key)
+
+
+def issues_of(flagged: DataFrame, row_key: str = ROW_KEY) -> DataFrame:
+    """One record per row and broken rule of a flagged table."""
     broken = F.array_compact(F.array(*(F.when(F.col(name), F.lit(name)) for name in ISSUES)))
     return flagged.select(
         F.explode(broken).alias("issue"),
@@ -56,6 +50,23 @@ def find_issues(
     )
 
 
+def clean_of(flagged: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH) -> DataFrame:
+    """The rows of a flagged table that are usable and first of their copies.
+
+    Rows of equal label and text pass or fail the other rules together, so the first of
+    all copies is the first of the usable ones.
+    """
+    kept = usable_rows(flagged, min_length).filter(~F.col("duplicate_label_text"))
+    return with_final_labels(kept.drop(*ISSUES))
+
+
+def find_issues(
+    frame: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH, row_key: str = ROW_KEY
+) -> DataFrame:
+    """One record per row and broken rule, from one pass over the rows."""
+    return issues_of(flag_rows(frame, min_length, row_key), row_key)
+
+
 def issue_counts(frame: DataFrame, min_length: int = settings.MIN_TEXT_LENGTH) -> DataFrame:
     """Number of records per issue, without building the issue table.
 
@@ -122,19 +133,20 @@ def quality_summary(
     if kept is not None:
         parts.append(("kept", label_counts(kept)))
     cells = issues.select(F.lit("issue").alias("part"), F.col("issue").alias("key"), "n")
+    # A label column may hold anything: the maps list the known labels and one sum of the rest.
     label = F.col("label").cast("double")
-    key = F.when(label == F.floor(label), label.cast("long").cast("string")).otherwise(
-        label.cast("string")
+    key = F.when(is_valid_label(label), label.cast("long").cast("string")).when(
+        label.isNotNull(), F.lit("other")
     )
     for part, counts in parts:
-        cells = cells.unionByName(counts.select(F.lit(part).alias("part"), key.alias("key"), "n"))
+        known = counts.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
+        cells = cells.unionByName(known.select(F.lit(part).alias("part"), "key", "n"))
 
     def total(part: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("part") == part, F.col("n"))), F.lit(0))
 
     def as_map(part: str) -> Column:
-        # The labels and issue names are already counted: a handful of entries. Rows
-        # without a label count towards the totals only.
+        # At most four entries. Rows without a label count towards the totals only.
         entry = F.when((F.col("part") == part) & F.col("key").isNotNull(), F.struct("key", "n"))
         return F.map_from_entries(F.array_sort(F.collect_list(entry)))
 
@@ -152,7 +164,7 @@ def quality_summary(
     )
 
 
-def assert_quality(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
+def rule_violations(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row: number of rows, and for each rule the rows that break it."""
     return frame.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -161,3 +173,12 @@ def assert_quality(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
             for name, rule in rules.items()
         ),
     )
+
+
+def require_quality(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """The table itself, or an error that names the broken rules and how often."""
+    found = rule_violations(frame, rules).first().asDict()
+    broken = {name: found[f"violations_{name}"] for name in rules if found[f"violations_{name}"]}
+    if broken:
+        raise ValueError(f"quality rules broken: {broken}")
+    return frame

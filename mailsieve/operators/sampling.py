@@ -2,8 +2,9 @@
 
 Rows are ordered by a seeded hash of their key and the lowest ones are taken. The
 cut is found without ranking the table: rows are counted per hash prefix, the
-prefix that holds the cut is picked from those counts, and only the rows of that
-one prefix are ranked. The full rows are then compared with one boundary per
+prefix that holds the cut is picked from those counts, the rows of that prefix
+are counted again by a longer one, and only the rows of the last prefix are ranked:
+one in four thousand million. The full rows are then compared with one boundary per
 class, in the scan itself: they are never shuffled.
 """
 
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 from mailsieve import settings
 from mailsieve.schema import ROW_KEY
 
-#: Hash prefixes of three hexadecimal digits: at most 4,096 counts per class leave
-#: each task, and the rows ranked in the end are one in 4,096.
-PREFIX_DIGITS = 3
+#: Growing lengths of hash prefixes, in hexadecimal digits: at most 65,536 counts per
+#: class leave each task.
+PREFIX_DIGITS = (4, 8)
 
 Quota = Callable[[DataFrame], DataFrame]
 
@@ -43,8 +44,8 @@ def class_sizes(frame: DataFrame, class_col: str = "label") -> DataFrame:
     sizes = frame.groupBy(class_col).agg(F.count(F.lit(1)).alias("size"))
     return sizes.withColumns(
         {
-            "smallest": F.min("size").over(_all_rows()),
-            "n_classes": F.count(F.lit(1)).over(_all_rows()),
+            "smallest": sizes.agg(F.min("size")).scalar(),
+            "n_classes": sizes.agg(F.count(F.lit(1))).scalar(),
         }
     )
 
@@ -119,28 +120,25 @@ def flag_smallest(
         F.col(row_key).alias("key"),
         seeded_hash(F.col(row_key), seed).alias("hash"),
     ).filter(F.col("class").isin(*classes))
-    keyed = keyed.withColumn("prefix", F.substring("hash", 1, PREFIX_DIGITS))
-
-    counts = keyed.groupBy("class", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("class").agg(F.sum("n").alias("size"))
-    quotas = _by_class(quota(sizes), "quota")
-
+    sizes = keyed.groupBy("class").agg(F.count(F.lit(1)).alias("size"))
+    need = _of_class(_by_class(quota(sizes), "quota"), F.col("class"), "quota")
     upto = Window.partitionBy("class").orderBy("prefix")
-    need = _of_class(quotas, F.col("class"), "quota") - (F.col("running") - F.col("n"))
-    cut = (
-        counts.withColumn("running", F.sum("n").over(upto))
-        .withColumn("need", need)
-        .filter((F.col("need") > 0) & (F.col("need") <= F.col("n")))
-    )
-    cuts = _by_class(cut, "prefix", "need")
+    for digits in PREFIX_DIGITS:
+        counts = (
+            keyed.groupBy("class", F.substring("hash", 1, digits).alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("running", F.sum("n").over(upto))
+        )
+        cut = counts.withColumn("need", need - (F.col("running") - F.col("n"))).filter(
+            (F.col("need") > 0) & (F.col("need") <= F.col("n"))
+        )
+        cuts = _by_class(cut, "prefix", "need")
+        need = _of_class(cuts, F.col("class"), "need")
+        # Not an equality: on a joined input that would become a key of its join.
+        keyed = keyed.filter(F.col("hash").startswith(_of_class(cuts, F.col("class"), "prefix")))
 
     order = Window.partitionBy("class").orderBy("hash", "key")
-    # Not an equality: on a joined input that would become a key of its join.
-    last = (
-        keyed.filter(F.col("hash").startswith(_of_class(cuts, F.col("class"), "prefix")))
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") == _of_class(cuts, F.col("class"), "need"))
-    )
+    last = keyed.withColumn("place", F.row_number().over(order)).filter(F.col("place") == need)
     lasts = _by_class(last, "hash", "key")
 
     # One comparison, by hash and then by key, with one mention of the subquery.

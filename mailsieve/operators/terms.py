@@ -16,13 +16,15 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import settings
 from mailsieve.functions import patterns as P
 from mailsieve.functions.features import MANUAL_FEATURES
 from mailsieve.functions.text import stopword_list
+from mailsieve.operators.running import totals_before
+from mailsieve.session import written
 
 
 def _grams_sql(n: int) -> str:
@@ -96,21 +98,17 @@ def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> D
     """The ``max_features`` most frequent terms; ties go to the lower term.
 
     Counting the terms per frequency tells how frequent a term must be to get in.
-    Only those are sorted, instead of the top of every partition in one task. There
-    are at most sqrt(2 * occurrences) different frequencies.
+    Only those are sorted, instead of the top of every partition in one task. The
+    counts per frequency are added up from the top in ranges, not in one task.
     """
-    counts = term_counts(frame)
-    downwards = Window.orderBy(F.desc("tf"))
-    per_frequency = (
-        counts.groupBy("tf")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("df").alias("df"))
-        .withColumn("running", F.sum("n").over(downwards))
-    )
-    enough = per_frequency.filter(F.col("running") >= max_features)
-    # Carrying df along keeps both uses of the counts alike: they share one shuffle.
-    lowest = enough.agg(F.max(F.struct("tf", "df")).alias("last")).select(
-        F.coalesce("last.tf", F.lit(0)).alias("tf")
+    counts = written(term_counts(frame), "term-counts")
+    per_frequency = written(
+        counts.groupBy((-F.col("tf")).alias("downwards")).agg(F.count(F.lit(1)).alias("n")),
+        "term-frequencies",
     )
+    running = totals_before(per_frequency, "downwards", ["n"])
+    enough = running.filter(F.col("n_before") + F.col("n") >= max_features)
+    lowest = enough.agg(F.coalesce(-F.min("downwards"), F.lit(0)).alias("tf"))
     frequent = counts.filter(F.col("tf") >= lowest.scalar())
     return frequent.orderBy(F.desc("tf"), "term").limit(max_features)
 
@@ -181,6 +179,14 @@ def vector_entries(
     )
 
 
+def entries_by_place(frame: DataFrame, vector_col: str, keys: Sequence[str]) -> DataFrame:
+    """Non-zero entries of any vector as rows of keys, place and value."""
+    parts = frame.select(*keys, F.unwrap_udt(vector_col).alias("_parts"))
+    places = F.coalesce("_parts.indices", F.sequence(F.lit(0), F.size("_parts.values") - 1))
+    zipped = F.arrays_zip(places.alias("place"), F.col("_parts.values").alias("value"))
+    return parts.select(*keys, F.inline(zipped).alias("place", "value")).filter(F.col("value") != 0)
+
+
 def naive_bayes_log_theta(
     entries: DataFrame, n_terms: int, alpha: float = settings.NAIVE_BAYES_ALPHA
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from mailsieve.operators.evaluation import (
     long_predictions,
     metrics_from_cells,
 )
+from mailsieve.schema import text_columns
 from mailsieve.session import written
 from mailsieve.sources.readers import read_csv
 from mailsieve.sources.sinks import write_csv, write_json
@@ -29,7 +30,9 @@ def run_evaluation_job(
 
     The file is read once: everything else follows from the four cells per model.
     """
-    predictions = long_predictions(read_csv(spark, predictions_path), true_col, pred_cols)
+    schema = text_columns(spark.read.option("header", True).csv(predictions_path).columns)
+    table = read_csv(spark, predictions_path, schema, multi_line=False)
+    predictions = long_predictions(table, true_col, pred_cols)
     cells = written(confusion_counts(predictions), "confusion-cells")
     comparison = compare_models(metrics_from_cells(cells))
     write_csv(comparison, f"{output_folder}/model_comparison", single_file=True)

@@ -28,19 +28,46 @@ def with_known_label(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("label").isin(*LABELS))
 
 
+def with_source_keys(sources: Sequence[DataFrame], row_key: str = ROW_KEY) -> list[DataFrame]:
+    """Give every row a key that is unique over all sources: source number and own key.
+
+    Keys of one type keep it, so rows keep the order of their source; otherwise all
+    keys become strings.
+    """
+    kinds = {source.schema[row_key].dataType.simpleString() for source in sources}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+    return [
+        source.withColumn(
+            row_key,
+            F.struct(F.lit(number).alias("source_no"), F.col(row_key).cast(kind).alias("key")),
+        )
+        for number, source in enumerate(sources)
+    ]
+
+
+def require_unique_keys(frame: DataFrame, row_key: str = ROW_KEY) -> None:
+    """Duplicates are decided by row key: a key that stands twice would mix up rows."""
+    repeated = frame.groupBy(row_key).count().filter((F.col("count") > 1) | F.col(row_key).isNull())
+    examples = repeated.limit(5).collect()
+    if examples:
+        raise ValueError(f"row keys are missing or not unique, for example {[r[0] for r in examples]}")
+
+
 def load_sources(
     sources: Sequence[DataFrame], output_folder: str, row_key: str = ROW_KEY
 ) -> DataFrame:
     """Merge labelled sources and store them, with a report of rows per source and label.
 
     They are stored whole (``labelled``), balanced one by one (``balanced_sources``)
-    and balanced together (``balanced``). The row key must be unique over all sources.
+    and balanced together (``balanced``). Keys may repeat between sources: each row
+    gets the number of its source as a part of its key. Within a source they must not.
     """
     spark = sources[0].sparkSession
-    normal = [normalise_messages(source, row_key) for source in sources]
+    normal = with_source_keys([normalise_messages(s, row_key) for s in sources], row_key)
     merged = union_sources(*normal)
     labelled_path = write_table(merged, f"{output_folder}/labelled", partition_by="source")
     labelled = spark.read.schema(merged.schema).parquet(labelled_path)
+    require_unique_keys(labelled, row_key)
 
     for number, source in enumerate(normal):
         one = balance_classes(with_known_label(source), row_key=row_key)

@@ -12,7 +12,7 @@ from mailsieve import settings
 from mailsieve.functions.numeric import round_half_even
 from mailsieve.operators.evaluation import metrics_from_cells
 from mailsieve.operators.sampling import seeded_hash
-from mailsieve.plans.training import ROWS_PER_TASK, classifier, feature_model
+from mailsieve.plans.training import MODEL_NAMES, feature_model, fit_classifier
 from mailsieve.schema import ROW_KEY
 from mailsieve.session import side_by_side, written
 
@@ -27,7 +27,7 @@ def _hash_share(row_key: str, seed: str):
 
 def learning_curve(
     dataset: DataFrame,
-    names: Sequence[str] = ("naive_bayes",),
+    names: Sequence[str] = tuple(MODEL_NAMES),
     sizes: Sequence[float] = (0.25, 0.5, 1.0),
     folds: int = 3,
     text_col: str = "text",
@@ -64,12 +64,10 @@ def learning_curve(
         )
         train = vectors.filter(F.col("fold") != held_out)
         n_train = train.count()
-        train = train.coalesce(1 + n_train // ROWS_PER_TASK)
         part = F.when(F.col("fold") == held_out, "validation").otherwise("train")
         return [
-            classifier(name, n_train)
-            .fit(train)
-            .transform(vectors)
+            fit_classifier(name, train, n_train)
+            .model.transform(vectors)
             .select(
                 F.lit(name).alias("model"),
                 F.lit(float(size)).alias("size"),

@@ -6,6 +6,13 @@ in the Spark expressions.
 
 from __future__ import annotations
 
+import glob
+import os
+import zipfile
+from functools import cache
+
+import pyspark
+
 from mailsieve import settings
 from mailsieve.functions.patterns import SHORT_STOPWORDS, SPACE_CLASS, WHITESPACE
 
@@ -51,8 +58,18 @@ def letters(x: str) -> str:
     return f"trim({replaced(f'lower({x})', '[^a-z]+', ' ')}, ' ')"
 
 
+@cache
+def shipped_stopwords(language: str) -> list[str]:
+    """A stop-word list of the installed Spark, read from its jar without a session."""
+    folder = os.environ.get("SPARK_HOME", os.path.dirname(pyspark.__file__))
+    (jar,) = glob.glob(f"{folder}/jars/spark-mllib_*.jar")
+    with zipfile.ZipFile(jar) as files:
+        name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
+        return files.read(name).decode().split("\n")
+
+
 def sql_list(words) -> str:
-    return ", ".join(f"'{word}'" for word in words)
+    return ", ".join("'" + word.replace("'", "''") + "'" for word in words)
 
 
 def without_words(tokens: str, words) -> str:
@@ -230,7 +247,7 @@ def theta_rows(source: str, key: str) -> str:
 
 MODEL = f"""{BALANCED}, fitted AS (
   SELECT row_index, label, {cleaned("text")} AS text FROM balanced),
-{term_rows("fitted", "row_index", [])}, {weight_rows("fitted", "row_index", 2000)},
+{term_rows("fitted", "row_index", [])}, {weight_rows("fitted", "row_index", settings.MAX_FEATURES)},
 {theta_rows("fitted", "row_index")}"""
 # The two classes are equally frequent, so their priors cancel out.
 SCORES = f"""WITH {MODEL}, texts AS (
@@ -250,6 +267,84 @@ SELECT d.doc_id, CAST(coalesce(m.m, 0) > 0 AS INTEGER) AS label,
        round_even(1 / (1 + exp(-coalesce(m.m, 0))), 6) AS spam_score, d.text AS cleaned_text
 FROM texts d LEFT JOIN margins m ON d.doc_id = m.doc_id"""
 
+def naive_bayes_runs(rows: str) -> str:
+    """CTEs from ``runs`` (run, row_index, label, in_train) and the texts of ``rows`` to
+    ``predicted`` (run, row_index, label, in_train, prediction): a vocabulary, weights and a
+    naive Bayes model of its own for each run.
+    """
+    alpha = f"CAST({settings.NAIVE_BAYES_ALPHA} AS DOUBLE)"
+    return f"""{term_rows(rows, "row_index", shipped_stopwords("english"))}, counted AS (
+  SELECT row_index, term, CAST(count(*) AS DOUBLE) AS tf FROM terms GROUP BY row_index, term), vocab AS (
+  SELECT r.run, c.term, CAST(count(*) AS DOUBLE) AS df FROM counted c JOIN runs r ON c.row_index = r.row_index
+  WHERE r.in_train GROUP BY r.run, c.term
+  QUALIFY row_number() OVER (PARTITION BY r.run ORDER BY sum(c.tf) DESC, c.term) <= {settings.MAX_FEATURES}),
+sizes AS (
+  SELECT run, count(*) AS n, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0) AS n0
+  FROM runs WHERE in_train GROUP BY run), n_terms AS (
+  SELECT run, count(*) AS v FROM vocab GROUP BY run), weighted AS (
+  SELECT r.run, r.row_index, c.term, c.tf * (ln((1.0::DOUBLE + s.n) / (1.0::DOUBLE + v.df)) + 1.0::DOUBLE) AS w
+  FROM runs r JOIN counted c ON r.row_index = c.row_index JOIN vocab v ON v.run = r.run AND v.term = c.term
+  JOIN sizes s ON s.run = r.run), weights AS (
+  SELECT run, row_index, term, w / sqrt(sum(w * w) OVER (PARTITION BY run, row_index)) AS weight
+  FROM weighted), class_weights AS (
+  SELECT w.run, w.term, sum(CASE r.label WHEN 1 THEN weight ELSE 0 END) AS s1,
+         sum(CASE r.label WHEN 0 THEN weight ELSE 0 END) AS s0
+  FROM weights w JOIN runs r ON w.run = r.run AND w.row_index = r.row_index WHERE r.in_train
+  GROUP BY w.run, w.term), class_totals AS (
+  SELECT run, sum(s1) AS t1, sum(s0) AS t0 FROM class_weights GROUP BY run), theta AS (
+  SELECT c.run, c.term, ln(c.s1 + {alpha}) - ln(t.t1 + {alpha} * n.v)
+         - ln(c.s0 + {alpha}) + ln(t.t0 + {alpha} * n.v) AS odds
+  FROM class_weights c JOIN class_totals t ON c.run = t.run JOIN n_terms n ON n.run = c.run), margins AS (
+  SELECT w.run, w.row_index, sum(w.weight * t.odds) AS margin
+  FROM weights w JOIN theta t ON w.run = t.run AND w.term = t.term GROUP BY w.run, w.row_index), predicted AS (
+  SELECT r.run, r.row_index, r.label, r.in_train,
+         CAST(coalesce(m.margin, 0) + ln(s.n1 + {alpha}) - ln(s.n0 + {alpha}) > 0 AS INTEGER) AS prediction
+  FROM runs r JOIN sizes s ON r.run = s.run LEFT JOIN margins m ON m.run = r.run AND m.row_index = r.row_index)"""
+
+
+#: The training split: a fifth of each class of the balanced rows.
+SPLIT = f"""{BALANCED}, split_ranked AS (
+  SELECT row_index, label, text, row_number() OVER (PARTITION BY label ORDER BY {hashed("row_index")}, row_index) AS rk,
+         count(*) OVER (PARTITION BY label) AS n_label, count(*) OVER () AS n_all
+  FROM balanced), split_sizes AS (
+  SELECT DISTINCT label, n_label, n_all,
+         CAST(ceil(CAST({settings.TEST_SHARE} AS DOUBLE) * n_all) AS BIGINT) AS n_test
+  FROM split_ranked), split_parts AS (
+  SELECT *, n_test * n_label // n_all AS whole, n_test * n_label % n_all AS rest FROM split_sizes),
+split_quotas AS (
+  SELECT label, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+                             <= n_test - sum(whole) OVER () THEN 1 ELSE 0 END AS quota
+  FROM split_parts), parted AS (
+  SELECT r.row_index, r.label, {cleaned("r.text")} AS text, r.rk <= q.quota AS is_test
+  FROM split_ranked r JOIN split_quotas q ON r.label = q.label)"""
+
+
+def share_of(key: str, name: str) -> str:
+    """A number in [0, 1) from the first eight digits of a seeded hash."""
+    digits = f"substring(md5('{SEED}:{name}:' || CAST({key} AS VARCHAR)), 1, 8)"
+    return f"(CAST(CAST('0x' || {digits} AS UBIGINT) AS DOUBLE) / 4294967296)"
+
+
+MODELS = ["naive_bayes", "logistic_regression", "linear_svm"]
+KEYED = "'{' || source_no || ', ' || key || '}'"
+FULL_RUN = f"""WITH {NORM}, sources AS (
+  SELECT 0 AS source_no, row_index AS key, source, label, text FROM norm
+  UNION ALL SELECT 1, conv_id * 8 + turn, 'chat_' || role, CASE role WHEN 'user' THEN 0 ELSE 1 END, {strip("text")}
+  FROM conversations
+  UNION ALL SELECT 2, item_id, 'benchmark', item_id % 2, {strip("text")} FROM benchmark), first_ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('{SEED}:' || {KEYED}), source_no, key) AS rk,
+         count(*) OVER (PARTITION BY label) AS n_label
+  FROM sources WHERE label IN (0, 1)), merged AS (
+  SELECT * FROM first_ranked WHERE rk <= (SELECT min(n_label) FROM first_ranked)), firsts AS (
+  SELECT source_no, key, source, label, text FROM merged
+  WHERE length(text) >= {settings.MIN_TEXT_LENGTH}
+  QUALIFY row_number() OVER (PARTITION BY label, text ORDER BY source_no, key) = 1), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('{SEED}:' || {KEYED}), source_no, key) AS rk,
+         count(*) OVER (PARTITION BY label) AS n_label
+  FROM firsts)
+SELECT source_no, key, source, CAST(label AS INTEGER) AS label,
+       CASE label WHEN 0 THEN 'ham' ELSE 'spam' END AS label_name, text
+FROM ranked WHERE rk <= (SELECT min(n_label) FROM ranked)"""
 PROFILED = ["row_index", "source", "file_name", "label", "text"]
 PROFILE_TYPES = ["bigint", "string", "string", "int", "string"]
 
@@ -344,19 +439,7 @@ SELECT count(*) AS rows, count(*) FILTER (c IS NULL) AS violations_clean_text_pr
        count(*) FILTER (label IS NULL OR label NOT IN (0, 1)) AS violations_label_known
 FROM done""",
     "quality_job": SUMMARY,
-    "full_run": f"""WITH {NORM}, first_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY {hashed("row_index")}, row_index) AS rk,
-         count(*) OVER (PARTITION BY label) AS n_label
-  FROM norm WHERE label IN (0, 1)), merged AS (
-  SELECT * FROM first_ranked WHERE rk <= (SELECT min(n_label) FROM first_ranked)), cleaned AS (
-  SELECT row_index, source, label, label_name, text FROM merged
-  WHERE length(text) >= {settings.MIN_TEXT_LENGTH}
-  QUALIFY row_number() OVER (PARTITION BY label, text ORDER BY row_index) = 1), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY label ORDER BY {hashed("row_index")}, row_index) AS rk,
-         count(*) OVER (PARTITION BY label) AS n_label
-  FROM cleaned)
-SELECT row_index, source, CAST(label AS INTEGER) AS label, label_name, text FROM ranked
-WHERE rk <= (SELECT min(n_label) FROM ranked)""",
+    "full_run": FULL_RUN,
     "balanced_sample": f"WITH {BALANCED} SELECT * FROM balanced",
     "class_sizes": f"""WITH {CLEAN}, sizes AS (
   SELECT label, count(*) AS size FROM cleaned GROUP BY label)
@@ -390,6 +473,10 @@ SELECT page_id, {entities("url || ' ' || html")} AS text FROM pages""",
 SELECT doc_id, {without_words(
         f"string_split_regex({strip('text')}, '[{SPACE_CLASS}]+')",
         [*SHORT_STOPWORDS, "que", "aux"])} AS text FROM documents""",
+    "french_stopwords_removed": f"""
+SELECT doc_id, {without_words(
+        f"string_split_regex({strip('text')}, '[{SPACE_CLASS}]+')",
+        shipped_stopwords("french"))} AS text FROM documents WHERE lang = 'fr'""",
     "clean_text_documents": f"SELECT doc_id, {cleaned('text')} AS clean_text FROM documents",
     "clean_text_pages": f"SELECT page_id, {cleaned('html')} AS clean_text FROM pages",
     "clean_text_min_length": f"""
@@ -404,14 +491,14 @@ FROM (SELECT lang, {cleaned("text")} AS c FROM (SELECT DISTINCT lang, text FROM
 SELECT page_id, {manual("x")} FROM (SELECT page_id, url || html AS x FROM pages)""",
     "vocabulary_topk": f"""WITH {term_rows("documents", "doc_id", SHORT_STOPWORDS)}
 SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM terms GROUP BY term
-ORDER BY tf DESC, term LIMIT 2000""",
+ORDER BY tf DESC, term LIMIT {settings.MAX_FEATURES}""",
     "term_statistics": f"""WITH {term_rows("documents", "doc_id", SHORT_STOPWORDS, bigrams=False)}
 SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM terms GROUP BY term""",
     "tfidf_weights": f"""WITH {term_rows("documents", "doc_id", SHORT_STOPWORDS)},
-{weight_rows("documents", "doc_id", 2000)}
+{weight_rows("documents", "doc_id", settings.MAX_FEATURES)}
 SELECT doc_id, term, round(weight, 6) AS weight FROM weights""",
     "nb_log_theta": f"""WITH {BALANCED}, {term_rows("balanced", "row_index", SHORT_STOPWORDS)},
-{weight_rows("balanced", "row_index", 2000)}, {theta_rows("balanced", "row_index")}
+{weight_rows("balanced", "row_index", settings.MAX_FEATURES)}, {theta_rows("balanced", "row_index")}
 SELECT label, term, round(log_theta, 6) AS log_theta FROM theta""",
     "confusion_counts": f"WITH {RULES} SELECT * FROM cells",
     "model_metrics": f"WITH {METRICS} SELECT * FROM metrics",
@@ -461,6 +548,71 @@ FROM sums""",
     "sigmoid_score": f"""
 SELECT doc_id, round_even(1 / (1 + exp(-(40 * ({upper_ratio("text")}) - 1))), 6) AS spam_score
 FROM documents""",
+    "lenient_metrics": f"""WITH {CLEAN}, answers AS (
+  SELECT label, CASE WHEN length(text) >= 2000 THEN NULL
+                     WHEN {count_char("text", "!")} >= 3 THEN 1 ELSE 0 END AS by_exclamation,
+         CASE WHEN length(text) < 400 THEN 1 ELSE 0 END AS by_length
+  FROM cleaned), predictions AS (
+  SELECT 'by_exclamation' AS model, label, by_exclamation AS prediction FROM answers
+  UNION ALL SELECT 'by_length', label, by_length FROM answers), cells AS (
+  SELECT model, count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (label = 1 AND prediction = 1) AS tp,
+         count(*) FILTER (prediction IS NULL) AS unparsed
+  FROM predictions GROUP BY model), rates AS (
+  SELECT *, tn + fp + fn + tp AS total, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r
+  FROM cells)
+SELECT model, round({ratio("tp + tn", "total")}, 6) AS accuracy, round(p, 6) AS precision_spam,
+       round(r, 6) AS recall_spam, round({ratio("2 * p * r", "p + r")}, 6) AS f1_spam,
+       round({ratio("fp", "fp + tn")}, 6) AS false_positive_rate, tn, fp, fn, tp, total, unparsed
+FROM rates""",
+    "train_sizes": f"""WITH {SPLIT}
+SELECT model, count(*) FILTER (NOT is_test) AS train_rows, count(*) FILTER (is_test) AS test_rows,
+       count(*) FILTER (is_test AND label = 0) AS test_ham, count(*) FILTER (is_test AND label = 1) AS test_spam
+FROM parted, (SELECT unnest([{sql_list(MODELS)}]) AS model) GROUP BY model""",
+    "train_naive_bayes": f"""WITH {SPLIT}, runs AS (
+  SELECT 0 AS run, row_index, label, NOT is_test AS in_train FROM parted), {naive_bayes_runs("parted")}, cells AS (
+  SELECT 'naive_bayes' AS model, count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (label = 1 AND prediction = 1) AS tp
+  FROM predicted WHERE NOT in_train), rates AS (
+  SELECT *, tn + fp + fn + tp AS total, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r
+  FROM cells)
+SELECT model, round({ratio("tp + tn", "total")}, 6) AS accuracy, round(p, 6) AS precision_spam,
+       round(r, 6) AS recall_spam, round({ratio("2 * p * r", "p + r")}, 6) AS f1_spam,
+       round({ratio("fp", "fp + tn")}, 6) AS false_positive_rate, tn, fp, fn, tp, total
+FROM rates""",
+    "learning_curve": f"""WITH {BALANCED}, placed AS (
+  SELECT row_index, label, text, CAST(floor({share_of("row_index", "fold")} * 3) AS INTEGER) AS fold,
+         {share_of("row_index", "size")} AS place
+  FROM balanced), grid AS (
+  SELECT size, held, row_number() OVER () AS run
+  FROM (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE]) AS size),
+       (SELECT unnest([0, 1, 2]) AS held)), runs AS (
+  SELECT g.run, p.row_index, p.label, p.fold <> g.held AS in_train
+  FROM grid g, placed p WHERE p.fold = g.held OR p.place < g.size), {naive_bayes_runs("placed")}, cells AS (
+  SELECT run, in_train, count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) AS total
+  FROM predicted GROUP BY run, in_train), rates AS (
+  SELECT *, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r FROM cells)
+SELECT 'naive_bayes' AS model, g.size, g.held AS fold, s.n AS train_rows,
+       CASE WHEN r.in_train THEN 'train' ELSE 'validation' END AS part,
+       round_even({ratio("2 * p * r", "p + r")}, 6) AS f1_spam, r.total
+FROM rates r JOIN grid g ON r.run = g.run JOIN sizes s ON s.run = r.run""",
+    "combined_features": f"""WITH {term_rows("documents", "doc_id", shipped_stopwords("english"))},
+{weight_rows("documents", "doc_id", settings.MAX_FEATURES)}, places AS (
+  SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS place FROM vocab), hand AS (
+  SELECT doc_id, {manual("coalesce(text, '')")} FROM documents)
+SELECT w.doc_id, p.place, round(w.weight, 6) AS value FROM weights w JOIN places p ON w.term = p.term
+UNION ALL
+SELECT doc_id, CAST((SELECT count(*) FROM vocab) + i AS INTEGER), round(value, 6) FROM (
+  SELECT doc_id, unnest([0, 1, 2, 3, 4]) AS i, unnest([CAST(length AS DOUBLE), CAST(url_count AS DOUBLE),
+         CAST(exclamation_count AS DOUBLE), CAST(dollar_count AS DOUBLE), uppercase_ratio]) AS value
+  FROM hand) WHERE value <> 0""",
     "batch_scores": SCORES,
     "stream_scores": SCORES + f" WHERE {strip('d.original')} <> ''",
 }

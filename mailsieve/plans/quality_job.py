@@ -9,14 +9,8 @@ from pyspark.sql import functions as F
 
 from mailsieve import settings
 from mailsieve.functions.text import with_clean_text
-from mailsieve.operators.dedupe import duplicate_keys, sized_keys
 from mailsieve.operators.normalise import normalise_messages
-from mailsieve.operators.quality import (
-    find_issues,
-    quality_summary,
-    usable_rows,
-    with_final_labels,
-)
+from mailsieve.operators.quality import clean_of, flag_rows, issues_of, quality_summary
 from mailsieve.operators.sampling import balance_classes, shuffled
 from mailsieve.schema import ROW_KEY, require_columns, text_column_by_suffix
 from mailsieve.session import written
@@ -41,22 +35,18 @@ def run_quality_job(
 ) -> QualityTables:
     """Write the balanced clean table, the issue table and the summary.
 
-    Later copies are found once, on keys alone, and stored. While they are few
-    they travel to the rows; otherwise rows and keys are joined by a shuffle on
-    the unique row key. Rows of equal label and text pass or fail the other rules
-    together, so the same keys serve the audit and the filter.
+    The normalised rows are flagged and stored once; issues, clean rows and counts
+    all come from that table without another join.
     """
     spark = messages.sparkSession
     normal = normalise_messages(messages, row_key)
-    copies = sized_keys(duplicate_keys(normal, row_key=row_key))
+    flagged = written(flag_rows(normal, min_length, row_key), "flagged-messages")
 
     issues_path = f"{output_folder}/issues"
-    write_table(find_issues(normal, min_length, row_key, copies), issues_path)
+    write_table(issues_of(flagged, row_key), issues_path)
     issues = spark.read.parquet(issues_path)
 
-    kept = with_final_labels(
-        usable_rows(normal, min_length).join(copies, row_key, "left_anti")
-    )
+    kept = clean_of(flagged, min_length)
     keys = written(kept.select("label", row_key), "kept-keys")
     balanced = balance_classes(kept, row_key=row_key, seed=seed, keys=keys)
     clean_path = f"{output_folder}/clean"
@@ -64,7 +54,7 @@ def run_quality_job(
     clean = spark.read.parquet(clean_path)
 
     counts = issues.groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
-    report = quality_summary(normal, clean, counts, keys, input_path, clean_path)
+    report = quality_summary(flagged, clean, counts, keys, input_path, clean_path)
     report_path = f"{output_folder}/summary"
     write_json(report, report_path)
     return QualityTables(clean, issues, spark.read.schema(report.schema).json(report_path))

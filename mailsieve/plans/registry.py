@@ -20,10 +20,10 @@ from mailsieve.plans import scoring, training
 from mailsieve.plans.evaluation_job import run_evaluation_job
 from mailsieve.plans.full_run import run_all
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
-from mailsieve.schema import ROW_KEY
-from mailsieve.session import scratch_path, spread, written
+from mailsieve.schema import ROW_KEY, text_columns
+from mailsieve.session import scratch_path, written
 from mailsieve.sources import readers, sinks
-from mailsieve.streaming.scoring import read_message_stream, score_stream, start_scoring
+from mailsieve.streaming.scoring import read_table_stream, score_stream, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,15 +41,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose texts are worked on: one file must not mean one task."""
-    return spread(table(spark, folder, name))
-
-
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     """All documents with the junk label (1 = low quality) where one is known."""
     known = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
-    documents = texts(spark, folder, "documents").select("doc_id", "source", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
     return documents.join(known, "doc_id", "left").select(
         F.col("doc_id").alias(ROW_KEY),
         "source",
@@ -233,9 +228,9 @@ def mail_split(spark, folder):
 def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "csv")
     sinks.write_csv(raw_messages(spark, folder), path)
-    return normalise_messages(readers.ingest_csv(spark, path)).withColumn(
-        ROW_KEY, F.col(ROW_KEY).cast("long")
-    )
+    schema = text_columns([ROW_KEY, "source", "file_name", "label", "text"])
+    back = readers.ingest_csv(spark, path, schema=schema)
+    return normalise_messages(back).withColumn(ROW_KEY, F.col(ROW_KEY).cast("long"))
 
 
 @query
@@ -288,7 +283,7 @@ def duplicate_row_keys(spark, folder):
 
 @query
 def whole_row_distinct(spark, folder):
-    return dedupe.distinct_rows(texts(spark, folder, "documents").select("lang", "text"))
+    return dedupe.distinct_rows(table(spark, folder, "documents").select("lang", "text"))
 
 
 def flat_summary(summary: DataFrame) -> DataFrame:
@@ -324,7 +319,7 @@ def quality_summary(spark, folder):
 @query
 def sanity_checks(spark, folder):
     rows = preprocess_texts(messages(spark, folder))
-    return quality.assert_quality(
+    return quality.rule_violations(
         rows,
         {
             "clean_text_present": F.col("clean_text").isNotNull(),
@@ -340,12 +335,30 @@ def quality_job(spark, folder):
     return flat_summary(result.summary)
 
 
+def three_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Documents, chat turns and benchmark items, labelled, with keys that overlap."""
+    chats = table(spark, folder, "conversations").select(
+        (F.col("conv_id") * 8 + F.col("turn")).alias(ROW_KEY),
+        F.concat(F.lit("chat_"), "role").alias("source"),
+        F.when(F.col("role") == "user", 0).otherwise(1).alias("label"),
+        "text",
+    )
+    items = table(spark, folder, "benchmark").select(
+        F.col("item_id").alias(ROW_KEY),
+        F.lit("benchmark").alias("source"),
+        (F.col("item_id") % 2).cast("int").alias("label"),
+        "text",
+    )
+    return [raw_messages(spark, folder), chats, items]
+
+
 @query
 def full_run(spark, folder):
-    """Sources to balanced clean table, as stored."""
-    sources = raw_messages(spark, folder)
-    result = run_all([sources], scratch_path(spark, "full-run"))
-    return result.quality.clean.select(ROW_KEY, "source", "label", "label_name", "text")
+    """Three sources to one balanced clean table, as stored."""
+    result = run_all(three_sources(spark, folder), scratch_path(spark, "full-run"))
+    return result.quality.clean.select(
+        f"{ROW_KEY}.source_no", f"{ROW_KEY}.key", "source", "label", "label_name", "text"
+    )
 
 
 # --- sampling ---------------------------------------------------------------
@@ -391,58 +404,65 @@ def seeded_shuffle(spark, folder):
 
 @query
 def pages_without_markup(spark, folder):
-    pages = texts(spark, folder, "pages")
+    pages = table(spark, folder, "pages")
     return text.with_plain_text(pages, "html", "text").select("page_id", "text")
 
 
 @query
 def entity_tokens(spark, folder):
-    documents = texts(spark, folder, "documents").select("doc_id", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return text.with_entity_tokens(documents, "text", "text")
 
 
 @query
 def entity_tokens_pages(spark, folder):
     """URLs stand next to markup here, so they run on to the next blank."""
-    pages = texts(spark, folder, "pages")
+    pages = table(spark, folder, "pages")
     both = pages.select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
     return text.with_entity_tokens(both, "text", "text")
 
 
 @query
 def letters_only(spark, folder):
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     return documents.select("doc_id", text.letters_only(F.col("text")).alias("text"))
 
 
 @query
 def stopwords_removed(spark, folder):
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     words = text.stopword_list("short", extra=["Que", "AUX"])
     return documents.select("doc_id", text.without_stopwords(F.col("text"), words).alias("text"))
 
 
+@query
+def french_stopwords_removed(spark, folder):
+    documents = table(spark, folder, "documents").filter("lang = 'fr'")
+    words = text.stopword_list("french")
+    return documents.select("doc_id", text.without_stopwords(F.col("text"), words).alias("text"))
+
+
 @query
 def clean_text_documents(spark, folder):
-    documents = texts(spark, folder, "documents").select("doc_id", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return preprocess_texts(documents).drop("text")
 
 
 @query
 def clean_text_pages(spark, folder):
-    pages = texts(spark, folder, "pages").select("page_id", "html")
+    pages = table(spark, folder, "pages").select("page_id", "html")
     return preprocess_texts(pages, "html").drop("html")
 
 
 @query
 def clean_text_min_length(spark, folder):
-    chats = texts(spark, folder, "conversations").select("conv_id", "turn", "text")
+    chats = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return preprocess_texts(chats, min_text_length=100).drop("text")
 
 
 @query
 def preprocessing_job(spark, folder):
-    documents = texts(spark, folder, "documents").select("lang", "text")
+    documents = table(spark, folder, "documents").select("lang", "text")
     stored = run_preprocessing_job(documents, scratch_path(spark, "preprocessing"))
     return stored.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("clean_text")).alias("characters")
@@ -451,13 +471,13 @@ def preprocessing_job(spark, folder):
 
 @query
 def manual_features(spark, folder):
-    documents = texts(spark, folder, "documents").select("doc_id", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
     return feat.with_manual_features(documents).drop("text")
 
 
 @query
 def manual_features_pages(spark, folder):
-    pages = texts(spark, folder, "pages").select("page_id", F.concat("url", "html").alias("text"))
+    pages = table(spark, folder, "pages").select("page_id", F.concat("url", "html").alias("text"))
     return feat.with_manual_features(pages).drop("text")
 
 
@@ -465,13 +485,13 @@ def manual_features_pages(spark, folder):
 
 
 def tfidf_input(spark, folder) -> DataFrame:
-    return texts(spark, folder, "documents").select("doc_id", "text")
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 @query
 def vocabulary_topk(spark, folder):
     termed = terms.with_terms(tfidf_input(spark, folder), stopwords=SHORT_STOPWORDS)
-    return terms.vocabulary(termed, 2000)
+    return terms.vocabulary(termed, settings.MAX_FEATURES)
 
 
 @query
@@ -485,7 +505,7 @@ def term_statistics(spark, folder):
 @query
 def tfidf_weights(spark, folder):
     documents = tfidf_input(spark, folder)
-    model = terms.fit_tfidf(documents, max_features=2000, stopwords=SHORT_STOPWORDS)
+    model = terms.fit_tfidf(documents, max_features=settings.MAX_FEATURES, stopwords=SHORT_STOPWORDS)
     vectors = model.transform(documents).select("doc_id", "tfidf")
     entries = terms.vector_entries(vectors, "tfidf", model, ["doc_id"])
     return entries.withColumn("weight", F.round("weight", 6))
@@ -495,7 +515,7 @@ def tfidf_weights(spark, folder):
 def nb_log_theta(spark, folder):
     rows = balanced(spark, folder).select(ROW_KEY, "label", "text")
     rows = written(rows, "theta-rows")
-    model = terms.fit_tfidf(rows, max_features=2000, stopwords=SHORT_STOPWORDS)
+    model = terms.fit_tfidf(rows, max_features=settings.MAX_FEATURES, stopwords=SHORT_STOPWORDS)
     entries = terms.vector_entries(
         model.transform(rows).select("label", "tfidf"), "tfidf", model, ["label"]
     )
@@ -521,6 +541,23 @@ def model_metrics(spark, folder):
     return rounded(evaluation.model_metrics(long_rules(spark, folder)))
 
 
+@query
+def lenient_metrics(spark, folder):
+    """One rule answers with a word that nobody knows for the longest texts."""
+    rows = clean(spark, folder).select("label", "text")
+    featured = feat.with_manual_features(rows).select(
+        "label",
+        F.when(F.col("length") >= 2000, "maybe")
+        .when(F.col("exclamation_count") >= 3, "spam")
+        .otherwise("ham")
+        .alias("by_exclamation"),
+        F.when(F.col("length") < 400, "1").otherwise("0").alias("by_length"),
+    )
+    return rounded(
+        evaluation.lenient_metrics(featured, "label", ["by_exclamation", "by_length"])
+    )
+
+
 @query
 def metrics_compare(spark, folder):
     predictions = rule_predictions(spark, folder)
@@ -559,19 +596,23 @@ def plain_accuracy(spark, folder):
     return rounded(evaluation.plain_accuracy(rows))
 
 
+#: Length from which ``prediction_alignment`` has a prediction: it shows the gaps on both sides.
+PREDICTED_FROM = 500
+
+
 @query
 def prediction_alignment(spark, folder):
     """Labels exist for some documents only; predictions for those with long texts."""
     truth = table(spark, folder, "labels").select("doc_id", "quality")
     documents = table(spark, folder, "documents").select("doc_id", "n_chars")
-    predictions = documents.filter(F.col("n_chars") >= 500)
+    predictions = documents.filter(F.col("n_chars") >= PREDICTED_FROM)
     return evaluation.alignment_gaps(truth, predictions, "doc_id")
 
 
 @query
 def aligned_accuracy(spark, folder):
     truth = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     guess = (feat.character_count(F.col("text"), "!") >= 3).cast("int").alias("prediction")
     predictions = documents.select("doc_id", guess)
     joined = evaluation.align_predictions(truth, predictions, "doc_id")
@@ -586,7 +627,7 @@ def roc_auc(spark, folder):
 
 @query
 def sigmoid_score(spark, folder):
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     margin = 40 * feat.uppercase_ratio(F.col("text")) - 1
     return documents.select(
         "doc_id", numeric.round_half_even(numeric.sigmoid(margin)).alias("spam_score")
@@ -600,7 +641,7 @@ def naive_bayes_model(spark, folder) -> PipelineModel:
     """Naive Bayes on the cleaned texts of the balanced messages."""
     rows = balanced(spark, folder).select("label", "text")
     rows = written(text.with_clean_text(rows, "text", "text"), "model-rows")
-    model = terms.fit_tfidf(rows, max_features=2000, stopwords=[])
+    model = terms.fit_tfidf(rows, max_features=settings.MAX_FEATURES, stopwords=[])
     features = PipelineModel(model.stages("text", "features"))
     vectors = features.transform(rows).select("label", "features")
     fitted = training.classifier("naive_bayes", 1).fit(vectors)
@@ -610,7 +651,7 @@ def naive_bayes_model(spark, folder) -> PipelineModel:
 @query
 def batch_scores(spark, folder):
     model = naive_bayes_model(spark, folder)
-    documents = texts(spark, folder, "documents")
+    documents = table(spark, folder, "documents")
     return scoring.score_texts(model, documents, keep=["doc_id"])
 
 
@@ -619,8 +660,7 @@ def stream_scores(spark, folder):
     path = scratch_path(spark, "naive-bayes")
     naive_bayes_model(spark, folder).write().save(path)
     model = scoring.load_model(path)
-    schema = table(spark, folder, "documents").schema
-    arriving = read_message_stream(spark, folder, schema, pathGlobFilter="documents.parquet")
+    arriving = read_table_stream(spark, folder, "documents.parquet")
     scored = score_stream(model, arriving, keep=["doc_id"])
     output = scratch_path(spark, "stream-scores")
     checkpoint = scratch_path(spark, "stream-checkpoint")
@@ -628,22 +668,79 @@ def stream_scores(spark, folder):
     return spark.read.schema(scored.schema).parquet(output)
 
 
+def training_input(spark, folder) -> DataFrame:
+    return written(balanced(spark, folder), "training-input")
+
+
+@query
+def best_model_scores(spark, folder):
+    """All documents scored by the best of three trained models."""
+    best = training.train_models(training_input(spark, folder)).best_model
+    return scoring.score_texts(best, table(spark, folder, "documents"), keep=["doc_id"])
+
+
 @query
 def train_compare(spark, folder):
-    rows = written(balanced(spark, folder), "training-input")
-    return rounded(training.train_models(rows).metrics)
+    """Metrics, split sizes and solver steps of the three models."""
+    result = training.train_models(training_input(spark, folder))
+    steps = F.create_map(*[F.lit(x) for item in result.steps.items() for x in item])
+    return rounded(result.metrics).withColumns(
+        {
+            "train_rows": F.lit(result.train_rows),
+            "test_rows": F.lit(result.test_rows),
+            "steps": F.element_at(steps, F.col("model")),
+        }
+    )
+
+
+@query
+def train_sizes(spark, folder):
+    """Split sizes, and test rows per class that each of the three models predicted."""
+    result = training.train_models(training_input(spark, folder))
+    return result.metrics.select(
+        "model",
+        F.lit(result.train_rows).cast("long").alias("train_rows"),
+        F.lit(result.test_rows).cast("long").alias("test_rows"),
+        (F.col("tn") + F.col("fp")).alias("test_ham"),
+        (F.col("fn") + F.col("tp")).alias("test_spam"),
+    )
+
+
+@query
+def train_naive_bayes(spark, folder):
+    """The naive Bayes part of training: its metrics on the test part."""
+    result = training.train_models(training_input(spark, folder), names=["naive_bayes"])
+    return rounded(result.metrics)
+
+
+@query
+def combined_features(spark, folder):
+    """Unit-length TF-IDF weights beside the five hand-made features, as entries by place."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = training.feature_model(documents, "text", with_manual=True)
+    entries = terms.entries_by_place(model.transform(documents), "features", ["doc_id"])
+    return entries.withColumn("value", F.round("value", 6))
 
 
 @query
 def train_with_manual_features(spark, folder):
-    rows = written(balanced(spark, folder), "training-input")
+    """Raw text with the hand-made features beside it. Naive Bayes is closed form; a solver
+    needs thousands of steps on features of such different sizes."""
     result = training.train_models(
-        rows, clean=False, with_manual=True, names=["logistic_regression"], max_features=2000
+        training_input(spark, folder), clean=False, with_manual=True, names=["naive_bayes"]
     )
     return rounded(result.metrics)
 
 
 @query
 def learning_curve(spark, folder):
-    rows = written(balanced(spark, folder), "curve-input")
-    return curve.learning_curve(rows, sizes=(0.5, 1.0), folds=2, max_features=2000)
+    """Naive Bayes, at the default sizes and folds."""
+    return curve.learning_curve(training_input(spark, folder), names=["naive_bayes"])
+
+
+@query
+def learning_curve_solvers(spark, folder):
+    """The two iterative models, at the default sizes and folds."""
+    return curve.learning_curve(
+        training_input(spark, folder), names=["logistic_regression", "linear_svm"]
+    )

@@ -26,18 +26,10 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
-#: A message file before its labels were checked: everything is text.
-RAW_MESSAGE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in STANDARD_COLUMNS])
 
-#: Wide prediction table of the three classifiers.
-PREDICTION_SCHEMA = T.StructType(
-    [
-        T.StructField("label", T.IntegerType()),
-        T.StructField("naive_bayes", T.IntegerType()),
-        T.StructField("logistic_regression", T.IntegerType()),
-        T.StructField("linear_svm", T.IntegerType()),
-    ]
-)
+def text_columns(names: Iterable[str]) -> T.StructType:
+    """All columns as text: a file before its values were checked."""
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def missing_columns(frame: DataFrame, names: Iterable[str]) -> list[str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -59,9 +61,39 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables; removed when Python ends."""
+    folder = f"{shared_folder(spark)}/mailsieve/{spark.sparkContext.applicationId}"
+    _remove_at_exit(folder)
+    return folder
+
+
+@cache
+def _remove_at_exit(folder: str) -> None:
+    # Registered after the context's own hook, so the context is still there.
+    atexit.register(_remove, folder)
+
+
+def _remove(folder: str) -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):  # the application ends in any case
+            remove_folder(spark, folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application. Unread results go with them."""
+    remove_folder(spark, run_folder(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/mailsieve/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the run's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
@@ -85,11 +117,3 @@ def side_by_side(
     with ThreadPool(max(1, min(threads, len(items)))) as pool:
         return pool.map(inheritable_thread_target(spark)(work), items)
 
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Give heavy per-row work on a few files as many tasks as there are cores.
-
-    Tables with at least that many partitions are left as they are.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

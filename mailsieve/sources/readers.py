@@ -22,24 +22,37 @@ _SUBJECT = r"(?imd)^Subject:[ \t]*([^\n]*(?:\n[ \t]+[^\n]*)*)"
 _FOLD = r"\r?\n[ \t]+"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """CSV with a header and quoted, possibly multi-line, fields.
 
-    Without a schema all columns are strings, named by the header.
+    Without a schema all columns are strings, named by the header. Files whose fields
+    hold no line ends can be read with ``multi_line=False``: they are then split
+    over tasks, while a multi-line file is one task.
     """
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def ingest_csv(spark: SparkSession, path: str, row_key: str = ROW_KEY) -> DataFrame:
+def ingest_csv(
+    spark: SparkSession,
+    path: str,
+    row_key: str = ROW_KEY,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """Read a CSV once into a stored table with a row key that follows file order.
 
-    A multi-line CSV file cannot be split, so each file is read by one task and the
-    ids grow with the position. Storing them fixes them for all later reads.
+    Within a file the ids grow with the position. Storing them fixes them for all later
+    reads. Keys of several files read one by one overlap; ``load_sources`` tells them apart.
     """
-    table = read_csv(spark, path)
+    table = read_csv(spark, path, schema, multi_line)
     if row_key not in table.columns:
         table = table.withColumn(row_key, F.monotonically_increasing_id())
     return written(table, "csv-ingest")

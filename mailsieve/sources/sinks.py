@@ -22,7 +22,13 @@ def write_json(frame: DataFrame, path: str) -> str:
 
 
 def write_table(frame: DataFrame, path: str, partition_by: str | None = None) -> str:
-    """Parquet table; one folder per value of ``partition_by``."""
+    """Parquet table; one folder per value of ``partition_by``.
+
+    Rows are brought together by that value first, so that a folder gets few files;
+    adaptive execution splits a value that is too large for one.
+    """
+    if partition_by is not None:
+        frame = frame.hint("rebalance", partition_by)
     writer = frame.write.mode("overwrite")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)

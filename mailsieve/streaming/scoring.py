@@ -24,6 +24,18 @@ def read_message_stream(
     return spark.readStream.schema(schema).options(**options).format(file_format).load(path)
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
+    """Stream a parquet table of that name, be it one file or a folder of part files.
+
+    A stream reads folders: a single file is found by its name in the folder above.
+    """
+    path = f"{folder}/{name}"
+    table = spark.read.parquet(path)
+    if any(file.rstrip("/").endswith(f"/{name}") for file in table.inputFiles()):
+        return read_message_stream(spark, folder, table.schema, pathGlobFilter=name, **options)
+    return read_message_stream(spark, path, table.schema, **options)
+
+
 def score_stream(
     model: PipelineModel, messages: DataFrame, text_col: str = "text", keep: Sequence[str] = ()
 ) -> DataFrame:

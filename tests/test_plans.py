@@ -81,7 +81,31 @@ def test_duplicate_keys_shuffle_no_text(stored):
     for line in plan.splitlines():
         if "SortMergeJoin" in line or "ShuffledHashJoin" in line or "BroadcastHashJoin" in line:
             assert "text" not in line
-    assert {"row_index"} in read_columns(plan)
+
+
+def test_full_rows_are_joined_once(spark, stored, tmp_path):
+    """With the keys of later copies; the rest of the quality job joins no texts."""
+    for frame in (quality.clean_messages(normalise_messages(stored)), quality.find_issues(normalise_messages(stored))):
+        joins = [line for line in planned(frame).splitlines() if re.search(r"Join", line)]
+        assert len(joins) == 2, joins  # among narrow records, and with the rows
+    flagged = quality.flag_rows(normalise_messages(stored))
+    path = str(tmp_path / "flagged")
+    flagged.write.parquet(path)
+    again = spark.read.parquet(path)
+    for frame in (quality.issues_of(again), quality.clean_of(again)):
+        assert "Join" not in planned(frame) and "Exchange" not in planned(frame)
+
+
+def test_texts_are_not_dealt_out_again(spark):
+    from mailsieve.plans.registry import QUERIES
+
+    for name in ("quality_issues", "clean_messages", "clean_text_documents"):
+        assert "RoundRobin" not in planned(QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_lengths_are_counted_before_one_task_sees_them(stored):
+    plan = planned(profile.length_describe(stored))
+    assert re.search(r"hashpartitioning\(length", plan), plan
 
 
 def test_sampling_reads_texts_once(stored):
@@ -90,10 +114,11 @@ def test_sampling_reads_texts_once(stored):
     assert len(with_text) == 1
 
 
-def test_vocabulary_counts_are_shuffled_once(stored):
-    termed = terms.with_terms(stored)
-    plan = physical(terms.vocabulary(termed, 50))
-    assert "ReusedExchange" in plan
+def test_vocabulary_counts_are_made_once(stored):
+    plan = planned(terms.vocabulary(terms.with_terms(stored), 50))
+    # What is left reads the stored counts; the running totals are cut in ranges.
+    assert "Generate" not in plan.replace("_bounds", "")
+    assert "SinglePartition" not in plan or "_range" in plan
 
 
 def test_no_cross_joins(stored):

@@ -3,16 +3,13 @@ from check_oracles import compare, open_database
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-# Fitting with an iterative solver: checked by the model tests.
-SLOW = {"train_compare", "train_with_manual_features"}
-
 
 @pytest.fixture(scope="module")
 def database():
     return open_database("/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_its_sql(spark, database, small, name):
     equal, message = compare(spark, database, small, name)
     assert equal, message

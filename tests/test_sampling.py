@@ -39,7 +39,7 @@ def test_balance_takes_the_lowest_hashes(spark, partitions):
         assert keys_of(out, label) == lowest(mine, 41)
 
 
-@pytest.mark.parametrize("digits", [0, 1, 2, 4])
+@pytest.mark.parametrize("digits", [(0,), (1,), (1, 2), (2, 4, 8), (4, 8)])
 def test_prefix_length_does_not_change_the_sample(spark, monkeypatch, digits):
     monkeypatch.setattr(sampling, "PREFIX_DIGITS", digits)
     frame, data = classes(spark, {0: 500, 1: 123})

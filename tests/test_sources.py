@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailsieve import session
-from mailsieve.plans.full_run import run_all
+from mailsieve.plans.full_run import require_unique_keys, run_all, with_source_keys
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
-from mailsieve.schema import MESSAGE_SCHEMA, RAW_MESSAGE_SCHEMA
+from mailsieve.schema import MESSAGE_SCHEMA, STANDARD_COLUMNS, text_columns
 from mailsieve.sources import readers, sinks
 
 MAILS = {
@@ -56,8 +56,10 @@ def test_csv_row_key_follows_the_file(spark, tmp_path):
 def test_csv_with_schema(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text("source,file_name,label,label_name,subject,text\ns,f,1,spam,hi,body\n")
-    row = readers.read_csv(spark, str(path), RAW_MESSAGE_SCHEMA).first()
+    row = readers.read_csv(spark, str(path), text_columns(STANDARD_COLUMNS)).first()
     assert (row["label"], row["text"]) == ("1", "body")
+    single = readers.read_csv(spark, str(path), text_columns(STANDARD_COLUMNS), multi_line=False)
+    assert single.first() == row
 
 
 def test_three_class_parquet(spark, tmp_path):
@@ -95,11 +97,7 @@ def make_messages(spark):
     return spark.createDataFrame(rows, "row_index long, label int, text string, source string")
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_quality_job(spark, tmp_path, monkeypatch, limit):
-    from mailsieve.operators import dedupe
-
-    monkeypatch.setattr(dedupe.sized_keys, "__defaults__", (limit,))
+def test_quality_job(spark, tmp_path):
     result = run_quality_job(make_messages(spark), str(tmp_path / "out"), "in", shuffle_rows=True)
     summary = result.summary.first()
     assert summary["input_rows"] == 93
@@ -151,6 +149,53 @@ def test_full_run_with_training(spark, tmp_path):
     assert {(r["source"], r["label"]): r["n"] for r in report}["all", "all"] == 70
 
 
+def test_two_csv_files_with_the_same_keys(spark, tmp_path):
+    """Keys from 0 in both, copies within and across the files, in another order."""
+    first = ["the garden club meets at noon", "cheap pills ship today only", "the garden club meets at noon"]
+    second = ["cheap pills ship today only", "a note about the new printer", "win a cruise by phone now"]
+    labels = ([0, 1, 0], [1, 0, 1])
+    frames = []
+    for name, texts, values in (("a", first, labels[0]), ("b", second, labels[1])):
+        path = tmp_path / f"{name}.csv"
+        lines = [f'{value},"{text}",{name}' for value, text in zip(values, texts, strict=True)]
+        path.write_text("\n".join(["label,text,source", *lines]) + "\n")
+        frames.append(readers.ingest_csv(spark, str(path)))
+    result = run_all(frames, str(tmp_path / "out"))
+    # Three rows of each class remain before cleaning: of both copies the first stays.
+    clean = sorted((r["row_index"]["source_no"], r["row_index"]["key"], r["text"]) for r in result.quality.clean.collect())
+    assert clean == [(0, 0, first[0]), (0, 1, first[1]), (1, 1, second[1]), (1, 2, second[2])]
+    issues = sorted((r["issue"], tuple(r["row_index"])) for r in result.quality.issues.collect())
+    assert issues == [("duplicate_label_text", (0, 2)), ("duplicate_label_text", (1, 0))]
+
+
+def test_keys_must_be_unique_within_a_source(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 0, "x"), (1, 1, "y")], "row_index long, label int, text string")
+    with pytest.raises(ValueError, match="not unique"):
+        run_all([frame], str(tmp_path))
+    mixed = with_source_keys([frame, frame.withColumn("row_index", F.col("text"))])
+    assert [m.schema["row_index"].dataType["key"].dataType.simpleString() for m in mixed] == ["string"] * 2
+    with pytest.raises(ValueError, match="missing"):
+        require_unique_keys(frame.limit(1).withColumn("row_index", F.lit(None).cast("long")))
+
+
+def test_a_folder_per_source_gets_few_files(spark, tmp_path):
+    rows = spark.range(600, numPartitions=8).select("id", (F.col("id") % 3).cast("string").alias("source"))
+    path = sinks.write_table(rows, str(tmp_path / "t"), partition_by="source")
+    files = [f.rsplit("/", 2)[1] for f in spark.read.parquet(path).inputFiles()]
+    assert sorted(files) == ["source=0", "source=1", "source=2"]
+    assert spark.read.parquet(path).count() == 600
+
+
+def test_scratch_tables_are_removed(spark):
+    from pathlib import Path
+
+    session.written(spark.range(3), "a-table")
+    folder = Path(session.run_folder(spark))
+    assert list(folder.iterdir())
+    session.remove_scratch(spark)
+    assert not folder.exists()
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
@@ -169,8 +214,3 @@ def test_only_a_local_session_makes_its_own_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(FakeSession("spark://host:7077"))
 
-
-def test_spread_leaves_partitioned_tables_alone(spark):
-    assert session.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
-    wide = spark.range(10, numPartitions=9)
-    assert session.spread(wide) is wide
