@@ -94,5 +94,7 @@ def drop_copies(
         "left",
     )
     single = marked.where(F.col("_touched_kept").isNull())
+    if touched.where("_touched_kept").isEmpty():
+        return single.select(*docs.columns)
     repeated = marked.where("_touched_kept").dropDuplicates([id_col, "_text_key"])
     return single.unionByName(repeated).select(*docs.columns)
