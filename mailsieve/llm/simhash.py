@@ -249,5 +249,7 @@ def drop_near_copies(
     )
     marked = docs.join(touched, F.col(id_col) == F.col("_gone_id"), "left")
     single = marked.where(F.col("_gone").isNull())
+    if repeated.isEmpty():
+        return single.select(*docs.columns)
     again = marked.where(~F.col("_gone")).dropDuplicates([id_col])
     return single.unionByName(again).select(*docs.columns)
