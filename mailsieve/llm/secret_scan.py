@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,13 +221,13 @@ def _mask(text: str | None, spans: list | None) -> str | None:
 def _mask_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("_masked_text")
-        texts = [
-            _mask(text, spans)
-            for text, spans in zip(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist(), strict=True)
-        ]
-        columns = batch.columns[: batch.num_columns - 1]
-        columns[at] = pa.array(texts, pa.string())
-        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[: batch.num_columns - 1])
+        texts, spans = batch.column(at), batch.column(at + 1)
+        found = pc.is_valid(spans)
+        if pc.any(found).as_py():
+            pairs = zip(texts.filter(found).to_pylist(), spans.filter(found).to_pylist(), strict=True)
+            texts = pc.replace_with_mask(texts, found, pa.array([_mask(*pair) for pair in pairs], texts.type))
+        columns = [*batch.columns[:at], texts]
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[: at + 1])
 
 
 def mask_secrets(
@@ -252,10 +253,8 @@ def mask_secrets(
         F.col(id_col).eqNullSafe(F.col("_span_id")) & (F.col("_doc_key") == F.col("_span_key")),
         "left",
     )
-    clean = joined.where(F.col("_spans").isNull()).select(*docs.columns)
-    marked = joined.where(F.col("_spans").isNotNull()).select(
-        *docs.columns, F.col(text_col).alias("_masked_text"), "_spans"
-    )
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    masked = map_arrow(marked, _mask_batches, f"{kinds}, _masked_text string").drop(text_col)
-    return clean.unionByName(masked.withColumnRenamed("_masked_text", text_col)).select(*docs.columns)
+    others = [f for f in docs.schema.fields if f.name != text_col]
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others)
+    marked = joined.select(*[f.name for f in others], F.col(text_col).alias("_masked_text"), "_spans")
+    masked = map_arrow(marked, _mask_batches, f"{kinds}_masked_text string")
+    return masked.withColumnRenamed("_masked_text", text_col).select(*docs.columns)
