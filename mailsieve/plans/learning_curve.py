@@ -40,7 +40,8 @@ def learning_curve(
 
     Folds and nested training sets are decided row by row from hashes of the key,
     so no fold needs a shuffle and a smaller set is always part of a larger one.
-    Features are fitted anew on each training set.
+    Features are fitted anew on each training set. A training set of one class
+    predicts that class; one without rows gives none.
     """
     fold = F.floor(_hash_share(row_key, f"{seed}:fold") * folds).cast("int")
     rows = written(
@@ -57,18 +58,24 @@ def learning_curve(
     def predictions_of(run: tuple[float, int]) -> list[DataFrame]:
         size, held_out = run
         in_train = (F.col("fold") != held_out) & (F.col("place") < size)
-        features = feature_model(rows.filter(in_train), "text", max_features, ngram_range)
         used = rows.filter(in_train | (F.col("fold") == held_out))
-        vectors = written(
-            features.transform(used).select("label", "features", "fold"), "curve-vectors"
-        )
-        train = vectors.filter(F.col("fold") != held_out)
-        n_train = train.count()
+        # Two rows at most.
+        sizes = {r["label"]: r["count"] for r in rows.filter(in_train).groupBy("label").count().collect()}
+        n_train = sum(sizes.values())
+        if not n_train:
+            return []
+        if len(sizes) == 1:
+            fitted = [used.withColumn(name, F.lit(next(iter(sizes)))) for name in names]
+        else:
+            features = feature_model(rows.filter(in_train), "text", max_features, ngram_range)
+            vectors = written(
+                features.transform(used).select("label", "features", "fold"), "curve-vectors"
+            )
+            train = vectors.filter(F.col("fold") != held_out)
+            fitted = [fit_classifier(name, train, n_train).model.transform(vectors) for name in names]
         part = F.when(F.col("fold") == held_out, "validation").otherwise("train")
         return [
-            fit_classifier(name, train, n_train)
-            .model.transform(vectors)
-            .select(
+            predicted.select(
                 F.lit(name).alias("model"),
                 F.lit(float(size)).alias("size"),
                 F.lit(held_out).alias("fold"),
@@ -77,7 +84,7 @@ def learning_curve(
                 "label",
                 F.col(name).cast("int").alias("prediction"),
             )
-            for name in names
+            for name, predicted in zip(names, fitted, strict=True)
         ]
 
     runs = [(size, held_out) for size in sizes for held_out in range(folds)]

@@ -298,7 +298,9 @@ sizes AS (
   SELECT w.run, w.row_index, sum(w.weight * t.odds) AS margin
   FROM weights w JOIN theta t ON w.run = t.run AND w.term = t.term GROUP BY w.run, w.row_index), predicted AS (
   SELECT r.run, r.row_index, r.label, r.in_train,
-         CAST(coalesce(m.margin, 0) + ln(s.n1 + {alpha}) - ln(s.n0 + {alpha}) > 0 AS INTEGER) AS prediction
+         CASE WHEN s.n1 = 0 THEN 0 WHEN s.n0 = 0 THEN 1
+              ELSE CAST(coalesce(m.margin, 0) + ln(s.n1 + {alpha}) - ln(s.n0 + {alpha}) > 0 AS INTEGER)
+         END AS prediction
   FROM runs r JOIN sizes s ON r.run = s.run LEFT JOIN margins m ON m.run = r.run AND m.row_index = r.row_index)"""
 
 
