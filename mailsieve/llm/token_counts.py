@@ -2,7 +2,9 @@
 
 ``write_flat`` writes the ids of documents end to end as unsigned 16-bit integers, each
 document followed by a separator id that no document holds: nothing in the files says
-where a document starts. It is one pass from texts to files, without a shuffle.
+where a document starts. It is one pass from texts to files, without a shuffle. The same
+tasks write which document stands at which place into files of their own, so that names
+belong to the files whatever a later scan of the documents looks like.
 
 ``count_flat`` reads such files in blocks of ``BLOCK`` bytes. Each block is searched for
 separators at once, as an array. A document may begin in one block and end in a later
@@ -19,6 +21,7 @@ counts as the empty one, null ids pass through and equal rows count one by one.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,35 +34,68 @@ from mailsieve.llm.common import map_arrow
 
 SEPARATOR = 50256
 BLOCK = 1 << 20
+HOLDS, TOKENS, NAMES = "holds", "tokens", "names"
 
 
 def write_flat(
     docs: DataFrame, vocabulary: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
     separator: int = SEPARATOR,
 ) -> DataFrame:
-    """Write flat token files below ``folder``; returns what is known of them without reading:
-    part (number of the file), ordinal (place in it) and doc_id.
+    """Write flat token files below ``folder``; returns the names of their documents, as written:
+    part (number of the file), ordinal (place in it) and doc_id (of a type with a text form).
 
-    Rows keep the partitions and the order of ``docs``, which should be a plain scan, so
-    that file numbers and places follow from the scan alone.
+    Rows keep the partitions and the order of ``docs``. A task writes a file of tokens and
+    one of names, which are committed together.
     """
+    spark = docs.sparkSession
     # The text writer puts out bytes as they are, and the separator after each row.
     ending = separator.to_bytes(2, "little").decode("latin-1")
-    (
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    kind = docs.schema[id_col].dataType
+    # A line of its own per name; the separators between them make lines of two bytes at most.
+    name = F.concat(
+        F.lit("\n#"), F.col("place").cast("string"), F.lit(" "),
+        F.coalesce(F.hex(F.col("doc_id").cast("string")), F.lit("-")), F.lit("\n"),
+    )
+    rows = (
         encode(docs, vocabulary, id_col, text_col, mark=False, bits=16)
-        .select(F.col("ids").cast("string"))
-        .write.option("encoding", "ISO-8859-1")
-        .option("lineSep", ending)
-        .text(folder)
+        .select("doc_id", F.col("ids").cast("string").alias("ids"), place.alias("place"))
+        .select(F.stack(F.lit(2), F.lit(TOKENS), F.col("ids"), F.lit(NAMES), name).alias(HOLDS, "value"))
     )
-    place = F.monotonically_increasing_id()
-    return docs.select(
-        F.spark_partition_id().alias("part"),
-        place.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"),
-        docs[id_col].alias("doc_id"),
+    # With a writer open for each of the two, rows are not sorted before they are written.
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+        (
+            rows.write.partitionBy(HOLDS)
+            .option("encoding", "ISO-8859-1")
+            .option("lineSep", ending)
+            .option("maxRecordsPerFile", 0)
+            .text(folder)
+        )
+    lines = spark.read.option("lineSep", "\n").text(folder)
+    # A table without rows leaves no files.
+    lines = lines.where(F.col(HOLDS) == NAMES) if HOLDS in lines.columns else lines.where(F.lit(False))
+    line = r"^#(\d+) ([0-9A-F]*|-)$"
+    found = F.regexp_extract("value", line, 2)
+    return lines.where(F.col("value").rlike(line)).select(
+        part_number(F.col("_metadata.file_path")).alias("part"),
+        F.regexp_extract("value", line, 1).cast("bigint").alias("ordinal"),
+        F.when(found != "-", F.unhex(found).cast("string").cast(kind)).alias("doc_id"),
     )
 
 
+@contextlib.contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _search(separator: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,6 +127,8 @@ def count_flat(
     if block % 2:
         raise ValueError("a block must be a whole number of ids")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    if HOLDS in files.columns:
+        files = files.where(F.col(HOLDS) == TOKENS)
     pieces = F.transform(
         F.sequence(F.lit(0), F.ceil(F.length("content") / block).cast("int") - 1),
         lambda i: F.substring("content", i * block + 1, F.lit(block)),

@@ -206,3 +206,32 @@ def test_blocks_are_stitched(spark, tmp_path, block):
         (0, 0, 0, 1, True), (0, 1, 2, 0, True), (0, 2, 3, 4, True), (0, 3, 8, 6, True), (0, 4, 15, 2, False),
         (2, 0, 0, 0, True),
     ]
+
+
+def test_names_do_not_depend_on_a_second_split(spark, tmp_path, library):
+    """The documents are split otherwise when the result is read than when files were written."""
+    texts = {i: "word " * (i % 37) for i in range(400)}
+    table = tmp_path / "documents.parquet"
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8).write.parquet(str(table))
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(256 << 20))  # a split for each file
+        result = op7_token_counts(spark, str(tmp_path))
+        spark.conf.set(key, "1")  # files share splits
+        found = sorted((r.doc_id, r.n_tokens) for r in result.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert found == sorted((i, len(library_ids(library, t))) for i, t in texts.items())
+
+
+def test_names_of_any_kind_and_separator(spark, tmp_path):
+    """Text ids with odd letters, a null id, and separators that look like parts of a name."""
+    ids = ["a b", "", "-", "#1 41", "x\ny", "漢字PÄ", None]
+    docs = spark.createDataFrame([(i, "x") for i in ids], "doc_id string, text string").coalesce(1)
+    for separator in (50256, 0x230A, 0x0A31, 0x3131):
+        folder = str(tmp_path / str(separator))
+        names = write_flat(docs, PATH, folder, separator=separator)
+        assert [r.doc_id for r in names.orderBy("ordinal").collect()] == ids
+        counts = count_flat(spark, folder, separator=separator)
+        assert [r.n_tokens for r in counts.collect()] == [1] * len(ids)
