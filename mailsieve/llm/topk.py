@@ -13,12 +13,16 @@ histograms locate the k-th score of each query:
    equal to it find the last id that is still needed, for queries with more ties than places.
 3. A last round keeps what is above both limits and ranks it.
 
-Scores are integers, so all of this is exact. The range starts at the largest squared norm,
-which bounds every inner product.
+Scores are integers, so all of this is exact. The range starts at the product of the two
+largest norms, which bounds the inner product of any two rows, or at the range of a long.
+Products are added up as longs, whose sums are right whenever the score fits a long. Where a
+score in doubles, with its largest error, does not prove that it fits, the pair is scored in
+Python integers.
 
 Defined results: rows with a null id, a null vector, or null, NaN or infinite components
-take no part, nor do those with a component of 8,192 or more, whose scores might not fit a
-long. Vectors of different lengths have no score with each other. Rows with a query's own
+take no part; all finite ones do. As in the SQL, a component whose floor does not fit a
+long is an error. So is a score of a candidate above a long; one below a long ranks last and
+is an error only if it would be among the results. Vectors of different lengths have no score with each other. Rows with a query's own
 id are not its candidates. Rows that repeat an id are candidates, and queries, one by
 one. A query with fewer candidates than k gets all. An empty table gives an empty result.
 """
@@ -27,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsieve.llm.common import worker_path, written
@@ -35,21 +39,28 @@ from mailsieve.llm.common import worker_path, written
 K = 10
 SCALE = 1024
 BITS = 11
-LARGEST = 8192
+LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
 SLICE = 4096
 BLOCK = 1024
 LEAST_SLICES = 32
 _KEYS = ["dim", "block", "slice"]
 
 
+def _floor(x: Column) -> Column:
+    fits = (x >= float(LEAST_LONG)) & (x < -float(LEAST_LONG))
+    return F.when(fits, F.floor(x).cast("bigint")).otherwise(
+        F.raise_error(F.lit("a scaled component of a vector does not fit a long")).cast("bigint")
+    )
+
+
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """vec_id, v (floor of scale times each component), dim; only rows that take part."""
     values = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     return (
         vectors.select(vectors[id_col].cast("bigint").alias("vec_id"), values.alias("x"))
         .where(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
-        .where(F.forall("x", lambda x: F.coalesce((F.abs(x) < LARGEST) & ~F.isnan(x), F.lit(False))))
-        .select("vec_id", F.transform("x", lambda x: F.floor(x * scale).cast("int")).alias("v"))
+        .where(F.forall("x", lambda x: F.coalesce((F.abs(x) < float("inf")) & ~F.isnan(x), F.lit(False))))
+        .select("vec_id", F.transform("x", lambda x: _floor(x * scale)).alias("v"))
         .withColumn("dim", F.size("v"))
     )
 
@@ -61,21 +72,39 @@ def _matrix(table: pa.Table, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, dim)
 
 
-def _scores(vectors: pa.Table, queries: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(queries x vectors) scores and which of them are candidates."""
+def _scores(vectors: pa.Table, queries: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(queries x vectors) scores, which of them are candidates, and which are below a long."""
     dim = vectors.column("dim")[0].as_py()
     a, b = _matrix(queries, dim).astype(np.int64), _matrix(vectors, dim).astype(np.int64)
-    # Sums below 2 ** 53 are exact in doubles, whose products are much faster.
-    if dim and float(np.abs(a).max()) * float(np.abs(b).max()) * dim < 2.0**53:
-        scores = (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    else:
-        scores = a @ b.T
     other = queries.column("query_id").to_numpy()[:, None] != vectors.column("vec_id").to_numpy()[None, :]
-    return scores, other
+    x, y = a.astype(np.float64), b.astype(np.float64)
+    largest = float(np.abs(x).max()) * float(np.abs(y).max()) * dim if dim else 0.0
+    # Sums below 2 ** 53 are exact in doubles, whose products are much faster.
+    if largest < 2.0**53:
+        return (x @ y.T).astype(np.int64), other, np.zeros(other.shape, bool)
+    scores, below = a @ b.T, np.zeros(other.shape, bool)
+    if largest >= 2.0**62:
+        _mend(scores, below, a, b, x, y, other)
+    return scores, other, below
+
+
+def _mend(scores, below, a, b, x, y, other) -> None:
+    """Set the scores of candidates that may not fit a long, where the sum of longs may be wrong."""
+    rough = x @ y.T
+    # Twice the error of rounding each component, product and sum.
+    error = (len(x[0]) + 8) * 2.0**-51 * np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1))
+    below |= other & (rough + error < LEAST_LONG)
+    scores[below] = LEAST_LONG
+    for i, j in np.argwhere(other & ~below & (np.abs(rough) + error >= -LEAST_LONG)).tolist():
+        score = sum(p * q for p, q in zip(a[i].tolist(), b[j].tolist(), strict=True))
+        if score > MOST_LONG:
+            raise OverflowError("the score of two vectors does not fit a long")
+        below[i, j] = score < LEAST_LONG
+        scores[i, j] = max(score, LEAST_LONG)
 
 
 def _histogram(vectors: pa.Table, queries: pa.Table, bits: int) -> pa.Table:
-    scores, counted = _scores(vectors, queries)
+    scores, counted, _ = _scores(vectors, queries)
     low = queries.column("low").to_numpy()[:, None].astype(np.int64)
     high = queries.column("high").to_numpy()[:, None].astype(np.int64)
     shift = queries.column("shift").to_numpy()[:, None].astype(np.uint64)
@@ -102,11 +131,13 @@ def _histogram(vectors: pa.Table, queries: pa.Table, bits: int) -> pa.Table:
 
 
 def _winners(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-    scores, wanted = _scores(vectors, queries)
+    scores, wanted, below = _scores(vectors, queries)
     ids = vectors.column("vec_id").to_numpy()
     limit = queries.column("score").to_numpy()[:, None]
     last = queries.column("last_id").to_numpy()[:, None]
     rows, places = np.nonzero(wanted & ((scores > limit) | ((scores == limit) & (ids[None, :] <= last))))
+    if below[rows, places].any():
+        raise OverflowError("a score among the results is below a long")
     return pa.table(
         {
             "qrow": queries.column("qrow").to_numpy()[rows],
@@ -205,11 +236,13 @@ def search(
     worker_path(spark)
     row_no = F.monotonically_increasing_id()
     all_rows = written(integer_vectors(vectors, id_col, vector_col, scale).withColumn("row_no", row_no), "topk-vectors")
-    squares = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x.cast("bigint") * x)
-    facts = all_rows.agg(
-        F.count(F.lit(1)), F.count_if(is_query), F.max(squares), F.min("vec_id"), F.max("vec_id")
-    ).first()
-    n_rows, n_queries, bound, least_id, most_id = [x or 0 for x in facts]
+    facts = all_rows.agg(F.count(F.lit(1)), F.count_if(is_query), F.min("vec_id"), F.max("vec_id")).first()
+    n_rows, n_queries, least_id, most_id = [x or 0 for x in facts]
+    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    norms = [r.square**0.5 for r in all_rows.select(squares.alias("square")).orderBy(F.desc("square")).limit(2).collect()]
+    # Rounded up by far more than doubles can be off.
+    bound = int(norms[0] * norms[-1] * (1 + 1e-6)) + 1 if norms else 0
+    low, high = max(-bound, LEAST_LONG), min(bound, MOST_LONG)
     n_slices = max(LEAST_SLICES, -(-n_rows // SLICE))
     n_blocks = max(1, -(-n_queries // BLOCK))
     sliced = written(
@@ -230,14 +263,14 @@ def search(
         "qrow",
         F.lit(False).alias("by_id"),
         F.lit(0).cast("bigint").alias("score"),
-        F.lit(-bound).cast("bigint").alias("low"),
-        F.lit(bound).cast("bigint").alias("high"),
+        F.lit(low).cast("bigint").alias("low"),
+        F.lit(high).cast("bigint").alias("high"),
         F.lit(k).cast("bigint").alias("need"),
         F.lit(0).cast("bigint").alias("in_bin"),
         F.lit(False).alias("short"),
     )
-    scored = _locate(sliced, queries, start, 2 * bound + 1, n_blocks, n_slices, bits)
-    least, most = F.lit(-(1 << 63)).cast("bigint"), F.lit((1 << 63) - 1).cast("bigint")
+    scored = _locate(sliced, queries, start, high - low, n_blocks, n_slices, bits)
+    least, most = F.lit(LEAST_LONG).cast("bigint"), F.lit(MOST_LONG).cast("bigint")
     # A query with too few candidates takes all of them, one with as many ties as places all ties.
     settled = scored.select(
         "qrow",

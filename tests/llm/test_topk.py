@@ -53,3 +53,43 @@ def test_odd_vectors(spark):
     assert sorted(map(tuple, found.collect())) == expected(floors(good), lambda i: i >= 0, 1)
     assert search(frame.limit(0), F.col("vec_id") >= 0).count() == 0
     assert search(frame.where("vec_id = 1"), F.col("vec_id") >= 0).count() == 0
+
+
+def test_large_components_take_part(spark):
+    """Components of 8,192 and more, up to scores near both ends of a long."""
+    draw = random.Random(9)
+    rows = [(i, [draw.choice([-1, 1]) * 10 ** draw.uniform(-2, 6) for _ in range(3)]) for i in range(90)]
+    rows += [(200, [9000.0, 0.0]), (201, [8191.0, 1.0]), (202, [2.0**26, 0.5])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = search(frame, F.col("vec_id") % 5 == 0)
+    assert sorted(map(tuple, found.collect())) == expected(floors(rows), lambda i: i % 5 == 0, 10)
+    # One vector whose square is far beyond a long, and pairs at the edges of a long.
+    edge = [(0, [2.0**43, 1.0]), (1, [1.0, -1.0]), (2, [2.0**-10, 0.5]), (3, [-1.0, 0.0]), (4, [-(2.0**-10), 0.0])]
+    edge += [(5, [511.0 / 1024, 2.0**10]), (6, [-(2.0**20), 0.0])]
+    frame = spark.createDataFrame(edge, "vec_id long, embedding array<double>")
+    found = search(frame, F.col("vec_id") >= 0, k=2)
+    assert sorted(map(tuple, found.collect())) == expected(floors(edge), lambda i: i >= 0, 2)
+
+
+@pytest.mark.parametrize("rows", [[(0, [1e16]), (1, [1.0])], [(0, [2.0**43]), (1, [2.0**10])], [(0, [2.0**43]), (1, [-(2.0**20)])]])
+def test_results_beyond_a_long_are_errors(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="fit a long|below a long"):
+        search(frame, F.col("vec_id") == 0).collect()
+
+
+def test_scores_at_the_ends_of_a_long():
+    """Pairs that doubles cannot tell from 2 ** 63 are scored exactly."""
+    import pyarrow as pa
+
+    from mailsieve.llm import topk
+
+    b = [[1 << 10, -1], [1 << 10, -5], [-(1 << 10), 0], [-(1 << 10), -1]]
+    queries = pa.table({"query_id": [1], "v": [[1 << 53, 1]], "dim": [2]})
+    vectors = pa.table({"vec_id": [11, 12, 13, 14], "v": b, "dim": [2] * 4})
+    scores, other, below = topk._scores(vectors, queries)
+    assert other.all()
+    assert scores.tolist() == [[2**63 - 1, 2**63 - 5, -(2**63), -(2**63)]]
+    assert below.tolist() == [[False, False, False, True]]
+    with pytest.raises(OverflowError):
+        topk._scores(pa.table({"vec_id": [11], "v": [[1 << 10, 0]], "dim": [2]}), queries)
