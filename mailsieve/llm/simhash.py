@@ -70,12 +70,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(shingle: int):
+def _fingerprints(shingle: int, *more: str):
+    """Rows of id, text and more columns to id, fingerprint and the same columns."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *more]
             )
 
     return work
@@ -230,26 +232,48 @@ def drop_near_copies(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """The row with the smallest id of each component, with all columns of ``docs``.
+    """One row of each component, with all columns of ``docs``: the one with the smallest id.
 
-    Rows that repeat an id count as one document, of which one row stays. Rows without an
-    id stay, as nothing tells which of them a component names.
+    Ids may repeat or be null: a row is told by its id and its text, rows without an id come
+    last, and equal ids are told apart by fingerprint and text digest. Of rows equal in id and
+    text one stays.
     """
-    groups = written(near_groups(docs, id_col, text_col, shingle, max_bits), "near-groups")
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_gone_id")
+    name = F.col("doc_id").isNull().alias("no_id"), F.col("doc_id")
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    prints = written(
+        map_arrow(
+            texts.select("doc_id", "text", _digest(F.col("text")).alias("digest")),
+            _fingerprints(shingle, "digest"),
+            f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp bigint, digest binary",
+        ),
+        "fingerprints",
+    )
+    keys = written(prints.groupBy("doc_id", "digest", "fp").count(), "document-keys")
+    nodes = written(keys.groupBy("fp").agg(F.min(F.struct(*name, "fp", "digest")).alias("first")), "distinct-fingerprints")
+    roots = components(links(nodes, max_bits))
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    touched = (
-        gone.distinct()
-        .withColumn("_gone", F.lit(True))
-        .unionByName(repeated.select(F.col("doc_id").alias("_gone_id"), F.lit(False).alias("_gone")))
-        .groupBy("_gone_id")
-        .agg(F.min("_gone").alias("_gone"))
+    winners = rooted.groupBy("root").agg(F.min("first").alias("winner"))
+    named = written(rooted.join(winners, "root").select("fp", "winner"), "components")
+    wins = F.col("winner") == F.struct(*name, "fp", "digest")
+    verdicts = keys.join(named, "fp").select("doc_id", "digest", (~wins).alias("_gone"), "count")
+    touched = written(
+        verdicts.where("_gone or count > 1").select(
+            F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest"), "_gone"
+        ),
+        "near-copies",
     )
-    marked = docs.join(touched, F.col(id_col) == F.col("_gone_id"), "left")
+    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_digest(F.col(text_col).cast("string")) == F.col("_gone_digest"))
+    marked = docs.join(touched, same, "left")
     single = marked.where(F.col("_gone").isNull())
+    repeated = touched.where(~F.col("_gone"))
     if repeated.isEmpty():
         return single.select(*docs.columns)
-    again = marked.where(~F.col("_gone")).dropDuplicates([id_col])
+    again = marked.where(~F.col("_gone")).dropDuplicates(["_gone_id", "_gone_digest"])
     return single.unionByName(again).select(*docs.columns)
+
+
+def _digest(text: Column) -> Column:
+    """SHA-256 of a text; a null text counts as the empty one, as for fingerprints."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))

@@ -107,3 +107,22 @@ def test_components_of_a_long_chain_and_a_star(spark):
     frame = spark.createDataFrame(chain + star, "a long, b long")
     found = {r.node: r.root for r in components(frame).collect()}
     assert found == {i: 100 for i in range(101, 161)} | {1000 + i: 1000 for i in range(1, 400)}
+
+
+def test_repeated_and_null_ids_lose_no_text(spark):
+    """What stays is decided by row, not by id alone: one row of each component."""
+    words = [" ".join(f"{c}{i}" for i in range(300)) for c in "abcdefg"]
+    rows = [
+        (3, words[0]), (5, words[0].upper()),  # id 5 twice: a copy of 3, and a text that stands alone
+        (5, words[1]),
+        (6, words[2]), (6, words[3]),  # unrelated texts under one id
+        (None, words[4]), (None, words[4].upper()), (None, words[4]),  # copies without an id
+        (None, words[2]), (None, words[5]),  # a copy of 6, and one that stands alone
+        (9, words[6]), (9, words[6]), (9, words[6].upper()), (8, words[6]),
+    ]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, digest int").repartition(4)
+    stay = drop_near_copies(docs)
+    assert stay.columns == docs.columns
+    found = [(r.doc_id, r.text.lower()) for r in stay.collect()]
+    expected = [(3, words[0]), (5, words[1]), (6, words[2]), (6, words[3]), (None, words[4]), (None, words[5]), (8, words[6])]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
