@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import os
 import string
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsieve.session import written
 
-__all__ = ["ascii_lower", "held_out", "map_arrow", "table", "text_slices", "worker_path", "written"]
+__all__ = ["ascii_lower", "free_names", "held_out", "map_arrow", "table", "text_slices", "worker_path", "written"]
+
+_SLICE_BYTES = 1 << 21
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -53,12 +57,47 @@ def worker_path(spark: SparkSession) -> None:
 def map_arrow(
     frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with a package that workers can import."""
+    """``mapInArrow`` with a package that workers can import.
+
+    ``work`` sees batches of about 2 MB of text at most, whatever Spark's batches hold: the
+    memory of a worker does not follow the length of the texts, only that of the longest.
+    """
     worker_path(frame.sparkSession)
-    return frame.mapInArrow(work, schema)
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work(part for batch in batches for part in _byte_slices(batch))
+
+    return frame.mapInArrow(sliced, schema)
+
+
+def _byte_slices(batch: pa.RecordBatch, slice_bytes: int = _SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows whose texts and binaries sum up to about ``slice_bytes``."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + slice_bytes, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """``wanted`` with underscores added where ``taken`` holds the name, whatever its case."""
+    used = {name.lower() for name in taken}
+    names = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        names.append(name)
+    return names
 
 
-def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: int, slice_bytes: int = _SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows whose texts sum up to about ``slice_bytes``.
 
     Keeps the memory of a worker independent of the batch size; a single longer text

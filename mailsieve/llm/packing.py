@@ -255,6 +255,7 @@ def _packer(path: str, end_id: int, size: int, sentence: int, inside: int, grid:
                     if stream.held >= STRETCH:
                         yield _rows(stream.pack(last=False), first_window, id_type)
         yield _rows(stream.pack(last=True), first_window, id_type)
+        cache.end_task()
 
     return work
 

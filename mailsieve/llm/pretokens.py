@@ -19,7 +19,8 @@ import pyarrow as pa
 from tokenizers.pre_tokenizers import ByteLevel
 
 MARK = "<|endoftext|>"
-CACHE = 300_000
+CACHE = 40 << 20  # bytes of one generation
+_ENTRY = 180  # bytes of an entry beside its text and its ids
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = range(5)
 _APOSTROPHE, _BLANK = 0x27, 0x20
 
@@ -136,15 +137,21 @@ def spread_rows(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
 
 
 class PieceCache:
-    """Encodes pieces, keeping the ids of recent ones: two generations of ``limit`` pieces.
+    """Encodes pieces, keeping the ids of recent ones: two generations of about ``limit`` bytes.
 
-    ``encode`` gives the ids of each piece as little-endian 32-bit integers.
+    ``encode`` gives the ids of each piece as little-endian 32-bit integers. The pieces of one
+    cut are a generation at least; they are in memory in any case.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE):
         self._encode, self._limit = encode, limit
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0
+
+    def end_task(self) -> None:
+        """Free the older generation: a worker outlives its task, other work may be next."""
+        self._old = {}
 
     def _lookup(self, pieces: list[str]) -> list[bytes]:
         young, old = self._young, self._old
@@ -154,9 +161,14 @@ class PieceCache:
             encoded = self._encode([pieces[i] for i in missing])
             for i, ids in zip(missing, encoded, strict=True):
                 found[i] = ids
-        if len(young) + len(pieces) > self._limit:
-            self._young, self._old = {}, young
-        self._young.update(zip(pieces, found, strict=True))
+        new = [i for i, piece in enumerate(pieces) if piece not in young]
+        size = sum(_ENTRY + len(pieces[i]) + len(found[i]) for i in new)
+        if self._held + size > self._limit:
+            self._young, self._old, self._held = {}, young, 0
+            new = range(len(pieces))
+            size = sum(_ENTRY + len(piece) + len(ids) for piece, ids in zip(pieces, found, strict=True))
+        self._held += size
+        self._young.update((pieces[i], found[i]) for i in new)
         return found
 
     def ids(self, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
