@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.llm.common import ascii_lower, written
+from mailsieve.llm.common import ascii_lower, free_names, written
 
 SUPPORT = 0.001
 
@@ -75,6 +75,7 @@ def drop_copies(
     Texts are joined once, with the keys of rows that go and of winners that the table
     repeats; of the latter, equal in id and text, one row stays.
     """
+    key, id_, same, kept = free_names(docs.columns, "_text_key", "_touched_id", "_touched_key", "_touched_kept")
     decided = written(copy_groups(docs, id_col, text_col, support), "dedup-decided")
     touched = (
         decided.where(F.col("group_size") > 1)
@@ -82,19 +83,16 @@ def drop_copies(
         .agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
         .where(~F.col("kept") | (F.col("n") > 1))
         .select(
-            F.col("doc_id").alias("_touched_id"),
-            F.col("text_sha256").alias("_touched_key"),
-            F.col("kept").alias("_touched_kept"),
+            F.col("doc_id").alias(id_),
+            F.col("text_sha256").alias(same),
+            F.col("kept").alias(kept),
         )
     )
-    marked = docs.withColumn("_text_key", _text_key(docs, text_col)).join(
-        touched,
-        F.col(id_col).eqNullSafe(F.col("_touched_id"))
-        & (F.col("_text_key") == F.col("_touched_key")),
-        "left",
+    marked = docs.withColumn(key, _text_key(docs, text_col)).join(
+        touched, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(key) == F.col(same)), "left"
     )
-    single = marked.where(F.col("_touched_kept").isNull())
-    if touched.where("_touched_kept").isEmpty():
+    single = marked.where(F.col(kept).isNull())
+    if touched.where(F.col(kept)).isEmpty():
         return single.select(*docs.columns)
-    repeated = marked.where("_touched_kept").dropDuplicates([id_col, "_text_key"])
+    repeated = marked.where(F.col(kept)).dropDuplicates([id_col, key])
     return single.unionByName(repeated).select(*docs.columns)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.llm.common import map_arrow, written
+from mailsieve.llm.common import free_names, map_arrow, written
 
 # The strong patterns, their least lengths, and the order of kinds.
 ASSIGN = re.compile(
@@ -219,8 +219,9 @@ def _mask(text: str | None, spans: list | None) -> str | None:
 
 
 def _mask_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns of the table, its text, its spans; the spans are left out of the result."""
     for batch in batches:
-        at = batch.schema.get_field_index("_masked_text")
+        at = batch.num_columns - 2
         texts, spans = batch.column(at), batch.column(at + 1)
         found = pc.is_valid(spans)
         if pc.any(found).as_py():
@@ -238,6 +239,9 @@ def mask_secrets(
     Rows are told apart by id and text, so equal rows get equal spans. Texts without
     spans, null and empty ones are left as they are.
     """
+    span_id, span_key, found, doc_key, text = free_names(
+        docs.columns, "_span_id", "_span_key", "_spans", "_doc_key", "_masked_text"
+    )
     key = F.sha2(F.coalesce(docs[text_col], F.lit("")), 256)
     keyed = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     keyed = keyed.select(F.struct("_id", F.sha2(F.coalesce("_text", F.lit("")), 256).alias("_key")).alias("_id"), "_text")
@@ -245,16 +249,14 @@ def mask_secrets(
         scan_secrets(keyed, "_id", "_text", scope)
         .where(F.size("spans") > 0)
         .groupBy("doc_id")
-        .agg(F.first("spans").alias("_spans"))
-        .select(F.col("doc_id._id").alias("_span_id"), F.col("doc_id._key").alias("_span_key"), "_spans")
+        .agg(F.first("spans").alias(found))
+        .select(F.col("doc_id._id").alias(span_id), F.col("doc_id._key").alias(span_key), found)
     )
-    joined = docs.withColumn("_doc_key", key).join(
-        spans,
-        F.col(id_col).eqNullSafe(F.col("_span_id")) & (F.col("_doc_key") == F.col("_span_key")),
-        "left",
+    joined = docs.withColumn(doc_key, key).join(
+        spans, F.col(id_col).eqNullSafe(F.col(span_id)) & (F.col(doc_key) == F.col(span_key)), "left"
     )
     others = [f for f in docs.schema.fields if f.name != text_col]
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others)
-    marked = joined.select(*[f.name for f in others], F.col(text_col).alias("_masked_text"), "_spans")
-    masked = map_arrow(marked, _mask_batches, f"{kinds}_masked_text string")
-    return masked.withColumnRenamed("_masked_text", text_col).select(*docs.columns)
+    marked = joined.select(*[f.name for f in others], F.col(text_col).alias(text), found)
+    masked = map_arrow(marked, _mask_batches, f"{kinds}`{text}` string")
+    return masked.withColumnRenamed(text, text_col).select(*docs.columns)

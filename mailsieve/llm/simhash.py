@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.llm.common import map_arrow, written
+from mailsieve.llm.common import free_names, map_arrow, written
 from mailsieve.llm.components import components
 
 SHINGLE = 3
@@ -238,6 +238,7 @@ def drop_near_copies(
     last, and equal ids are told apart by fingerprint and text digest. Of rows equal in id and
     text one stays.
     """
+    gone, gone_id, gone_digest = free_names(docs.columns, "_gone", "_gone_id", "_gone_digest")
     name = F.col("doc_id").isNull().alias("no_id"), F.col("doc_id")
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     prints = written(
@@ -257,20 +258,20 @@ def drop_near_copies(
     winners = rooted.groupBy("root").agg(F.min("first").alias("winner"))
     named = written(rooted.join(winners, "root").select("fp", "winner"), "components")
     wins = F.col("winner") == F.struct(*name, "fp", "digest")
-    verdicts = keys.join(named, "fp").select("doc_id", "digest", (~wins).alias("_gone"), "count")
+    verdicts = keys.join(named, "fp").select("doc_id", "digest", (~wins).alias(gone), "count")
     touched = written(
-        verdicts.where("_gone or count > 1").select(
-            F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest"), "_gone"
+        verdicts.where(F.col(gone) | (F.col("count") > 1)).select(
+            F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest), gone
         ),
         "near-copies",
     )
-    same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (_digest(F.col(text_col).cast("string")) == F.col("_gone_digest"))
+    same = F.col(id_col).eqNullSafe(F.col(gone_id)) & (_digest(F.col(text_col).cast("string")) == F.col(gone_digest))
     marked = docs.join(touched, same, "left")
-    single = marked.where(F.col("_gone").isNull())
-    repeated = touched.where(~F.col("_gone"))
+    single = marked.where(F.col(gone).isNull())
+    repeated = touched.where(~F.col(gone))
     if repeated.isEmpty():
         return single.select(*docs.columns)
-    again = marked.where(~F.col("_gone")).dropDuplicates(["_gone_id", "_gone_digest"])
+    again = marked.where(~F.col(gone)).dropDuplicates([gone_id, gone_digest])
     return single.unionByName(again).select(*docs.columns)
 
 

@@ -2,7 +2,9 @@ import pytest
 
 ODD_SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
-    "score double, kept string, row_no int, fp string, spans int, keep_id string, start string"
+    "score double, kept string, row_no int, fp string, spans int, keep_id string, start string, "
+    "_text_key string, _touched_kept int, _gone string, _gone_id string, _gone_digest string, "
+    "_doc_key string, _span_id string, _Spans string, _masked_text string"
 )
 SECRET = 'login: alice\npassword = "abcdEFGH1234" see https://db.example.com/x\n'
 LONG = " ".join(f"word{i % 977} filler{i % 31}," for i in range(60_000))
@@ -17,7 +19,7 @@ def odd_rows():
         (16, "😀 <|endoftext|> it's 12 O'Neil's \n\n x"),
     ]
     return [
-        (i, t, None if i is None else "en", None, None if t is None else len(t), 0.5, "k", 7, "f", 1, "z", "s")
+        (i, t, None if i is None else "en", None, None if t is None else len(t), 0.5, "k", 7, "f", 1, "z", "s", "t", 3, *"abcdefg")
         for i, t in texts
     ]
 
