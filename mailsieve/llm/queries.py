@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsieve.llm import licenses, quality, topk, toxicity
+from mailsieve.llm import centroids, decontamination, licenses, quality, topk, toxicity
 from mailsieve.llm.bpe import decode, encode
 from mailsieve.llm.common import table
 from mailsieve.llm.exact_dedup import copy_groups
 from mailsieve.llm.packing import pack
+from mailsieve.llm.prefix_trie import prefix_trie
 from mailsieve.llm.secret_scan import STRONG, scan_secrets, span_list
 from mailsieve.llm.simhash import near_groups
 from mailsieve.llm.token_counts import count_flat, part_number, write_flat
@@ -102,6 +103,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.summary(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.summary(found)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -113,6 +127,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_secrets": op10_secrets,
+    "op11_centroids": op11_centroids,
+    "op12_decontamination": op12_decontamination,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
