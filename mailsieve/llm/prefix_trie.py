@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from mailsieve.llm.common import map_arrow, written
 from mailsieve.llm.ranges import running_before
 
-LIMIT = 1 << 14
+LIMIT = 1 << 10
 RUN = 1 << 12
 EVERY = 5
 SWAPS = 9

@@ -1,4 +1,4 @@
-"""One query per operator over its whole table, and SQL where SQL can say the same."""
+"""One query per operator over its whole table; the SQL of those that it can express is in ``sql``."""
 
 from __future__ import annotations
 
@@ -13,9 +13,12 @@ from mailsieve.llm.packing import pack
 from mailsieve.llm.prefix_trie import prefix_trie
 from mailsieve.llm.secret_scan import STRONG, scan_secrets, span_list
 from mailsieve.llm.simhash import near_groups
+from mailsieve.llm.sql import ORACLES
 from mailsieve.llm.token_counts import count_flat, part_number, write_flat
 from mailsieve.session import scratch_path
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def vocabulary_path() -> str:
     """The public byte-level vocabulary, as installed on every machine."""
@@ -131,29 +134,3 @@ QUERIES = {
     "op12_decontamination": op12_decontamination,
     "op13_prefix_trie": op13_prefix_trie,
 }
-
-ORACLES = {
-    "op5_topk": """
-        WITH vectors AS (
-          SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
-          FROM embeddings
-          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        scored AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
-                 CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-          FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
-        ranked AS (
-          SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-                 vec_id, score
-          FROM scored)
-        SELECT * FROM ranked WHERE rank <= 10""",
-    "op3_exact_dedup": """
-        WITH keyed AS (
-          SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                          'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-          FROM documents)
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, text_sha256
-        FROM keyed WINDOW same AS (PARTITION BY text_sha256)""",
-}

@@ -82,7 +82,7 @@ def random_rows(seed, convs=160):
     return rows
 
 
-@pytest.mark.parametrize("limit", [1, 40, 1 << 14])
+@pytest.mark.parametrize("limit", [1, 40, 1 << 10])
 def test_every_limit_gives_the_same_trie(spark, limit):
     """Bursts, jumps, chains and sweeps all take part at the small limits."""
     rows = random_rows(limit)
