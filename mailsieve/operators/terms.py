@@ -72,6 +72,27 @@ def with_terms(
     return term_stage(text_col, "terms", ngram_range, stopwords).transform(frame)
 
 
+def counted_terms(frame: DataFrame) -> DataFrame:
+    """Add ``counted``: each text's distinct terms with their occurrences (term, tf).
+
+    In the sorted terms of a text the runs of equal ones are its counts, so nothing is grouped.
+    """
+    ordered = frame.withColumn("_sorted", F.sort_array("terms"))
+    starts = F.filter(
+        F.transform("_sorted", lambda term, i: F.when((i == 0) | (F.get("_sorted", i - 1) != term), i)),
+        lambda i: i.isNotNull(),
+    )
+    began = ordered.withColumn("_starts", starts)
+    counted = F.transform(
+        "_starts",
+        lambda start, j: F.struct(
+            F.get("_sorted", start).alias("term"),
+            (F.coalesce(F.get("_starts", j + 1), F.size("_sorted")) - start).alias("tf"),
+        ),
+    )
+    return began.withColumn("counted", counted).drop("_sorted", "_starts")
+
+
 def term_counts(frame: DataFrame) -> DataFrame:
     """Occurrences and number of texts per term, from one shuffle by term.
 

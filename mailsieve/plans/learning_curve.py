@@ -1,20 +1,31 @@
-"""F1 on the training part and by cross-validation for growing training sets."""
+"""F1 on the training part and by cross-validation for growing training sets, in one pass.
+
+Every row lies in one cell: its fold, and the smallest training set it belongs to (its band).
+A run is a size and a held-out fold, so its training set is a union of cells. Nothing is fitted
+run by run: texts are tokenised once, terms are counted once by cell, and what a run needs
+(frequencies, document counts, class sums) are sums over its cells. Columns of the shared tables
+hold one number per run.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsieve import settings
 from mailsieve.functions.numeric import round_half_even
 from mailsieve.operators.evaluation import metrics_from_cells
+from mailsieve.operators.linear import Problem, fit_linear, margins
 from mailsieve.operators.sampling import seeded_hash
-from mailsieve.plans.training import MODEL_NAMES, feature_model, fit_classifier
+from mailsieve.operators.terms import counted_terms, with_terms
+from mailsieve.plans.training import LOSSES, MODEL_NAMES
 from mailsieve.schema import ROW_KEY
-from mailsieve.session import side_by_side, written
+from mailsieve.session import written
 
 _HASH_RANGE = 1 << 32
 
@@ -25,6 +36,217 @@ def _hash_share(row_key: str, seed: str):
     return F.conv(digits, 16, 10).cast("long") / F.lit(_HASH_RANGE)
 
 
+@dataclass(frozen=True)
+class Run:
+    """A training set: rows of other folds than ``held_out`` in the first ``bands`` bands."""
+
+    number: int
+    size: float
+    held_out: int
+    bands: int
+
+    def trains(self) -> Column:
+        return (F.col("fold") != self.held_out) & (F.col("band") < self.bands)
+
+    def uses(self) -> Column:
+        """Rows that train or validate."""
+        return (F.col("fold") == self.held_out) | (F.col("band") < self.bands)
+
+    def cells(self, folds: int) -> list[tuple[int, int]]:
+        return [(k, b) for k in range(folds) if k != self.held_out for b in range(self.bands)]
+
+
+def _array(values: Sequence[Column], kind: str) -> Column:
+    return F.array(*[v.cast(kind) for v in values])
+
+
+# --- what all runs share ----------------------------------------------------
+
+
+def term_cells(rows: DataFrame, runs: Sequence[Run], folds: int, bands: int) -> DataFrame:
+    """term, tf and df (one number per run each): one shuffle by term, combined before it."""
+    per_cell = [(k, b) for k in range(folds) for b in range(bands)]
+
+    def here(k: int, b: int) -> Column:
+        return (F.col("fold") == k) & (F.col("band") == b)
+
+    counts = (
+        rows.where(F.col("band") < bands)
+        .select("fold", "band", F.inline("counted"))
+        .groupBy("term")
+        .agg(
+            *[F.sum(F.when(here(k, b), F.col("tf")).otherwise(0)).alias(f"tf_{k}_{b}") for k, b in per_cell],
+            *[F.count_if(here(k, b)).alias(f"df_{k}_{b}") for k, b in per_cell],
+        )
+    )
+
+    def total(run: Run, name: str) -> Column:
+        return reduce(Column.__add__, [F.col(f"{name}_{k}_{b}") for k, b in run.cells(folds)])
+
+    return counts.select("term", *[_array([total(r, n) for r in runs], "long").alias(n) for n in ("tf", "df")])
+
+
+def run_vocabularies(counts: DataFrame, runs: Sequence[Run], rows_of: Sequence[int], max_features: int) -> DataFrame:
+    """term, at (its number) and idf (one per run, null where a run's vocabulary lacks it).
+
+    The most frequent terms of each run, ties to the lower term. Counts per frequency tell how
+    frequent a term must be, so only terms that can get in are sorted.
+    """
+    per_frequency = (
+        counts.select(F.posexplode("tf").alias("run", "tf")).where("tf > 0").groupBy("run", "tf").agg(F.count(F.lit(1)).alias("n"))
+    )
+    down = Window.partitionBy("run").orderBy(F.desc("tf"))
+    enough = per_frequency.withColumn("upto", F.sum("n").over(down)).where(F.col("upto") >= max_features)
+    lowest = {r.run: r.tf for r in enough.groupBy("run").agg(F.max("tf").alias("tf")).collect()}  # one per run
+    chosen = []
+    for run in runs:
+        tf, df = F.get("tf", F.lit(run.number)), F.get("df", F.lit(run.number))
+        idf = F.log((1.0 + rows_of[run.number]) / (1.0 + df.cast("double"))) + 1.0
+        best = counts.where(tf >= max(1, lowest.get(run.number, 1))).orderBy(tf.desc(), "term").limit(max_features)
+        chosen.append(best.select("term", F.lit(run.number).alias("run"), idf.alias("idf")))
+    every = reduce(DataFrame.unionByName, chosen)
+    idfs = [F.max(F.when(F.col("run") == r.number, F.col("idf"))) for r in runs]
+    # As many rows as runs times features at most.
+    number = F.row_number().over(Window.orderBy("term")) - 1
+    return every.groupBy("term").agg(_array(idfs, "double").alias("idf")).withColumn("at", number.cast("int"))
+
+
+def run_vectors(rows: DataFrame, terms: DataFrame, runs: Sequence[Run], row_key: str) -> DataFrame:
+    """Each row with its counts of vocabulary terms (at, tf) and the length of its weights per run."""
+    placed = rows.select(row_key, "label", "fold", "band", F.inline_outer("counted")).join(
+        F.broadcast(terms), "term", "left"  # runs times features rows at most
+    )
+    squares = [F.sum(F.pow(F.col("tf") * F.get("idf", F.lit(r.number)), 2)) for r in runs]
+    entry = F.when(F.col("at").isNotNull(), F.struct("at", "tf"))
+    return placed.groupBy(row_key, "label", "fold", "band").agg(
+        F.collect_list(entry).alias("entries"),
+        _array([F.sqrt(F.coalesce(s, F.lit(0.0))) for s in squares], "double").alias("norm"),
+    )
+
+
+def _per_run(runs: Sequence[Run], value) -> Column:
+    """Long form: run and part of every run that uses the row, with ``value(run)``."""
+    entries = [
+        F.when(
+            run.uses(),
+            F.struct(
+                F.lit(run.number).alias("run"),
+                F.when(F.col("fold") == run.held_out, "validation").otherwise("train").alias("part"),
+                value(run).alias("value"),
+            ),
+        )
+        for run in runs
+    ]
+    return F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull()))
+
+
+# --- models -----------------------------------------------------------------
+
+
+def _naive_bayes(vectors: DataFrame, terms: DataFrame, runs: Sequence[Run], sizes: dict, row_key: str) -> DataFrame:
+    """run, part, label, prediction; class sums and odds of all runs side by side."""
+    alpha = settings.NAIVE_BAYES_ALPHA
+
+    def share(run: Run, label: int) -> Column:
+        """Of a term's weight without its idf, which is the same in all rows."""
+        mine = run.trains() & (F.col("label") == label)
+        return F.sum(F.when(mine, F.try_divide(F.col("tf"), F.get("norm", F.lit(run.number)))))
+
+    sums = (
+        vectors.select("label", "fold", "band", "norm", F.inline("entries"))
+        .groupBy("at")
+        .agg(*[_array([share(r, c) for r in runs], "double").alias(f"shares{c}") for c in settings.LABELS])
+    )
+
+    def weight(run: Run, label: int) -> Column:
+        idf = F.get("idf", F.lit(run.number))
+        return F.when(idf.isNotNull(), idf * F.coalesce(F.get(f"shares{label}", F.lit(run.number)), F.lit(0.0)))
+
+    weighted = written(
+        terms.join(sums, "at", "left").select(
+            "at", "idf", *[_array([weight(r, c) for r in runs], "double").alias(f"weight{c}") for c in settings.LABELS]
+        ),
+        "curve-weights",
+    )
+    totals = weighted.agg(
+        *[
+            f.alias(f"{name}_{r.number}")
+            for r in runs
+            for name, f in (
+                ("v", F.count(F.get("idf", F.lit(r.number)))),
+                *((f"t{c}", F.coalesce(F.sum(F.get(f"weight{c}", F.lit(r.number))), F.lit(0.0))) for c in settings.LABELS),
+            )
+        ]
+    ).first()
+
+    def odds(run: Run) -> Column:
+        """What a count of 1 adds to the margin, before the division by the row's length."""
+        theta = [
+            F.log(F.get(f"weight{c}", F.lit(run.number)) + alpha)
+            - F.lit(float(np.log(totals[f"t{c}_{run.number}"] + alpha * max(1, totals[f"v_{run.number}"]))))
+            for c in settings.LABELS
+        ]
+        return F.get("idf", F.lit(run.number)) * (theta[1] - theta[0])
+
+    odds_table = weighted.select("at", _array([odds(r) for r in runs], "double").alias("odds"))
+    summed = (
+        vectors.select(row_key, "label", "fold", "band", "norm", F.inline_outer("entries"))
+        .join(F.broadcast(odds_table), "at", "left")  # runs times features rows at most
+        .groupBy(row_key, "label", "fold", "band", "norm")
+        .agg(_array([F.sum(F.col("tf") * F.get("odds", F.lit(r.number))) for r in runs], "double").alias("margin"))
+    )
+
+    def prediction(run: Run) -> Column:
+        n = [sizes[run.number][c] for c in settings.LABELS]
+        if not all(n):
+            return F.lit(int(n[1] > 0))
+        margin = F.coalesce(F.try_divide(F.get("margin", F.lit(run.number)), F.get("norm", F.lit(run.number))), F.lit(0.0))
+        return (margin + float(np.log(n[1] + alpha) - np.log(n[0] + alpha)) > 0).cast("int")
+
+    return summed.select("label", _per_run(runs, prediction)).withColumnRenamed("value", "prediction")
+
+
+def _solved(
+    vectors: DataFrame, terms: DataFrame, names: Sequence[str], runs: Sequence[Run], sizes: dict, row_key: str
+) -> DataFrame:
+    """model, run, part, label, prediction; all runs and losses solved in the same passes."""
+    two = [r for r in runs if all(sizes[r.number].values())]
+    one = [r for r in runs if r not in two]
+    found = []
+    for name in names if one else ():
+        only = _per_run(one, lambda run: F.lit(int(sizes[run.number][1] > 0)))
+        found.append(vectors.select(F.lit(name).alias("model"), "label", only).withColumnRenamed("value", "prediction"))
+    if two:
+        # The weights of a row under each of its runs.
+        used = vectors.select(row_key, "label", "fold", "band", "norm", F.inline_outer("entries")).join(
+            F.broadcast(terms.select("at", "idf")), "at", "left"
+        )
+        per_run = used.select(
+            row_key, "label", "at", "tf", "idf", _per_run(two, lambda run: F.get("norm", F.lit(run.number)))
+        ).select(
+            row_key, "label", "run", "part", "at",
+            (F.col("tf") * F.get("idf", F.col("run")) / F.nullif(F.col("value"), F.lit(0.0))).alias("weight"),
+        )
+        entry = F.when(F.col("weight").isNotNull(), F.struct("at", "weight"))
+        rows = written(
+            per_run.groupBy(row_key, "label", "run", "part")
+            .agg(F.collect_list(entry).alias("e"))
+            .select("run", "label", F.col("e.at").alias("at"), F.col("e.weight").alias("x"), "part"),
+            "curve-solver-rows",
+        )
+        n_features = terms.count()
+        problems = [Problem(r.number, LOSSES[name]) for r in two for name in names]
+        solved = fit_linear(rows.where("part = 'train'"), problems, n_features)
+        scored = margins(rows, solved, ["label", "part"])
+        found.append(
+            scored.unpivot(["label", "run", "part"], [LOSSES[n] for n in names], "loss", "margin").select(
+                F.element_at(F.create_map(*[F.lit(x) for n in names for x in (LOSSES[n], n)]), F.col("loss")).alias("model"),
+                "label", "run", "part", (F.col("margin") > 0).cast("int").alias("prediction"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def learning_curve(
     dataset: DataFrame,
     names: Sequence[str] = tuple(MODEL_NAMES),
@@ -40,66 +262,60 @@ def learning_curve(
 
     Folds and nested training sets are decided row by row from hashes of the key,
     so no fold needs a shuffle and a smaller set is always part of a larger one.
-    Features are fitted anew on each training set. A training set of one class
+    Each training set has a vocabulary and weights of its own. A training set of one class
     predicts that class; one without rows gives none.
     """
+    growing = sorted(set(sizes))
     fold = F.floor(_hash_share(row_key, f"{seed}:fold") * folds).cast("int")
-    rows = written(
-        dataset.select(
-            row_key,
-            "label",
-            F.col(text_col).alias("text"),
-            fold.alias("fold"),
-            _hash_share(row_key, f"{seed}:size").alias("place"),
-        ),
-        "curve-rows",
-    )
+    place = _hash_share(row_key, f"{seed}:size")
+    band = reduce(lambda found, i: F.when(place < growing[i], i).otherwise(found), reversed(range(len(growing))), F.lit(len(growing)))
+    placed = dataset.select(row_key, "label", F.col(text_col).alias("text"), fold.alias("fold"), band.alias("band"))
+    rows = written(counted_terms(with_terms(placed, "text", ngram_range)).drop("text", "terms"), "curve-rows")
 
-    def predictions_of(run: tuple[float, int]) -> list[DataFrame]:
-        size, held_out = run
-        in_train = (F.col("fold") != held_out) & (F.col("place") < size)
-        used = rows.filter(in_train | (F.col("fold") == held_out))
-        # Two rows at most.
-        sizes = {r["label"]: r["count"] for r in rows.filter(in_train).groupBy("label").count().collect()}
-        n_train = sum(sizes.values())
-        if not n_train:
-            return []
-        if len(sizes) == 1:
-            fitted = [used.withColumn(name, F.lit(next(iter(sizes)))) for name in names]
-        else:
-            features = feature_model(rows.filter(in_train), "text", max_features, ngram_range)
-            vectors = written(
-                features.transform(used).select("label", "features", "fold"), "curve-vectors"
-            )
-            train = vectors.filter(F.col("fold") != held_out)
-            fitted = [fit_classifier(name, train, n_train).model.transform(vectors) for name in names]
-        part = F.when(F.col("fold") == held_out, "validation").otherwise("train")
-        return [
-            predicted.select(
-                F.lit(name).alias("model"),
-                F.lit(float(size)).alias("size"),
-                F.lit(held_out).alias("fold"),
-                F.lit(n_train).alias("train_rows"),
-                part.alias("part"),
-                "label",
-                F.col(name).cast("int").alias("prediction"),
-            )
-            for name, predicted in zip(names, fitted, strict=True)
-        ]
+    # Two labels in each cell at most.
+    found = rows.groupBy("fold", "band", "label").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts_of, runs = {}, []
+    for size in sizes:
+        for held_out in range(folds):
+            run = Run(len(runs), float(size), held_out, growing.index(size) + 1)
+            n = {c: sum(r.n for r in found if r.label == c and r.fold != held_out and r.band < run.bands) for c in settings.LABELS}
+            if sum(n.values()):
+                runs.append(run)
+                counts_of[run.number] = n
+    if not runs:
+        raise ValueError("no training set has a row")
+    counts = written(term_cells(rows, runs, folds, len(growing)), "curve-counts")
+    terms = written(run_vocabularies(counts, runs, [sum(counts_of[r.number].values()) for r in runs], max_features), "curve-terms")
+    vectors = written(run_vectors(rows, terms, runs, row_key), "curve-vectors")
 
-    runs = [(size, held_out) for size in sizes for held_out in range(folds)]
-    found = side_by_side(dataset.sparkSession, predictions_of, runs)
-    parts = [part for run_parts in found for part in run_parts]
+    parts = []
+    if "naive_bayes" in names:
+        predicted = _naive_bayes(vectors, terms, runs, counts_of, row_key)
+        parts.append(predicted.withColumn("model", F.lit("naive_bayes")))
+    iterative = [name for name in names if name in LOSSES]
+    if iterative:
+        parts.append(_solved(vectors, terms, iterative, runs, counts_of, row_key))
     predictions = reduce(DataFrame.unionByName, parts)
-    keys = ["model", "size", "fold", "train_rows", "part"]
+
     label, guess = F.col("label"), F.col("prediction")
-    cells = predictions.groupBy(*keys).agg(
+    cells = predictions.groupBy("model", "run", "part").agg(
         F.count_if((label == 0) & (guess == 0)).alias("tn"),
         F.count_if((label == 0) & (guess == 1)).alias("fp"),
         F.count_if((label == 1) & (guess == 0)).alias("fn"),
         F.count_if((label == 1) & (guess == 1)).alias("tp"),
     )
-    packed = cells.withColumn("model", F.struct(*keys))
+
+    def of_run(value) -> Column:
+        return F.get(F.array(*[F.lit(value(run)) for run in runs]), F.col("run"))
+
+    keys = F.struct(
+        "model",
+        of_run(lambda r: r.size).alias("size"),
+        of_run(lambda r: r.held_out).alias("fold"),
+        of_run(lambda r: sum(counts_of[r.number].values())).alias("train_rows"),
+        "part",
+    )
+    packed = cells.withColumn("model", keys).drop("run", "part")
     return metrics_from_cells(packed).select(
         "model.*", round_half_even(F.col("f1_spam")).alias("f1_spam"), "total"
     )

@@ -304,6 +304,59 @@ sizes AS (
   FROM runs r JOIN sizes s ON r.run = s.run LEFT JOIN margins m ON m.run = r.run AND m.row_index = r.row_index)"""
 
 
+def solver_runs(steps: int = 1500) -> str:
+    """CTEs after those of ``naive_bayes_runs``: ``solver_margins`` (run, loss, row_index, label,
+    in_train, f) of both linear models of each run.
+
+    The weights are a sum over the training rows, so an accelerated gradient descent needs their
+    products only. It has nothing in common with the other solver but the objective. The step comes
+    from the largest row sum of the products, which bounds their largest eigenvalue.
+    """
+    return f"""products AS (
+  SELECT a.run, a.row_index, b.row_index AS other, sum(a.weight * b.weight) AS k
+  FROM weights a JOIN weights b ON a.run = b.run AND a.term = b.term
+  JOIN runs r ON r.run = b.run AND r.row_index = b.row_index AND r.in_train
+  GROUP BY ALL), product_rows AS MATERIALIZED (
+  SELECT m.run, m.row_index, m.label, m.in_train, list(coalesce(p.k, 0.0::DOUBLE) ORDER BY t.row_index) AS k
+  FROM runs m JOIN runs t ON t.run = m.run AND t.in_train
+  LEFT JOIN products p ON p.run = m.run AND p.row_index = m.row_index AND p.other = t.row_index
+  GROUP BY ALL), problems AS MATERIALIZED (
+  SELECT *, (sqrt(bend / flat) - 1) / (sqrt(bend / flat) + 1) AS m FROM (
+    SELECT run, kk, y, loss, CASE loss WHEN 'logistic' THEN 1 + big / 4 ELSE 1 + 2 * big END AS bend,
+           CASE loss WHEN 'logistic' THEN 0.25::DOUBLE ELSE 1.0::DOUBLE END AS flat
+    FROM (SELECT run, list(k ORDER BY row_index) AS kk, list(2.0::DOUBLE * label - 1 ORDER BY row_index) AS y,
+                 max(list_sum(k)) + count(*) AS big
+          FROM product_rows WHERE in_train GROUP BY run HAVING min(label) < max(label)),
+         (SELECT unnest(['logistic', 'squared_hinge']) AS loss))), descent AS (
+  SELECT run, loss, 0 AS step, list_transform(y, lambda x: 0.0::DOUBLE) AS a, 0.0::DOUBLE AS b,
+         list_transform(y, lambda x: 0.0::DOUBLE) AS a0, 0.0::DOUBLE AS b0
+  FROM problems
+  UNION ALL
+  SELECT run, loss, step + 1, list_transform(list_zip(ya, u), lambda p: p[1] - (p[1] - p[2]) / bend),
+         CASE loss WHEN 'logistic' THEN yb + list_sum(u) / bend ELSE yb - (yb - list_sum(u)) / bend END, a, b
+  FROM (
+    SELECT *, CASE loss WHEN 'logistic' THEN list_transform(list_zip(f, y), lambda p: p[2] / (1 + exp(p[1] * p[2])))
+              ELSE list_transform(list_zip(f, y), lambda p: 2 * p[2] * greatest(0, 1 - p[1] * p[2])) END AS u
+    FROM (
+      SELECT *, list_transform(kk, lambda k: list_dot_product(k, ya) + yb) AS f
+      FROM (
+        SELECT d.*, q.kk, q.y, q.bend, list_transform(list_zip(d.a, d.a0), lambda p: p[1] + q.m * (p[1] - p[2])) AS ya,
+               d.b + q.m * (d.b - d.b0) AS yb
+        FROM descent d JOIN problems q ON q.run = d.run AND q.loss = d.loss WHERE d.step < {steps})))),
+solved AS MATERIALIZED (SELECT run, loss, a, b FROM descent WHERE step = {steps}), solver_margins AS (
+  SELECT p.run, s.loss, p.row_index, p.label, p.in_train, list_dot_product(p.k, s.a) + s.b AS f
+  FROM product_rows p JOIN solved s ON s.run = p.run)"""
+
+
+def cell_counts(keys: str, source: str) -> str:
+    return f"""SELECT {keys}, count(*) FILTER (label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) AS total
+  FROM {source} GROUP BY {keys}"""
+
+
+LOSS_NAMES = "CASE loss WHEN 'logistic' THEN 'logistic_regression' ELSE 'linear_svm' END"
 #: The training split: a fifth of each class of the balanced rows.
 SPLIT = f"""{BALANCED}, split_ranked AS (
   SELECT row_index, label, text, row_number() OVER (PARTITION BY label ORDER BY {hashed("row_index")}, row_index) AS rk,
@@ -327,7 +380,55 @@ def share_of(key: str, name: str) -> str:
     return f"(CAST(CAST('0x' || {digits} AS UBIGINT) AS DOUBLE) / 4294967296)"
 
 
+#: Margins of the three models on the split, and their metrics on its test part.
+TRAINED = f"""{SPLIT}, runs AS (
+  SELECT 0 AS run, row_index, label, NOT is_test AS in_train FROM parted), {naive_bayes_runs("parted")},
+{solver_runs()}, tested AS (
+  SELECT 'naive_bayes' AS model, label, prediction FROM predicted WHERE NOT in_train
+  UNION ALL SELECT {LOSS_NAMES}, label, CAST(f > 0 AS INTEGER) FROM solver_margins WHERE NOT in_train), model_cells AS (
+  {cell_counts("model", "tested")}), model_rates AS (
+  SELECT *, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r FROM model_cells), trained AS (
+  SELECT model, {ratio("tp + tn", "total")} AS accuracy, p AS precision_spam, r AS recall_spam,
+         {ratio("2 * p * r", "p + r")} AS f1_spam, {ratio("fp", "fp + tn")} AS false_positive_rate, tn, fp, fn, tp, total
+  FROM model_rates)"""
+#: All documents under all three models of the split.
+BEST_SCORES = f"""WITH RECURSIVE {TRAINED}, texts AS (
+  SELECT doc_id, {cleaned("text")} AS text FROM documents),
+{term_rows("texts", "doc_id", shipped_stopwords("english")).replace("split", "split2").replace("words", "words2")
+ .replace("terms AS", "terms2 AS")}, doc_terms AS (
+  SELECT t.doc_id, t.term, count(*) * max(ln((1.0::DOUBLE + s.n) / (1.0::DOUBLE + v.df)) + 1.0::DOUBLE) AS w
+  FROM terms2 t JOIN vocab v ON v.term = t.term CROSS JOIN sizes s GROUP BY t.doc_id, t.term), unit AS (
+  SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM doc_terms), term_weights AS (
+  SELECT w.term, s.loss, sum(s.a[p.i] * w.weight) AS x FROM weights w
+  JOIN (SELECT row_index, row_number() OVER (ORDER BY row_index) AS i FROM runs WHERE in_train) p ON p.row_index = w.row_index
+  CROSS JOIN solved s GROUP BY w.term, s.loss
+  UNION ALL SELECT term, 'naive_bayes', odds FROM theta), offsets AS (
+  SELECT loss, b FROM solved
+  UNION ALL SELECT 'naive_bayes', ln(n1 + {settings.NAIVE_BAYES_ALPHA}::DOUBLE) - ln(n0 + {settings.NAIVE_BAYES_ALPHA}::DOUBLE) FROM sizes), chosen AS (
+  SELECT model FROM trained ORDER BY f1_spam DESC, recall_spam DESC, precision_spam DESC, model LIMIT 1), used AS (
+  SELECT * FROM offsets WHERE CASE loss WHEN 'naive_bayes' THEN loss ELSE {LOSS_NAMES} END = (SELECT model FROM chosen)), doc_margins AS (
+  SELECT u.doc_id, sum(u.weight * t.x) AS m FROM unit u JOIN term_weights t ON t.term = u.term
+  WHERE t.loss = (SELECT loss FROM used) GROUP BY u.doc_id), all_margins AS (
+  SELECT d.doc_id, d.text, coalesce(m.m, 0) + (SELECT b FROM used) AS m FROM texts d LEFT JOIN doc_margins m ON m.doc_id = d.doc_id)
+SELECT doc_id, CAST(m > 0 AS INTEGER) AS label, CASE WHEN m > 0 THEN 'spam' ELSE 'not spam' END AS prediction,
+       round_even(1 / (1 + exp(-m)), 6) AS spam_score, text AS cleaned_text
+FROM all_margins"""
+
+
 MODELS = ["naive_bayes", "logistic_regression", "linear_svm"]
+#: The runs of the learning curve at its default sizes and folds, and its columns.
+CURVE = f"""{BALANCED}, placed AS (
+  SELECT row_index, label, text, CAST(floor({share_of("row_index", "fold")} * 3) AS INTEGER) AS fold,
+         {share_of("row_index", "size")} AS place
+  FROM balanced), grid AS (
+  SELECT size, held, row_number() OVER () AS run
+  FROM (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE]) AS size),
+       (SELECT unnest([0, 1, 2]) AS held)), runs AS (
+  SELECT g.run, p.row_index, p.label, p.fold <> g.held AS in_train
+  FROM grid g, placed p WHERE p.fold = g.held OR p.place < g.size), {naive_bayes_runs("placed")}"""
+CURVE_COLUMNS = f"""g.size, g.held AS fold, s.n AS train_rows,
+       CASE WHEN r.in_train THEN 'train' ELSE 'validation' END AS part,
+       round_even({ratio("2 * p * r", "p + r")}, 6) AS f1_spam, r.total"""
 KEYED = "'{' || source_no || ', ' || key || '}'"
 FULL_RUN = f"""WITH {NORM}, sources AS (
   SELECT 0 AS source_no, row_index AS key, source, label, text FROM norm
@@ -586,24 +687,23 @@ SELECT model, round({ratio("tp + tn", "total")}, 6) AS accuracy, round(p, 6) AS
        round(r, 6) AS recall_spam, round({ratio("2 * p * r", "p + r")}, 6) AS f1_spam,
        round({ratio("fp", "fp + tn")}, 6) AS false_positive_rate, tn, fp, fn, tp, total
 FROM rates""",
-    "learning_curve": f"""WITH {BALANCED}, placed AS (
-  SELECT row_index, label, text, CAST(floor({share_of("row_index", "fold")} * 3) AS INTEGER) AS fold,
-         {share_of("row_index", "size")} AS place
-  FROM balanced), grid AS (
-  SELECT size, held, row_number() OVER () AS run
-  FROM (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE]) AS size),
-       (SELECT unnest([0, 1, 2]) AS held)), runs AS (
-  SELECT g.run, p.row_index, p.label, p.fold <> g.held AS in_train
-  FROM grid g, placed p WHERE p.fold = g.held OR p.place < g.size), {naive_bayes_runs("placed")}, cells AS (
-  SELECT run, in_train, count(*) FILTER (label = 0 AND prediction = 0) AS tn,
-         count(*) FILTER (label = 0 AND prediction = 1) AS fp,
-         count(*) FILTER (label = 1 AND prediction = 0) AS fn,
-         count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) AS total
-  FROM predicted GROUP BY run, in_train), rates AS (
+    "train_compare": f"""WITH RECURSIVE {TRAINED}
+SELECT model, round(accuracy, 6) AS accuracy, round(precision_spam, 6) AS precision_spam, round(recall_spam, 6) AS recall_spam,
+       round(f1_spam, 6) AS f1_spam, round(false_positive_rate, 6) AS false_positive_rate, tn, fp, fn, tp, total,
+       CAST((SELECT count(*) FROM runs WHERE in_train) AS INTEGER) AS train_rows,
+       CAST((SELECT count(*) FROM runs WHERE NOT in_train) AS INTEGER) AS test_rows
+FROM trained""",
+    "best_model_scores": BEST_SCORES,
+    "learning_curve": f"""WITH {CURVE}, cells AS (
+  {cell_counts("run, in_train", "predicted")}), rates AS (
   SELECT *, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r FROM cells)
-SELECT 'naive_bayes' AS model, g.size, g.held AS fold, s.n AS train_rows,
-       CASE WHEN r.in_train THEN 'train' ELSE 'validation' END AS part,
-       round_even({ratio("2 * p * r", "p + r")}, 6) AS f1_spam, r.total
+SELECT 'naive_bayes' AS model, {CURVE_COLUMNS}
+FROM rates r JOIN grid g ON r.run = g.run JOIN sizes s ON s.run = r.run""",
+    "learning_curve_solvers": f"""WITH RECURSIVE {CURVE}, {solver_runs()}, guesses AS (
+  SELECT run, loss, in_train, label, CAST(f > 0 AS INTEGER) AS prediction FROM solver_margins), cells AS (
+  {cell_counts("run, loss, in_train", "guesses")}), rates AS (
+  SELECT *, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r FROM cells)
+SELECT {LOSS_NAMES} AS model, {CURVE_COLUMNS}
 FROM rates r JOIN grid g ON r.run = g.run JOIN sizes s ON s.run = r.run""",
     "combined_features": f"""WITH {term_rows("documents", "doc_id", shipped_stopwords("english"))},
 {weight_rows("documents", "doc_id", settings.MAX_FEATURES)}, places AS (

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, NaiveBayes
+from pyspark.ml.common import _py2java
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsieve import settings
 from mailsieve.functions.text import with_clean_text
 from mailsieve.operators.evaluation import compare_models, long_predictions, model_metrics
+from mailsieve.operators.linear import Problem, fit_linear, vector_rows
 from mailsieve.operators.sampling import capped_sample, stratified_split
 from mailsieve.operators.terms import combine_features, fit_tfidf, manual_feature_stage
 from mailsieve.schema import ROW_KEY
@@ -20,78 +25,75 @@ from mailsieve.session import side_by_side, written
 from mailsieve.sources.readers import training_rows
 from mailsieve.sources.sinks import write_csv, write_json
 
-#: Levels of the tree that adds up the gradients of all partitions: no task and not the
-#: driver receives one vector of 25,000 numbers from each of them.
-AGGREGATION_DEPTH = 3
-
 # Model names.
 MODEL_NAMES = ["naive_bayes", "logistic_regression", "linear_svm"]
 
 
-def classifier(name: str, n_train: int, features_col: str = "features") -> Estimator:
-    """One of the three estimators.
+# Which loss each of the iterative models minimises.
+LOSSES = {"logistic_regression": "logistic", "linear_svm": "squared_hinge"}
 
-    The regularisation constant C weighs the summed loss; Spark weighs the mean
-    loss, hence 1 / (C * n).
-    """
-    columns = {
-        "featuresCol": features_col,
-        "labelCol": "label",
-        "predictionCol": name,
-        "rawPredictionCol": f"{name}_raw",
-    }
-    penalty = 1.0 / (settings.INVERSE_REGULARISATION * max(n_train, 1))
-    if name == "naive_bayes":
-        return NaiveBayes(
-            smoothing=settings.NAIVE_BAYES_ALPHA, probabilityCol=f"{name}_probability", **columns
-        )
-    if name == "logistic_regression":
-        return LogisticRegression(
-            regParam=penalty,
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=settings.LOGISTIC_MAX_ITER,
-            tol=1e-4,
-            aggregationDepth=AGGREGATION_DEPTH,
-            probabilityCol=f"{name}_probability",
-            **columns,
-        )
-    if name == "linear_svm":
-        return LinearSVC(
-            regParam=penalty,
-            standardization=False,
-            maxIter=settings.SVM_MAX_ITER,
-            tol=1e-4,
-            aggregationDepth=AGGREGATION_DEPTH,
-            **columns,
-        )
-    raise ValueError(f"unknown model: {name}")
+
+def naive_bayes() -> NaiveBayes:
+    return NaiveBayes(
+        smoothing=settings.NAIVE_BAYES_ALPHA,
+        featuresCol="features",
+        labelCol="label",
+        predictionCol="naive_bayes",
+        rawPredictionCol="naive_bayes_raw",
+        probabilityCol="naive_bayes_probability",
+    )
+
+
+def linear_model(spark: SparkSession, name: str, weights: np.ndarray, intercept: float) -> Model:
+    """Weights as one of Spark's models, which scores in the engine and can be stored."""
+    kind = {"logistic_regression": LogisticRegressionModel, "linear_svm": LinearSVCModel}[name]
+    made = getattr(spark._jvm.org.apache.spark.ml.classification, kind.__name__)(
+        f"{name}_{uuid.uuid4().hex[:12]}", _py2java(spark.sparkContext, Vectors.dense(weights)), float(intercept)
+    )
+    model = kind(made)._set(featuresCol="features", predictionCol=name, rawPredictionCol=f"{name}_raw")
+    return model._set(probabilityCol=f"{name}_probability") if name == "logistic_regression" else model
 
 
 @dataclass(frozen=True)
 class Fit:
-    """A fitted classifier: solver steps, and whether the solver came to its end."""
+    """A fitted classifier: solver steps, passes over the vectors, length of the last gradient."""
 
     model: Model
-    steps: int
-    converged: bool
+    steps: int = 0
+    passes: int = 1
+    gradient: float = 0.0
 
 
-def fit_classifier(name: str, train: DataFrame, n_train: int) -> Fit:
-    """Fit one classifier; a solver that was cut off by its step limit is an error.
+def fit_classifiers(names: Sequence[str], train: DataFrame, n_features: int) -> dict[str, Fit]:
+    """Fit classifiers on stored vectors. The iterative ones share their passes over them.
 
-    Each solver step adds up one gradient over all partitions, by a tree of tasks. Bound
-    the steps' cost with ``sample_size``: it bounds the labelled rows.
+    A solver that was cut off by its step limit is an error. Bound the cost of a pass with
+    ``sample_size``: it bounds the labelled rows.
     """
-    model = classifier(name, n_train).fit(train)
-    if name == "naive_bayes":  # closed form
-        return Fit(model, 0, True)
-    limit = settings.LOGISTIC_MAX_ITER if name == "logistic_regression" else settings.SVM_MAX_ITER
-    summary = model.summary if name == "logistic_regression" else model.summary()
-    steps = summary.totalIterations
-    if steps >= limit:
-        raise RuntimeError(f"{name} did not converge in {limit} steps")
-    return Fit(model, steps, True)
+    unknown = set(names) - set(MODEL_NAMES)
+    if unknown:
+        raise ValueError(f"unknown models: {sorted(unknown)}")
+    spark = train.sparkSession
+
+    def closed_form() -> dict[str, Fit]:
+        return {"naive_bayes": Fit(naive_bayes().fit(train))} if "naive_bayes" in names else {}
+
+    def iterative() -> dict[str, Fit]:
+        wanted = [name for name in names if name in LOSSES]
+        if not wanted:
+            return {}
+        rows = written(vector_rows(train), "solver-rows")
+        solved = fit_linear(rows, [Problem(0, LOSSES[name]) for name in wanted], n_features)
+        return {
+            name: Fit(linear_model(spark, name, s.weights, s.intercept), s.steps, s.passes, s.gradient)
+            for name in wanted
+            for s in [solved[Problem(0, LOSSES[name])]]
+        }
+
+    found = {}
+    for part in side_by_side(spark, lambda work: work(), [closed_form, iterative]):
+        found |= part
+    return {name: found[name] for name in names}
 
 
 @dataclass(frozen=True)
@@ -102,8 +104,7 @@ class Training:
     predictions: DataFrame
     train_rows: int
     test_rows: int
-    steps: dict[str, int]
-    converged: dict[str, bool]
+    fits: dict[str, Fit]
 
     @property
     def best_model(self) -> PipelineModel:
@@ -176,12 +177,11 @@ def train_models(
     parts = {row["is_test"]: row["count"] for row in vectors.groupBy("is_test").count().collect()}
     train_rows, test_rows = parts.get(False, 0), parts.get(True, 0)
 
-    fits = side_by_side(
-        train.sparkSession, lambda name: fit_classifier(name, train, train_rows), names
-    )
+    n_features = vectors.select("features").first()["features"].size
+    fits = fit_classifiers(names, train, n_features)
     models = {}
     scored = test
-    for name, fit in zip(names, fits, strict=True):
+    for name, fit in fits.items():
         models[name] = PipelineModel([*features.stages, fit.model])
         scored = fit.model.transform(scored)
     predictions = written(
@@ -190,9 +190,7 @@ def train_models(
     )
     metrics = compare_models(model_metrics(long_predictions(predictions, "label", names)))
     best = metrics.first()["model"]
-    steps = {name: fit.steps for name, fit in zip(names, fits, strict=True)}
-    converged = {name: fit.converged for name, fit in zip(names, fits, strict=True)}
-    return Training(best, models, metrics, predictions, train_rows, test_rows, steps, converged)
+    return Training(best, models, metrics, predictions, train_rows, test_rows, fits)
 
 
 def save_training(result: Training, output_folder: str) -> str:
@@ -214,13 +212,14 @@ def save_training(result: Training, output_folder: str) -> str:
                 result.test_rows,
                 metrics_path,
                 predictions_path,
-                result.steps,
-                result.converged,
+                {name: fit.steps for name, fit in result.fits.items()},
+                {name: fit.passes for name, fit in result.fits.items()},
+                {name: fit.gradient for name, fit in result.fits.items()},
             )
         ],
         "best_model string, train_rows long, test_rows long, "
         "metrics_path string, predictions_path string, "
-        "steps map<string,long>, converged map<string,boolean>",
+        "steps map<string,long>, passes map<string,long>, gradient map<string,double>",
     )
     write_json(report, f"{output_folder}/train_report")
     return best_path

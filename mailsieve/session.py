@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -107,6 +108,16 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def importable_by_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package, from wherever the session was started."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        paths.insert(0, root)
+    env["PYTHONPATH"] = os.pathsep.join(paths)
+
+
 def side_by_side(
     spark: SparkSession, work: Callable[[T], R], items: Sequence[T], threads: int = 4
 ) -> list[R]:

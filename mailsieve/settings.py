@@ -9,10 +9,8 @@ NGRAM_RANGE = (1, 2)
 NAIVE_BAYES_ALPHA = 0.5
 INVERSE_REGULARISATION = 1.0
 
-#: Safety nets for the solvers: reaching one is an error, so no result depends on them.
-#: Spark's solver scales features internally and needs more steps than others do.
-LOGISTIC_MAX_ITER = 5000
-SVM_MAX_ITER = 5000
+#: Safety net for the solver: reaching it is an error, so no result depends on it.
+SOLVER_MAX_STEPS = 100
 
 # The two classes of every cleaned table: 0 = ham, 1 = spam.
 LABELS = (0, 1)
