@@ -217,7 +217,8 @@ def _directions(rows: DataFrame, states: list[_State]) -> list[np.ndarray]:
     scaled = [r / s.diagonal for r, s in zip(left, states, strict=True)]
     ways = [z.copy() for z in scaled]
     reach = [float(np.dot(r, z)) for r, z in zip(left, scaled, strict=True)]
-    goal = [s.size * min(0.1, (s.size / max(s.first, 1e-300)) ** 0.5) for s in states]
+    # No further than the whole solution has to go.
+    goal = [max(s.size * min(0.1, (s.size / s.first) ** 0.5), 0.3 * TOLERANCE * max(1.0, s.first)) for s in states]
     active = list(range(len(states)))
     for _ in range(_CG_STEPS):
         if not active:

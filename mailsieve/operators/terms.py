@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import settings
@@ -115,14 +115,59 @@ def term_counts(frame: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets))
+
+
+def _only_buckets(frame: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame:
+    """Terms of the ``chosen`` buckets; their numbers become a bitmap of fixed length."""
+    words = np.zeros(max(1, buckets // 64), np.uint64)
+    numbers = chosen.select("bucket").toArrow()["bucket"].to_numpy()
+    np.bitwise_or.at(words, numbers // 64, np.uint64(1) << (numbers % 64).astype(np.uint64))
+    # One literal, folded to an array when the query is optimised.
+    bitmap = F.split(F.lit(",".join(map(str, words.view(np.int64).tolist()))), ",").cast("array<bigint>")
+
+    def is_chosen(term: Column) -> Column:
+        bucket = _bucket(term, buckets)
+        return F.getbit(F.get(bitmap, F.shiftright(bucket, 6).cast("int")), bucket.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return frame.withColumn("terms", F.filter("terms", is_chosen))
+
+
 def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> DataFrame:
     """The ``max_features`` most frequent terms; ties go to the lower term.
 
+    Most terms are far too rare to get in, and they are what a count by term would shuffle. So
+    occurrences are counted by hash bucket first, into a fixed number of buckets: the count of a
+    bucket bounds that of its terms from above. Only terms of buckets that reach a guessed
+    frequency are counted themselves. If enough of them reach it, no other term can get in, and
+    the guess was right; otherwise it is lowered. The result never depends on it.
+    """
+    buckets = max(1 << 10, 1 << (16 * max_features - 1).bit_length())
+    each = frame.select(F.explode("terms").alias("term"))
+    sketch = written(
+        each.groupBy(_bucket(F.col("term"), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "term-sketch"
+    )
+    wanted = 2 * max_features
+    while True:
+        # As many numbers as the vocabulary has terms, twice.
+        top = sketch.orderBy(F.desc("n")).limit(wanted).agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("n")).first()
+        guess = top["n"] if top["found"] == wanted else 1
+        some = frame if guess <= 1 else _only_buckets(frame, sketch.where(F.col("n") >= guess), buckets)
+        counts = written(term_counts(some), "term-counts")
+        if guess <= 1 or counts.where(F.col("tf") >= guess).count() >= max_features:
+            break
+        wanted *= 8
+    return most_frequent(counts.where(F.col("tf") >= guess), max_features)
+
+
+def most_frequent(counts: DataFrame, max_features: int) -> DataFrame:
+    """The first rows of ``counts`` by falling tf and term.
+
     Counting the terms per frequency tells how frequent a term must be to get in.
     Only those are sorted, instead of the top of every partition in one task. The
     counts per frequency are added up from the top in ranges, not in one task.
     """
-    counts = written(term_counts(frame), "term-counts")
     per_frequency = written(
         counts.groupBy((-F.col("tf")).alias("downwards")).agg(F.count(F.lit(1)).alias("n")),
         "term-frequencies",
