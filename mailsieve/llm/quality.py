@@ -4,7 +4,7 @@ Terms are pairs of neighbouring byte classes (letters, digits, each punctuation
 so the whole text of any language counts. A few shares are added: distinct words,
 words that repeat the one before, repeated lines. Weighted by tf-idf and
 projected on the leading singular vectors of the labelled sample, each text becomes
-one short vector. Its cosine with every labelled vector is computed exactly, in blocks,
+one short vector. Document frequencies are counted over all documents. Its cosine with every labelled vector is computed exactly, in blocks,
 and the labels of the nearest vote with a power of their similarity.
 
 The labelled sample is bounded by ``sample`` rows (the smallest hashes of their ids among
@@ -85,13 +85,18 @@ class QualityModel:
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), 0.5)
-        near = self.embed(counts) @ self.vectors.T
-        k = min(self.neighbours, near.shape[1])
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        votes = np.clip(np.take_along_axis(near, best, 1), 0, 1).astype(np.float64) ** self.sharpness
+        # Rounded, so that a row scores the same in whatever block it lies; of equal similarities
+        # the labelled rows of smaller ids vote.
+        near = np.round(self.embed(counts) @ self.vectors.T, 9)
+        n = near.shape[1]
+        k = min(self.neighbours, n)
+        least = np.partition(near, n - k, axis=1)[:, n - k, None]
+        above, equal = near > least, near == least
+        chosen = above | (equal & (np.cumsum(equal, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+        votes = np.where(chosen, np.clip(near, 0, 1) ** self.sharpness, 0.0)
         total = votes.sum(axis=1)
-        known = (votes * self.labels[best]).sum(axis=1)
-        return np.where(total > 0, known / np.where(total > 0, total, 1), self.labels.mean())
+        known = (votes * self.labels).sum(axis=1)
+        return np.round(np.where(total > 0, known / np.where(total > 0, total, 1), self.labels.mean()), 12)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -99,30 +104,51 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return np.hstack([_unit(np.log1p(counts[:, :_N_TERMS]) * idf), counts[:, _N_TERMS:]]).astype(np.float32)
+    return np.hstack([_unit(np.log1p(counts[:, :_N_TERMS]) * idf), counts[:, _N_TERMS:]])
 
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, sample: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, text, label of at most ``sample`` rows that are not held out.
+    """doc_id, text, label (0 or 1) of at most ``sample`` rows that are not held out.
 
-    One label per id and one text per id, whichever comes first if they differ.
+    One label per id and one text per id: the smallest, if they differ.
     """
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col(id_col)))
     chosen = (
-        labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(id_col)))
-        .select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        known.groupBy(F.col(id_col).alias("doc_id"))
+        .agg(F.min(label).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
-        .dropDuplicates(["doc_id"])
     )
     return (
         docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
         .join(F.broadcast(chosen), "doc_id")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
     )
 
 
+def _seen_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a task each term occurs; the number of texts comes last."""
+    seen, n = np.zeros(_N_TERMS, np.int64), 0
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            seen += term_counts(text or "")[:_N_TERMS] > 0
+            n += 1
+    yield pa.RecordBatch.from_arrays([pa.array([[*seen.tolist(), n]], pa.list_(pa.int64()))], ["seen"])
+
+
+def document_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Texts that hold each term, over all of ``docs``, then the number of texts."""
+    per_task = map_arrow(docs.select(docs[text_col].cast("string").alias("text")), _seen_batches, "seen array<bigint>")
+    rows = per_task.select(F.posexplode("seen").alias("term", "n")).groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = np.zeros(_N_TERMS + 1, np.int64)
+    for row in rows:  # a fixed number of terms
+        found[row.term] = row.n
+    return found
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [term_counts(t or "").tobytes() for t in batch.column(2).to_pylist()]
@@ -151,11 +177,11 @@ def fit(
         none = np.empty((0, 0), np.float32)
         return QualityModel(none, none, none, np.empty(0), neighbours, SHARPNESS)
     counts = np.stack([np.frombuffer(r.counts, np.float32) for r in rows])
-    seen = (counts[:, :_N_TERMS] > 0).sum(axis=0)
-    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
+    *seen, n = document_frequencies(docs, text_col)
+    idf = np.log((1 + n) / (1 + np.array(seen))) + 1
     weighted = _weighted(counts, idf)
     _, _, directions = np.linalg.svd(weighted, full_matrices=False)
-    projection = directions[:rank].T.astype(np.float32)
+    projection = directions[:rank].T
     model = QualityModel(
         idf, projection, _unit(weighted @ projection), np.array([r.label for r in rows], np.float64), neighbours, SHARPNESS
     )

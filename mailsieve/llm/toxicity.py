@@ -1,32 +1,35 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words are read as symbols: insult, threat, target, negation, reported speech, intensifier, or
-other. Small weighted transducers each know one thing:
+Words are read as symbols: insult, insult with a harmless sense, threat, target, negation,
+reported speech, intensifier, determiner, or other. Small weighted transducers each know one thing:
 
-* ``INSULT`` and ``THREAT`` let their words through; an intensifier raises the next,
-* ``TARGET`` raises what is aimed at someone,
+* ``INTENSITY``: an intensifier raises the insult that follows it,
+* ``TARGET``: an insult is raised by what it is aimed at, earlier in the clause,
+* ``OBJECT``, read from the end of the clause: a threat counts if its object follows,
 * ``NEGATION`` lowers what follows a negation within three words,
-* ``REPORT`` lowers what somebody is reported to have said.
-
-``compose`` joins them to one machine whose factor on a word is the product of the parts'.
-A clause scores the sum over its insults and threats of word weight times factor; words
-without a clause around them have no score of their own. The strongest clause, the sum
-over clauses and that sum per word of a text give its probability through a logistic curve.
-
-What is learned, on a sample of at most ``sample`` labelled rows that are not held out:
-how toxic texts are in which a word of the lists stands (word weights), further insults as
-stems of words with how toxic the texts are in which they stand (at least ``SUPPORT``
-different surroundings, so that copies of one text teach nothing, and more than chance
-explains), and the curve. Stems and not words, because insults are inflected; a word has
-the weight of its longest learned stem.
-
-All documents are scored whole, in one pass without a shuffle. An Aho-Corasick automaton
-finds the words; only clauses that hold an insult or a threat are read as symbols.
-
-Defined results: null and empty texts, and texts without insults and threats, have the low
-base score; without labelled rows the lists and a fixed curve are used; null ids pass
-through; equal rows get equal scores; an empty table gives an empty result; extra
-columns of any name are not read.
+* ``REPORT`` lowers what somebody is reported to have said,
+* ``LITERAL`` lowers words like "trash" after a determiner in a clause that addresses nobody.
+
+``compose`` joins them to one machine whose factor on a word is the product of the parts'. A word
+is a match if its weight times its factor reaches ``ACCEPT``; a clause scores the sum over its
+matches, and a clause without a match has no score, whatever words stand in it. The strongest
+clause, the sum over clauses and that sum per word of a text give its probability through a
+logistic curve.
+
+What is learned, on a sample of at most ``sample`` labelled rows that are not held out: how toxic
+texts are in which a word of the lists stands (word weights); further insults as whole words;
+stems of words that are still unexplained, because insults are inflected (a word has the weight
+of its longest stem); and the curve. A word or stem must stand in at least ``SUPPORT`` different
+surroundings of toxic texts, so that copies of one text teach nothing, and more often there than
+chance explains. How many are learned follows from the evidence alone.
+
+All documents are scored whole, in one pass without a shuffle. An Aho-Corasick automaton finds
+the words; only clauses that hold an insult or a threat are read as symbols.
+
+Defined results: null and empty texts, and texts without a match, have the low base score;
+without labelled rows the lists and a fixed curve are used; of rows that repeat an id, one label
+and one text count for learning, the smallest; null ids pass through; equal rows get equal
+scores; an empty table gives an empty result; extra columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -49,8 +52,9 @@ SAMPLE = 4000
 SUPPORT = 8
 PURITY = 0.5
 EVIDENCE = 14.0  # nats of evidence against chance, about one in a million
-LEARNED = 4000
-STEM = (4, 8)
+STEM = (5, 8)
+ACCEPT = 0.5
+_LEAST_WORDS = 50
 _PRIOR = 2.0
 
 INSULTS = """
@@ -79,8 +83,15 @@ REPORTS = """
 """.split()
 INTENSIFIERS = "very so such total complete absolute utter fucking damn bloody really sehr so très muy tan".split()
 
+# Words of the list above that mostly mean something else, and what stands before them then.
+AMBIGUOUS = "trash garbage clown clowns pig swine filth vermin parasite creep jerk freak basura".split()
+DETERMINERS = "the a an this that these those some any my our more less".split()
+
 # Symbols, and the order in which lists claim a word.
-_SYMBOLS = (("I", INSULTS), ("T", THREATS), ("N", NEGATIONS), ("R", REPORTS), ("Q", INTENSIFIERS), ("Y", TARGETS))
+_SYMBOLS = (
+    ("A", AMBIGUOUS), ("I", INSULTS), ("T", THREATS), ("N", NEGATIONS), ("R", REPORTS), ("Q", INTENSIFIERS),
+    ("Y", TARGETS), ("D", DETERMINERS),
+)
 _THREAT_WEIGHT = 0.35
 _CLAUSE = re.compile(r"[.!?;:,\n|()\[\]{}\"“”]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
@@ -96,16 +107,24 @@ class Transducer:
         return self.moves.get((state, symbol)) or self.moves.get((state, "*")) or (state, 1.0)
 
 
-INSULT = Transducer({(0, "Q"): (1, 1.0), (1, "I"): (0, 1.25), (1, "Q"): (1, 1.0), (1, "*"): (0, 1.0)})
-THREAT = Transducer({(0, "Y"): (1, 1.0), (1, "T"): (1, 2.0)})
-TARGET = Transducer({(0, "Y"): (1, 1.0), (1, "I"): (1, 1.5)})
+INTENSITY = Transducer({(0, "Q"): (1, 1.0), (1, "Q"): (1, 1.0), (1, "I"): (0, 1.25), (1, "A"): (0, 1.25), (1, "*"): (0, 1.0)})
+TARGET = Transducer({(0, "Y"): (1, 1.0), (1, "I"): (1, 1.5), (1, "A"): (1, 1.5)})
 NEGATION = Transducer(
     {(0, "N"): (1, 1.0)}
     | {(s, "*"): ((s + 1) % 4, 1.0) for s in (1, 2, 3)}
     | {(s, "N"): (0, 1.0) for s in (1, 2, 3)}
-    | {(s, c): (0, 0.3) for s in (1, 2, 3) for c in "IT"}
+    | {(s, c): (0, 0.2) for s in (1, 2, 3) for c in "AIT"}
+)
+REPORT = Transducer({(0, "R"): (1, 1.0)} | {(1, c): (1, 0.2) for c in "AIT"})
+# Company of a target, an intensifier or another insult leaves no harmless sense.
+LITERAL = Transducer(
+    {(s, c): (2, 1.0) for s in (0, 1) for c in "YIQ"}
+    | {(0, "A"): (2, 1.0), (0, "D"): (1, 1.0), (1, "D"): (1, 1.0), (1, "A"): (0, 0.2), (1, "*"): (0, 1.0)}
 )
-REPORT = Transducer({(0, "R"): (1, 1.0), (1, "I"): (1, 0.6), (1, "T"): (1, 0.3)})
+# From the end of the clause.
+OBJECT = Transducer({(s, "Y"): (1, 1.0) for s in (0, 1, 2)} | {(1, "T"): (0, 2.0), (2, "T"): (0, 2.0), (1, "*"): (2, 1.0), (2, "*"): (0, 1.0)})
+FORWARD = (INTENSITY, TARGET, NEGATION, REPORT, LITERAL)
+BACKWARD = (OBJECT,)
 
 
 class Composed:
@@ -146,14 +165,14 @@ class Grammar:
 class Machine:
     """A grammar made ready for reading texts."""
 
-    def __init__(self, grammar: Grammar):
+    def __init__(self, grammar: Grammar, forward: tuple = FORWARD, backward: tuple = BACKWARD):
         self.symbols = {}
         for symbol, words in reversed(_SYMBOLS):
             self.symbols |= dict.fromkeys(words, symbol)
-        self.symbols |= dict.fromkeys(grammar.weights, "I")
+        self.symbols |= {word: "I" for word in grammar.weights if self.symbols.get(word) != "A"}
         self.weights = dict.fromkeys(THREATS, _THREAT_WEIGHT) | grammar.weights
         self.curve = grammar.curve
-        self.composed = compose(INSULT, THREAT, TARGET, NEGATION, REPORT)
+        self.forward, self.backward = compose(*forward), compose(*backward)
         self.stems = grammar.stems
         self.finder = ahocorasick.Automaton()
         for word in {*self.weights, *self.stems}:
@@ -171,13 +190,17 @@ class Machine:
         return symbol or ".", self.weights.get(word, 0.0)
 
     def clause(self, words: list[str]) -> float:
-        state, total = self.composed.start, 0.0
-        for word in words:
-            symbol, weight = self.read(word)
-            state, factor = self.composed.step(state, symbol)
-            if symbol in "IT":
-                total += weight * factor
-        return total
+        """The sum over matches: words whose weight times both machines' factors is accepted."""
+        read = [self.read(word) for word in words]
+        scores, state = [], self.forward.start
+        for symbol, weight in read:
+            state, factor = self.forward.step(state, symbol)
+            scores.append(weight * factor if symbol in "AIT" else 0.0)
+        state = self.backward.start
+        for i in range(len(read) - 1, -1, -1):
+            state, factor = self.backward.step(state, read[i][0])
+            scores[i] *= factor
+        return sum(x for x in scores if x >= ACCEPT)
 
     def clauses(self, text: str) -> list[float]:
         """Scores of the clauses that hold an insult or a threat."""
@@ -198,11 +221,12 @@ class Machine:
         return scores
 
     def features(self, text: str | None) -> tuple[float, float, float, int]:
-        """Strongest clause, logs of the sum over clauses and per 100 words, number of clauses."""
+        """Strongest clause, logs of the sum over clauses and per 100 words, number of clauses
+        that match. Texts of a few words count as ``_LEAST_WORDS``."""
         text = text or ""
-        scores = self.clauses(text)
+        scores = [x for x in self.clauses(text) if x]
         total = sum(scores)
-        words = text.count(" ") + 1
+        words = max(_LEAST_WORDS, text.count(" ") + 1)
         return max(scores, default=0.0), math.log1p(total), math.log1p(100 * total / words), len(scores)
 
     def probability(self, *features: float) -> float:
@@ -211,10 +235,10 @@ class Machine:
         return 1.0 / (1.0 + math.exp(-min(30.0, max(-30.0, level))))
 
 
-def _surroundings(sample: DataFrame) -> DataFrame:
-    """stem, toxic and clean: in how many different surroundings a stem first stands, by label.
+def _surroundings(sample: DataFrame, keys) -> DataFrame:
+    """key, toxic and clean: in how many different surroundings a key first stands, by label.
 
-    A word counts under all its beginnings of ``STEM`` letters and, if it is listed, whole.
+    ``keys`` makes the keys that a word counts under of column ``word``.
     """
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), lambda w: w != "")
     placed = F.transform(
@@ -229,24 +253,36 @@ def _surroundings(sample: DataFrame) -> DataFrame:
         .groupBy("doc_id", "label", "w.word")
         .agg(F.min(F.struct("w.at", "w.before", "w.after")).alias("first"))
     )
-    least, most = STEM
-    lengths = F.sequence(F.lit(least), F.least(F.char_length("word"), F.lit(most)))
-    beginnings = F.when(F.char_length("word") >= least, F.transform(lengths, lambda n: F.substring("word", F.lit(1), n)))
-    whole = F.when(F.col("word").isin(INSULTS), F.array(F.concat(F.lit("="), "word")))
-    none = F.array().cast("array<string>")
     return (
-        first_words.select(
-            "doc_id", "label", "first", F.explode(F.concat(F.coalesce(beginnings, none), F.coalesce(whole, none))).alias("stem")
-        )
-        .groupBy("doc_id", "label", "stem")
+        first_words.select("doc_id", "label", "first", F.explode(keys).alias("key"))
+        .groupBy("doc_id", "label", "key")
         .agg(F.min("first").alias("first"))
-        .groupBy("stem", "label", "first.before", "first.after")
+        .groupBy("key", "label", "first.before", "first.after")
         .agg(F.lit(1).alias("one"))
-        .groupBy("stem")
+        .groupBy("key")
         .agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean"))
     )
 
 
+def _stems_of(known: list[str]):
+    """Keys of words that no known word explains: their beginnings of ``STEM`` letters."""
+    least, most = STEM
+    lengths = F.sequence(F.lit(least), F.least(F.char_length("word"), F.lit(most)))
+    beginnings = F.transform(lengths, lambda n: F.substring("word", F.lit(1), n))
+    unexplained = (F.char_length("word") >= least) & ~F.col("word").isin(known)
+    return F.when(unexplained, beginnings).otherwise(F.array().cast("array<string>"))
+
+
+def _telling(base: float):
+    """Keys that toxic texts hold often, purely, and beyond chance."""
+    n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    evidence = n * (
+        share * F.log(share / base)
+        + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    )
+    return (F.col("toxic") >= SUPPORT) & (share >= PURITY) & (evidence >= EVIDENCE)
+
+
 def _feature_batches(grammar: Grammar):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = grammar.machine()
@@ -288,29 +324,16 @@ def fit(
     base = chosen.agg(F.avg("label")).first()[0]
     if base is None or not 0 < base < 1:
         return Grammar()
-    listed = F.col("stem").startswith("=")
-    n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
-    evidence = n * (
-        share * F.log(share / base)
-        + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    )
-    telling = (F.col("toxic") >= SUPPORT) & (share >= PURITY) & (evidence >= EVIDENCE)
-    rows = (
-        _surroundings(chosen)
-        .where(listed | telling)
-        .orderBy(F.desc(listed), F.desc("toxic"), "stem")
-        .limit(LEARNED + len(INSULTS))
-        .collect()
-    )
+    def weight(row, expected: float) -> float:
+        return (row.toxic + _PRIOR * expected) / (row.toxic + row.clean + _PRIOR)
+
+    # As many rows as the bounded sample has evidence for.
     grammar = Grammar()
-    for row in rows:
-        # Listed words are taken for insults, stems for ordinary ones, until texts say otherwise.
-        expected = 1.0 if row.stem.startswith("=") else base
-        weight = (row.toxic + _PRIOR * expected) / (row.toxic + row.clean + _PRIOR)
-        if row.stem.startswith("="):
-            grammar.weights[row.stem[1:]] = weight
-        else:
-            grammar.stems[row.stem] = weight
+    for row in _surroundings(chosen, F.array("word")).where(F.col("key").isin(INSULTS) | _telling(base)).collect():
+        # Listed words are taken for insults, others for ordinary ones, until texts say otherwise.
+        grammar.weights[row.key] = weight(row, 1.0 if row.key in INSULTS else base)
+    for row in _surroundings(chosen, _stems_of(sorted(grammar.weights))).where(_telling(base)).collect():
+        grammar.stems[row.key] = weight(row, base)
     kind = chosen.schema["doc_id"].dataType.simpleString()
     found = map_arrow(
         chosen.select("doc_id", "label", "text"),
