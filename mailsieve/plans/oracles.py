@@ -374,6 +374,11 @@ split_quotas AS (
   FROM split_ranked r JOIN split_quotas q ON r.label = q.label)"""
 
 
+def first_digits(text: str) -> str:
+    """A number from the first eight digits of a text's MD5."""
+    return f"CAST(CAST('0x' || substring(md5({text}), 1, 8) AS UBIGINT) AS DOUBLE)"
+
+
 def share_of(key: str, name: str) -> str:
     """A number in [0, 1) from the first eight digits of a seeded hash."""
     digits = f"substring(md5('{SEED}:{name}:' || CAST({key} AS VARCHAR)), 1, 8)"
@@ -525,6 +530,9 @@ SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS characters FR
   UNION ALL SELECT 'benchmark', text FROM benchmark) GROUP BY source""",
     "mail_split": "SELECT doc_id, lang || ' ' || source AS subject, text FROM documents",
     "csv_roundtrip": f"WITH {NORM} SELECT * FROM norm",
+    "csv_in_splits": f"""
+SELECT lang, count(*) AS n, count(*) AS n_keys, max(doc_id) AS last_doc,
+       CAST(sum({first_digits("coalesce(text, '')")}) AS BIGINT) AS checksum FROM documents GROUP BY lang""",
     "source_partitioned_table": """
 SELECT source, count(*) AS n, max(doc_id) AS last_row FROM documents GROUP BY source""",
     "quality_issues": f"WITH {FLAGGED} {ISSUE_ROWS}",
@@ -636,6 +644,18 @@ FROM labels l FULL OUTER JOIN p ON l.doc_id = p.doc_id""",
 SELECT round(avg(CASE WHEN 1 - l.quality = CASE WHEN {count_char("d.text", "!")} >= 3
                  THEN 1 ELSE 0 END THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
+    "positional_accuracy": f"""
+SELECT count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS positions,
+       round(avg(CASE WHEN 1 - l.quality = CASE WHEN {count_char("d.text", "!")} >= 3
+                 THEN 1 ELSE 0 END THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
+    "margin_scores": f"""WITH {term_rows("documents", "doc_id", SHORT_STOPWORDS)},
+{weight_rows("documents", "doc_id", settings.MAX_FEATURES)}, margins AS (
+  SELECT doc_id, sum(weight * 8 * ({first_digits("term")} / 4294967296.0::DOUBLE - 0.5)) AS m FROM weights GROUP BY doc_id),
+scored AS (SELECT d.doc_id, coalesce(m.m, 0) - 0.25 AS m FROM documents d LEFT JOIN margins m ON m.doc_id = d.doc_id)
+SELECT doc_id, CAST(m > 0 AS INTEGER) AS label, CASE WHEN m > 0 THEN 'spam' ELSE 'not spam' END AS prediction,
+       round_even(1 / (1 + exp(-m)), 6) AS spam_score
+FROM scored""",
     "roc_auc": f"""WITH {CLEAN}, scored AS (
   SELECT label, {upper_ratio("text")} AS score FROM cleaned), placed AS (
   SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE

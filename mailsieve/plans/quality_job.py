@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsieve import settings
@@ -60,6 +60,16 @@ def run_quality_job(
     return QualityTables(clean, issues, spark.read.schema(report.schema).json(report_path))
 
 
+def read_quality_tables(spark: SparkSession, output_folder: str) -> QualityTables:
+    """The tables that ``run_quality_job`` left in a folder."""
+    clean = spark.read.parquet(f"{output_folder}/clean")
+    # A report's schema does not depend on its rows.
+    report = quality_summary(clean, clean, clean.select(F.lit("").alias("issue"), F.lit(0).cast("long").alias("n")), clean)
+    return QualityTables(
+        clean, spark.read.parquet(f"{output_folder}/issues"), spark.read.schema(report.schema).json(f"{output_folder}/summary")
+    )
+
+
 def preprocess_texts(
     frame: DataFrame,
     text_col: str | None = None,

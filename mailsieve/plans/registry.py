@@ -15,8 +15,9 @@ from mailsieve.functions import numeric, text
 from mailsieve.functions.patterns import SHORT_STOPWORDS
 from mailsieve.operators import dedupe, evaluation, profile, quality, sampling, terms
 from mailsieve.operators.normalise import normalise_messages, union_sources
+from mailsieve.operators.position import align_by_position
 from mailsieve.plans import learning_curve as curve
-from mailsieve.plans import scoring, training
+from mailsieve.plans import scoring, table_model, training
 from mailsieve.plans.evaluation_job import run_evaluation_job
 from mailsieve.plans.full_run import run_all
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
@@ -233,6 +234,26 @@ def csv_roundtrip(spark, folder):
     return normalise_messages(back).withColumn(ROW_KEY, F.col(ROW_KEY).cast("long"))
 
 
+@query
+def csv_in_splits(spark, folder):
+    """Quoted texts with line ends in files that are read in many splits."""
+    path = scratch_path(spark, "csv-splits")
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    sinks.write_csv(documents.repartition(3, "doc_id"), path)
+    back = readers.ingest_csv(spark, path, schema=text_columns(["doc_id", "lang", "text"]))
+    return back.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct(ROW_KEY).alias("n_keys"),
+        F.max(F.col("doc_id").cast("long")).alias("last_doc"),
+        F.sum(_first_digits(F.coalesce("text", F.lit("")))).alias("checksum"),
+    )
+
+
+def _first_digits(text: Column) -> Column:
+    """A number from the first eight digits of a text's MD5."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 @query
 def source_partitioned_table(spark, folder):
     path = scratch_path(spark, "by-source")
@@ -619,6 +640,24 @@ def aligned_accuracy(spark, folder):
     return rounded(evaluation.plain_accuracy(joined))
 
 
+@query
+def positional_accuracy(spark, folder):
+    """Labels and predictions stored in one order without a key, in files cut differently."""
+    labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
+    guess = (feat.character_count(F.col("text"), "!") >= 3).cast("int").alias("prediction")
+    rows = table(spark, folder, "documents").join(labels, "doc_id").select("doc_id", "label", guess)
+    tables = []
+    for name, parts in (("label", 3), ("prediction", 5)):
+        path = scratch_path(spark, f"keyless-{name}")
+        rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").select(name).write.parquet(path)
+        tables.append(spark.read.parquet(path))
+    aligned = align_by_position(*tables)
+    return aligned.agg(
+        F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"),
+        F.round(F.avg((F.col("label") == F.col("prediction")).cast("int")), 6).alias("accuracy"),
+    )
+
+
 @query
 def roc_auc(spark, folder):
     rows = clean(spark, folder)
@@ -668,6 +707,21 @@ def stream_scores(spark, folder):
     return spark.read.schema(scored.schema).parquet(output)
 
 
+@query
+def margin_scores(spark, folder):
+    """All documents under a linear model with fixed weights, stored as a table and read back."""
+    documents = tfidf_input(spark, folder)
+    vocabulary = terms.vocabulary(terms.with_terms(documents, stopwords=SHORT_STOPWORDS))
+    n = documents.count()
+    idf = F.log((1.0 + n) / (1.0 + F.col("df").cast("double"))) + 1.0
+    weight = 8.0 * (_first_digits(F.col("term")) / float(1 << 32) - 0.5)
+    made = table_model.TableModel(
+        vocabulary.select("term", idf.alias("idf"), weight.alias("weight"), "df"), -0.25, stopwords=tuple(SHORT_STOPWORDS)
+    )
+    model = table_model.load_table_model(spark, made.save(scratch_path(spark, "table-model")))
+    return table_model.score_table(model, documents, "doc_id", clean=False)
+
+
 def training_input(spark, folder) -> DataFrame:
     return written(balanced(spark, folder), "training-input")
 

@@ -16,6 +16,7 @@ from mailsieve.schema import ROW_KEY, require_columns
 from mailsieve.session import written
 from mailsieve.settings import LABELS
 from mailsieve.sources.catalogue import archive_catalogue
+from mailsieve.sources.split_csv import header_of, read_split_csv
 
 _BLANK_LINE = r"\r?\n\r?\n"
 _SUBJECT = r"(?imd)^Subject:[ \t]*([^\n]*(?:\n[ \t]+[^\n]*)*)"
@@ -30,11 +31,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header and quoted, possibly multi-line, fields.
 
-    Without a schema all columns are strings, named by the header. Files whose fields
-    hold no line ends can be read with ``multi_line=False``: they are then split
-    over tasks, while a multi-line file is one task.
+    Without a schema all columns are strings, named by the header. Large files are split
+    over tasks. Fields without line ends need no search for the quotes that hold them:
+    ``multi_line=False`` leaves it out.
     """
-    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
+    if multi_line:
+        return read_split_csv(spark, path, schema)
+    reader = spark.read.options(header=True, quote='"', escape='"')
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
@@ -52,6 +55,9 @@ def ingest_csv(
     Within a file the ids grow with the position. Storing them fixes them for all later
     reads. Keys of several files read one by one overlap; ``load_sources`` tells them apart.
     """
+    if multi_line:
+        keyed = row_key in header_of(spark, path)
+        return written(read_split_csv(spark, path, schema, None if keyed else row_key), "csv-ingest")
     table = read_csv(spark, path, schema, multi_line)
     if row_key not in table.columns:
         table = table.withColumn(row_key, F.monotonically_increasing_id())

@@ -1,11 +1,17 @@
+import csv
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from mailsieve import session
+from mailsieve.operators.position import align_by_position
+from mailsieve.plans import full_run
 from mailsieve.plans.full_run import require_unique_keys, run_all, with_source_keys
 from mailsieve.plans.quality_job import preprocess_texts, run_preprocessing_job, run_quality_job
 from mailsieve.schema import MESSAGE_SCHEMA, STANDARD_COLUMNS, text_columns
-from mailsieve.sources import readers, sinks
+from mailsieve.sources import readers, sinks, split_csv
 
 MAILS = {
     "easy_ham/0001.aa": b"From x Mon\r\nSubject: Re: one\r\n\ttwo\r\nTo: b@c\r\n\r\nBody line\r\n\r\nmore",
@@ -46,6 +52,77 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted((int(r["row_index"]), float(r["label"]), r["text"]) for r in back.collect()) == rows
 
 
+def test_csv_in_many_splits_equals_one_task(spark, tmp_path):
+    """Splits of a few bytes, so that records begin, go on and end in different ones."""
+    draw = random.Random(5)
+    bits = ["a", "", '"', "\n", "\r\n", ",", "\n\n", "longer text", "é", '""', " x ", "\\"]
+    files = []
+    for number, ending in enumerate(["\n", "\r\n", "\n"]):
+        rows = ["id,text,last"]
+        for i in range(30):
+            text = "".join(draw.choice(bits) for _ in range(draw.randrange(12 if i % 9 else 200)))
+            quoted = '"' + text.replace('"', '""') + '"'
+            rows.append(f"{i},{quoted},{draw.choice(['z', chr(34) * 2, ''])}")
+        path = tmp_path / f"f{number}.csv"
+        path.write_bytes((ending.join(rows) + (ending if number else "")).encode())
+        files.append(str(path))
+    parsed = {}
+    for number, f in enumerate(files):
+        with open(f, newline="") as lines:
+            parsed[f] = [tuple(x or None for x in row) for row in list(csv.reader(lines))[1:]]
+        one_task = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(f).collect()
+        # One task turns the line ends inside quotes of the second file to those of Unix.
+        assert number == 1 or [tuple(r) for r in one_task] == parsed[f]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("101b", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            for f in files:
+                found = readers.ingest_csv(spark, f)
+                rows = sorted(found.collect(), key=lambda r: r["row_index"])
+                assert [r["row_index"] for r in rows] == list(range(30))
+                assert [tuple(r)[:3] for r in rows] == parsed[f], (f, size)
+            every = readers.ingest_csv(spark, str(tmp_path)).collect()
+            assert sorted(r["row_index"] for r in every) == list(range(90))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "101b")
+        lines = split_csv._lines(spark, files[0])
+        assert lines.select("start").distinct().count() > 10
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_csv_header_is_checked(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="header"):
+        readers.read_csv(spark, str(path), text_columns(["a", "c"]))
+    (tmp_path / "none.csv").write_text("a,b\n")
+    assert readers.ingest_csv(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_alignment_by_position(spark, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("truth"), F.col("id").alias("guess"))
+    for name, parts in (("truth", 7), ("guess", 3)):
+        rows.repartitionByRange(parts, name).sortWithinPartitions(name).select(name).write.parquet(str(tmp_path / name))
+    truth, guess = (spark.read.parquet(str(tmp_path / n)) for n in ("truth", "guess"))
+    aligned = align_by_position(truth, guess).collect()
+    assert sorted(map(tuple, aligned)) == [(i, i, i) for i in range(1000)]
+    with pytest.raises(ValueError, match="1000 and 999 rows"):
+        rows.where("guess < 999").select("guess").write.parquet(str(tmp_path / "short"))
+        align_by_position(truth, spark.read.parquet(str(tmp_path / "short")))
+    with pytest.raises(ValueError, match="same name"):
+        align_by_position(truth, truth)
+    # Many files and small splits, whose order in a task is not that of the table.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        assert all(tuple(r) == (r[0],) * 3 for r in align_by_position(truth, guess).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_row_key_follows_the_file(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text("label,text\n0,first\n1,\"second\nline\"\n0,third\n")
@@ -214,3 +291,56 @@ def test_only_a_local_session_makes_its_own_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(FakeSession("spark://host:7077"))
 
+
+
+def stored_sources(spark, folder):
+    frames = []
+    for number, (label, words) in enumerate([(0, "meeting agenda project report"), (1, "free prize money lottery")]):
+        rows = spark.range(20, numPartitions=2).select(
+            F.col("id").alias("row_index"), F.lit(label).alias("label"), F.lit(f"s{number}").alias("source"),
+            F.concat(F.lit(f"{words} number "), "id").alias("text"),
+        )
+        path = f"{folder}/in{number}"
+        if not os.path.exists(path):
+            rows.write.parquet(path)
+        frames.append(spark.read.parquet(path))
+    return frames
+
+
+def test_a_second_run_does_only_what_is_new(spark, tmp_path):
+    frames, out = stored_sources(spark, tmp_path), str(tmp_path / "out")
+    first = run_all(frames, out)
+    assert {"labelled/source_no=0", "labelled/source_no=1", "balanced", "quality"} <= set(first.done)
+    rows = sorted(map(tuple, first.quality.clean.collect()))
+    again = run_all(stored_sources(spark, tmp_path), out)
+    assert again.done == [] and sorted(map(tuple, again.quality.clean.collect())) == rows
+    assert again.quality.summary.first() == first.quality.summary.first()
+    # New rows in one source: the other one is not read again.
+    frames[1].selectExpr("row_index + 100 as row_index", "label", "source", "concat(text, ' more') as text").write.mode("append").parquet(str(tmp_path / "in1"))
+    third = run_all(stored_sources(spark, tmp_path), out)
+    assert "labelled/source_no=1" in third.done and "balanced_sources/1" in third.done and "quality" in third.done
+    assert not {"labelled/source_no=0", "balanced_sources/0"} & set(third.done)
+    assert spark.read.parquet(f"{out}/labelled").count() == 60
+    assert len(run_all(stored_sources(spark, tmp_path), out, force=True).done) == len(first.done)
+    # One source less: its rows go.
+    fewer = run_all(stored_sources(spark, tmp_path)[:1], out)
+    assert spark.read.parquet(f"{out}/labelled").count() == 20 and "quality" in fewer.done
+
+
+def test_a_broken_run_goes_on_where_it_broke(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    true, calls = full_run.write_json, []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise OSError("no space")
+        return true(*args)
+
+    monkeypatch.setattr(full_run, "write_json", broken)
+    with pytest.raises(OSError, match="no space"):
+        run_all(stored_sources(spark, tmp_path), out)
+    rest = run_all(stored_sources(spark, tmp_path), out)
+    assert rest.done == ["source_report", "quality"]
+    assert rest.quality.clean.count() == 40
+    assert [p.name for p in (tmp_path / "out").glob("_manifest*")] == ["_manifest.json"]
