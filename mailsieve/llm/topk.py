@@ -1,14 +1,15 @@
 """Exact top-k search by distributed histogram selection.
 
-Every query is scored against every vector, in blocks: a task holds a block of queries
-and a slice of vectors and multiplies them. Scores are never stored. Instead rounds of
-histograms locate the k-th score of each query:
+Every query is scored against every vector, in blocks: queries are cut into blocks of about
+``BLOCK_BYTES``, and a block goes to all tasks, which multiply it with the vectors where they
+lie. Vectors are never shuffled or repeated, and scores are never stored. Instead rounds of
+histograms locate the k-th score of each query, one pass over the vectors a round:
 
 1. A round splits the range that holds the k-th score into 2 ** ``BITS`` bins, counts the
-   scores of each block by bin, adds the counts up over all blocks, and narrows the range
-   to the bin where the running count reaches k. A block sends only its bins down to its own
-   k-th score: the k-th score over all blocks is not below that, so nothing that counts
-   is left out and a block sends at most k bins per query.
+   scores of each slice of vectors by bin, adds the counts up over all slices, and narrows the
+   range to the bin where the running count reaches k. A slice sends only its bins down to its
+   own k-th score: the k-th score over all slices is not below that, so nothing that counts
+   is left out and a slice sends at most k bins per query.
 2. When the range is one score wide, the same rounds over the vector ids of the scores
    equal to it find the last id that is still needed, for queries with more ties than places.
 3. A last round keeps what is above both limits and ranks it.
@@ -29,21 +30,23 @@ one. A query with fewer candidates than k gets all. An empty table gives an empt
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailsieve.llm.common import worker_path, written
+from mailsieve.session import scratch_path
 
 K = 10
 SCALE = 1024
 BITS = 11
 LEAST_LONG, MOST_LONG = -(1 << 63), (1 << 63) - 1
-SLICE = 4096
-BLOCK = 1024
-LEAST_SLICES = 32
-_KEYS = ["dim", "block", "slice"]
+BLOCK_BYTES = 16 << 20
+#: Scores of one multiplication: queries times vectors.
+_TILE = (1024, 4096)
 
 
 def _floor(x: Column) -> Column:
@@ -148,18 +151,28 @@ def _winners(vectors: pa.Table, queries: pa.Table) -> pa.Table:
     )
 
 
-def _over_blocks(vectors: DataFrame, queries: DataFrame, n_blocks: int, n_slices: int, work, schema: str) -> DataFrame:
-    """``work`` on every slice of vectors with every block of queries of the same length."""
-    left = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    right = queries.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))))
-    none = pa.table({column.split()[0]: pa.array([], pa.int64()) for column in schema.split(", ")})
+def _by_dim(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
+    dims = table.column("dim").to_numpy()
+    for dim in np.unique(dims).tolist():
+        yield dim, table.filter(pa.array(dims == dim))
+
+
+def _over_vectors(vectors: DataFrame, queries: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on every tile of vectors and queries of the same length, in one pass over the vectors.
+
+    ``queries`` is one block, whose size is bounded; it is sent to the tasks as it is now.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast(queries.toArrow())
 
-    def both(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return none
-        return work(a, b)
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = {dim: [t.slice(a, _TILE[0]) for a in range(0, t.num_rows, _TILE[0])] for dim, t in _by_dim(shared.value)}
+        for batch in batches:
+            for dim, table in _by_dim(pa.Table.from_batches([batch])):
+                for a in range(0, table.num_rows, _TILE[1]):
+                    for block in mine.get(dim, ()):
+                        yield from work(table.slice(a, _TILE[1]), block).to_batches()
 
-    return left.groupBy(*_KEYS).cogroup(right.groupBy(*_KEYS)).applyInArrow(both, schema)
+    return vectors.select("vec_id", "v", "dim").mapInArrow(tiles, schema)
 
 
 def _narrowed(state: DataFrame, counts: DataFrame, shift: int) -> DataFrame:
@@ -200,19 +213,14 @@ def _narrowed(state: DataFrame, counts: DataFrame, shift: int) -> DataFrame:
     )
 
 
-def _locate(vectors, queries, state, span: int, n_blocks: int, n_slices: int, bits: int) -> DataFrame:
+def _locate(vectors: DataFrame, queries: DataFrame, state: DataFrame, span: int, bits: int) -> DataFrame:
     """Rounds of histograms until the range of every query is one value wide."""
     width = max(1, int(span).bit_length())
     while width > 0:
         shift = max(0, width - bits)
         now = state.where("not short").withColumn("shift", F.lit(shift))
-        counts = _over_blocks(
-            vectors,
-            queries.join(now, "qrow"),
-            n_blocks,
-            n_slices,
-            lambda a, b: _histogram(a, b, bits),
-            "qrow bigint, bin bigint, n bigint",
+        counts = _over_vectors(
+            vectors, queries.join(now, "qrow"), lambda a, b: _histogram(a, b, bits), "qrow bigint, bin bigint, n bigint"
         )
         state = written(_narrowed(state, counts, shift), "topk-state")
         width = shift
@@ -227,6 +235,7 @@ def search(
     k: int = K,
     scale: int = SCALE,
     bits: int = BITS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest scores of each query row.
 
@@ -236,19 +245,15 @@ def search(
     worker_path(spark)
     row_no = F.monotonically_increasing_id()
     all_rows = written(integer_vectors(vectors, id_col, vector_col, scale).withColumn("row_no", row_no), "topk-vectors")
-    facts = all_rows.agg(F.count(F.lit(1)), F.count_if(is_query), F.min("vec_id"), F.max("vec_id")).first()
-    n_rows, n_queries, least_id, most_id = [x or 0 for x in facts]
+    facts = all_rows.agg(
+        F.min("vec_id"), F.max("vec_id"), F.sum(F.when(is_query, F.col("dim") + 16)).alias("numbers")
+    ).first()
+    least_id, most_id, numbers = [x or 0 for x in facts]
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     norms = [r.square**0.5 for r in all_rows.select(squares.alias("square")).orderBy(F.desc("square")).limit(2).collect()]
     # Rounded up by far more than doubles can be off.
     bound = int(norms[0] * norms[-1] * (1 + 1e-6)) + 1 if norms else 0
-    low, high = max(-bound, LEAST_LONG), min(bound, MOST_LONG)
-    n_slices = max(LEAST_SLICES, -(-n_rows // SLICE))
-    n_blocks = max(1, -(-n_queries // BLOCK))
-    sliced = written(
-        all_rows.select("vec_id", "v", "dim", F.expr(f"cast(pmod(xxhash64(row_no), {n_slices}) as int)").alias("slice")),
-        "topk-slices",
-    )
+    n_blocks = max(1, -(-8 * numbers // block_bytes))
     queries = written(
         all_rows.where(is_query).select(
             F.col("row_no").alias("qrow"),
@@ -259,6 +264,19 @@ def search(
         ),
         "topk-queries",
     )
+    limits = max(-bound, LEAST_LONG), min(bound, MOST_LONG), least_id, most_id
+    paths = []
+    for block in range(n_blocks):
+        found = _search_block(all_rows, queries.where(F.col("block") == block).drop("block"), k, bits, *limits)
+        paths.append(scratch_path(spark, "topk-results"))
+        found.write.parquet(paths[-1])
+    return spark.read.schema(found.schema).parquet(*paths)
+
+
+def _search_block(
+    vectors: DataFrame, queries: DataFrame, k: int, bits: int, low: int, high: int, least_id: int, most_id: int
+) -> DataFrame:
+    """The results of one block of queries; scores lie between ``low`` and ``high``."""
     start = queries.select(
         "qrow",
         F.lit(False).alias("by_id"),
@@ -269,7 +287,7 @@ def search(
         F.lit(0).cast("bigint").alias("in_bin"),
         F.lit(False).alias("short"),
     )
-    scored = _locate(sliced, queries, start, high - low, n_blocks, n_slices, bits)
+    scored = _locate(vectors, queries, start, high - low, bits)
     least, most = F.lit(LEAST_LONG).cast("bigint"), F.lit(MOST_LONG).cast("bigint")
     # A query with too few candidates takes all of them, one with as many ties as places all ties.
     settled = scored.select(
@@ -290,17 +308,12 @@ def search(
     )
     limits = settled.select("qrow", "score", most.alias("last_id"))
     if not tied.isEmpty():
-        found = _locate(sliced, queries, tied, most_id - least_id + 1, n_blocks, n_slices, bits)
+        found = _locate(vectors, queries, tied, most_id - least_id + 1, bits)
         limits = settled.join(found.select("qrow", F.col("high").alias("last")), "qrow", "left").select(
             "qrow", "score", F.coalesce("last", most).alias("last_id")
         )
-    kept = _over_blocks(
-        sliced,
-        queries.join(limits, "qrow"),
-        n_blocks,
-        n_slices,
-        _winners,
-        "qrow bigint, query_id bigint, vec_id bigint, score bigint",
+    kept = _over_vectors(
+        vectors, queries.join(limits, "qrow"), _winners, "qrow bigint, query_id bigint, vec_id bigint, score bigint"
     )
     order = Window.partitionBy("qrow").orderBy(F.desc("score"), "vec_id")
     return (

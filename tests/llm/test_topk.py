@@ -29,6 +29,22 @@ def test_query_equals_its_sql(spark, small):
     assert equal, message
 
 
+def test_vectors_are_not_shuffled(spark, small, monkeypatch):
+    """A round is one pass: no exchange lies below the multiplication, and none carries a vector."""
+    from mailsieve.llm import topk
+
+    plans = []
+    true = topk._over_vectors
+    monkeypatch.setattr(topk, "_over_vectors", lambda *a: plans.append(true(*a)) or plans[-1])
+    frame = spark.read.parquet(f"{small}/embeddings.parquet")
+    whole = sorted(map(tuple, search(frame, F.col("vec_id") % 100 == 0).collect()))
+    assert plans
+    for plan in plans:
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    # In many small blocks the results are the same.
+    assert sorted(map(tuple, search(frame, F.col("vec_id") % 100 == 0, block_bytes=1500).collect())) == whole
+
+
 @pytest.mark.parametrize("bits", [2, 11])
 def test_ties_repeats_and_few_candidates(spark, bits):
     draw = random.Random(bits)
