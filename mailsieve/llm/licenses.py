@@ -1,17 +1,20 @@
 """License scan by a positional index of rare words, in DataFrame operations only.
 
 A template is a run of words of a license text with a mandatory key phrase inside. Over all
-documents the number of texts with each template word is counted. The rarest word of a
-template's key phrase is its anchor: the posting under which the template is found, with
-the word's position. Then, per document:
-
-1. its rarest license words, the anchors, are looked up with their positions and the words
-   around them,
-2. a posting and a position give the place where the template would begin; template words
-   that stand at their relative position around it are intersected, by inverse frequency,
+documents the number of texts with each template word is counted. The word of highest inverse
+frequency in a template's key phrase is its anchor: the posting under which the template is
+found, with the word's position. Then, per document:
+
+1. of its license words those of highest inverse frequency in their template are looked up, with
+   their positions and the words around them,
+2. a posting and a position give the place where the template would begin; postings of the other
+   template words are intersected at their relative positions around it, and what is met must
+   come to ``SHARE`` of the template's inverse frequency,
 3. the key phrase must stand there whole and in order.
 
-As every place of a key phrase holds its anchor, no place is missed. Documents without an
+So a key phrase alone, in words that have nothing else of the license, gives no label; a base
+phrase is a template of its own. As every place of a key phrase holds its anchor, whichever
+license words a document has beside it, no place is missed. Documents without an
 anchor are done after the first step. The index is as large as the table of templates,
 which bounds what is broadcast; hits are grouped by row, and no key is shared by rows.
 
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 
 from mailsieve.llm.common import ascii_lower
 
+SHARE = 0.6
+
 # What separates words, and the base phrases with their labels.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -100,7 +105,7 @@ def _postings(templates, rarity: dict[str, float]) -> list[tuple]:
 
 
 def scan(
-    docs: DataFrame, templates=None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates=None, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, places (template, label, base, word, matched)."""
     templates = TEMPLATES if templates is None else templates
@@ -149,7 +154,8 @@ def scan(
         .withColumn("word", (F.col("hit.at") - F.col("in_key") - F.col("lead")).cast("bigint"))
         .withColumn("matched", F.when(F.col("whole"), matched).otherwise(0.0))
     )
-    place = F.when(F.col("whole"), F.struct("template", "label", "base", "word", "matched"))
+    enough = F.col("matched") >= share * F.aggregate("rarity", F.lit(0.0), lambda s, x: s + x)
+    place = F.when(F.col("whole") & (F.col("base") | enough), F.struct("template", "label", "base", "word", "matched"))
     return verified.groupBy("row_no", "doc_id", "n_words").agg(F.collect_list(place).alias("places")).drop("row_no")
 
 

@@ -1,22 +1,38 @@
+import math
 import re
+from collections import Counter
 
-from mailsieve.llm.licenses import BASE, TEMPLATES, scan, summary
+from mailsieve.llm.licenses import BASE, SHARE, TEMPLATES, scan, summary
 from mailsieve.llm.queries import op2_licenses
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def plain(text):
-    words = WORD.findall((text or "").translate(LOWER))
+def word_list(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def rarities(texts):
+    counts = Counter(w for t in texts for w in set(word_list(t)))
+    return lambda w: max(0.0, math.log((len(texts) + 1) / (counts[w] + 0.5)) + 1)
+
+
+def plain(text, rarity):
+    words = word_list(text)
     base, labels = [], set()
     for i in range(len(words)):
         for phrase, label in BASE.items():
             if words[i : i + len(phrase.split())] == phrase.split():
                 base.append((i, label))
-        for label, _, key in TEMPLATES:
-            if words[i : i + len(key.split())] == key.split():
                 labels.add(label)
+        for label, whole, key in TEMPLATES:
+            if words[i : i + len(key.split())] == key.split():
+                whole, key = whole.split(), key.split()
+                begin = i - next(a for a in range(len(whole)) if whole[a : a + len(key)] == key)
+                met = [w for k, w in enumerate(whole) if 0 <= begin + k < len(words) and words[begin + k] == w]
+                if sum(map(rarity, met)) >= SHARE * sum(map(rarity, whole)) - 1e-9:
+                    labels.add(label)
     places = [i for i, _ in base]
     return (
         len(words), len(base), min(places, default=None), max(places, default=None),
@@ -26,7 +42,8 @@ def plain(text):
 
 def check(rows, found):
     assert len(rows) == len(found)
-    expected = sorted(((i, *plain(t)) for i, t in rows), key=repr)
+    rarity = rarities([t for _, t in rows])
+    expected = sorted(((i, *plain(t, rarity)) for i, t in rows), key=repr)
     assert sorted((tuple(r)[:7] for r in found), key=repr) == expected
     for r in found:
         assert 0 <= r.score <= 1 and (r.score > 0) == (r.labels != "")
@@ -56,11 +73,18 @@ def test_odd_rows(odd, empty):
 
 
 def test_longer_matches_score_higher(spark):
-    rows = [(0, "see the mit license"), (1, "Released under the MIT License"), (2, "nothing")]
+    rows = [(0, "used under the mit license"), (1, "Released under the MIT License"), (2, "nothing")]
     found = {r.doc_id: r.score for r in summary(scan(spark.createDataFrame(rows, "doc_id int, text string"))).collect()}
     assert found[1] > found[0] > found[2] == 0
 
 
+def test_a_key_phrase_alone_is_no_license(spark):
+    texts = ["the student of mit license plates", "Released under the MIT License.", "Licensed under the GNU General Public License, version 3", "cc by"]
+    rows = list(enumerate(texts * 5 + ["other words"] * 30))
+    found = {r.doc_id: r.labels for r in summary(scan(spark.createDataFrame(rows, "doc_id int, text string"))).collect()}
+    assert [found[i] for i in range(4)] == ["", "mit", "gpl,gpl-3.0", "cc-by"]
+
+
 def test_no_python(spark, small):
     plan = op2_licenses(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
