@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mailsieve.llm.bpe import encode
-from mailsieve.llm.common import map_arrow
+from mailsieve.llm.common import map_arrow, written
 
 SEPARATOR = 50256
 BLOCK = 1 << 20
@@ -134,8 +134,9 @@ def count_flat(
         lambda i: F.substring("content", i * block + 1, F.lit(block)),
     )
     blocks = files.where("length > 0").select("path", F.posexplode(pieces).alias("block", "content"))
-    searched = map_arrow(
-        blocks, _search(separator), "path string, block int, n_ids bigint, found array<bigint>"
+    # Stored: what follows reads it twice, and the files are to be read once.
+    searched = written(
+        map_arrow(blocks, _search(separator), "path string, block int, n_ids bigint, found array<bigint>"), "separators"
     )
     base = F.col("block").cast("bigint") * (block // 2)
     ahead = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
