@@ -10,9 +10,10 @@ Weak kinds (``account``, ``mail``, ``endpoint``, ``opaque``) say little alone. T
 reported only when a part of a complementary role lies in the same scope, that is within
 ``scope`` code points: a secret needs an identifier or an endpoint, an identifier or an
 endpoint needs a secret. The partners are found by an interval join on (row, role, cell):
-positions are cut into cells of the scope's width, all parts of a role in a cell are
-reduced to their first and last position before the join, so a text with many parts
-yields a few rows per cell and never all pairs.
+positions are cut into cells of the scope's width, a part is posted under every cell it
+covers, and all parts of a role in a cell are reduced to the first and last position they
+cover there before the join, so a text with many parts yields a few rows per cell and
+never all pairs. A cell is narrower than what a part reaches, so the two positions tell.
 
 Defined results: null and empty texts have no spans; positions are code points, the end
 exclusive; equal rows are scanned one by one; an empty table gives an empty result;
@@ -158,11 +159,14 @@ def scan_secrets(
     )
     candidates = found.where(F.size("weak") > 0)
     parts = candidates.select("row_no", F.explode(F.concat("strong", "weak")).alias("part"))
-    # Every part counts with its first and its last position.
+    cells = F.sequence(F.expr(f"part.start div {scope}"), F.expr(f"part.end div {scope}"))
     points = (
-        parts.select("row_no", role.alias("role"), F.explode(F.array("part.start", "part.end")).alias("at"))
-        .groupBy("row_no", "role", F.expr(f"at div {scope}").alias("cell"))
-        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
+        parts.select("row_no", role.alias("role"), "part", F.explode(cells).alias("cell"))
+        .groupBy("row_no", "role", "cell")
+        .agg(
+            F.min(F.greatest(F.col("part.start"), F.col("cell") * scope)).alias("first"),
+            F.max(F.least(F.col("part.end"), F.col("cell") * scope + (scope - 1))).alias("last"),
+        )
     )
     reach = (
         candidates.select("row_no", F.explode("weak").alias("part"))
