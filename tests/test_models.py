@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mailsieve.functions.text import stopword_list
 from mailsieve.operators import terms
-from mailsieve.plans import learning_curve, scoring, training
+from mailsieve.plans import learning_curve, scoring, table_model, training
 from mailsieve.streaming.scoring import (
     read_message_stream,
     read_table_stream,
@@ -105,6 +105,25 @@ def test_a_solver_at_its_limit_is_an_error(dataset, monkeypatch):
         training.train_models(dataset, names=["logistic_regression"])
 
 
+@pytest.mark.parametrize("frequent", [0, 5, 10_000])
+def test_models_as_tables_score_the_same(spark, trained, tmp_path, frequent):
+    texts = [f"{HAM} jackpot casino", SPAM, HAM, "jackpot jackpot agenda", "nothing known", "", None, "draft"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "row_index int, text string")
+    for name in training.LOSSES:
+        made = table_model.table_of(trained.models[name], training.settings.NGRAM_RANGE, stopword_list("english"))
+        model = table_model.load_table_model(spark, made.save(str(tmp_path / name)))
+        expected = scoring.score_texts(trained.models[name], frame, keep=["row_index"])
+        found = table_model.score_table(model, frame, "row_index")
+        assert sorted(map(tuple, found.collect())) == sorted(tuple(r)[:4] for r in expected.collect())
+        parts = table_model.margins(model, frame, "row_index", frequent=frequent).collect()
+        whole = {r["row_index"]: r["margin"] for r in table_model.margins(model, frame, "row_index").collect()}
+        assert {r["row_index"]: r["margin"] for r in parts} == pytest.approx(whole)
+    with pytest.raises(ValueError, match="terms alone"):
+        mixed = training.feature_model(frame.where("text is not null"), "text", with_manual=True)
+        wide = training.linear_model(spark, "linear_svm", np.ones(3), 0.0)
+        table_model.table_of(PipelineModel([*mixed.stages, wide]), (1, 2), [])
+
+
 def test_missing_model_raises(tmp_path):
     with pytest.raises(Exception):
         scoring.load_model(str(tmp_path / "absent"))
