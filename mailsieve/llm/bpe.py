@@ -243,7 +243,6 @@ def _encoder(path: str, mark: bool, kind: str):
                 texts = [t or "" for t in run.column(1).to_pylist()]
                 ids = [row[0].astype(kind, copy=False).tobytes() for row in encode_texts(texts, _piece_cache(path), mark_id)]
                 yield pa.RecordBatch.from_arrays([run.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-        _piece_cache(path).end_task()
 
     return work
 

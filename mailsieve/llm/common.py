@@ -16,7 +16,7 @@ from mailsieve.session import written
 
 __all__ = ["ascii_lower", "free_names", "held_out", "map_arrow", "table", "text_slices", "worker_path", "written"]
 
-_SLICE_BYTES = 1 << 21
+_SLICE_BYTES = 1 << 22
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -59,7 +59,7 @@ def map_arrow(
 ) -> DataFrame:
     """``mapInArrow`` with a package that workers can import.
 
-    ``work`` sees batches of about 2 MB of text at most, whatever Spark's batches hold: the
+    ``work`` sees batches of about 4 MB of text at most, whatever Spark's batches hold: the
     memory of a worker does not follow the length of the texts, only that of the longest.
     """
     worker_path(frame.sparkSession)

@@ -33,12 +33,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from mailsieve.llm.common import map_arrow, text_slices
-from mailsieve.llm.pretokens import MARK, PieceCache, encode_texts, is_space
+from mailsieve.llm.pretokens import MARK, Cut, PieceCache, encode_texts, is_space
 
 SIZE = 2048
 END_ID = 1
@@ -210,9 +211,24 @@ def _piece_cache(path: str) -> tuple[PieceCache, int | None]:
     return PieceCache(encode), tokenizer.token_to_id(MARK)
 
 
-def _sentence_ends(pieces: list[str]) -> np.ndarray:
-    flags = np.fromiter((p[-1] in ".!?" or "\n" in p for p in pieces), dtype=bool, count=len(pieces))
-    return np.append(flags, False)  # a mark inside a text has the code -1
+def _sentence_ends(cut: Cut) -> np.ndarray:
+    found = pc.match_substring(cut.distinct, "\n")
+    for mark in ".!?":
+        found = pc.or_(found, pc.ends_with(cut.distinct, mark))
+    return np.append(found.to_numpy(zero_copy_only=False), False)  # a mark inside a text has the code -1
+
+
+def _marks(rows: list[tuple]) -> list[np.ndarray]:
+    """Of each text: how many of its ids are before the end of each of its sentences."""
+    flags = _sentence_ends(rows[0][2])[np.concatenate([codes for *_, codes in rows])]
+    each = np.concatenate([each for _, each, *_ in rows])
+    counts = np.array([len(codes) for *_, codes in rows])
+    upto, lasts = np.cumsum(each), np.cumsum(counts)
+    before = np.concatenate(([0], upto))[lasts - counts]
+    ends = np.flatnonzero(flags)
+    cuts = np.searchsorted(ends, lasts)
+    owners = np.repeat(np.arange(len(rows)), np.diff(cuts, prepend=0))
+    return np.split(upto[ends] - before[owners], cuts[:-1])
 
 
 _NAMES = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -244,18 +260,12 @@ def _packer(path: str, end_id: int, size: int, sentence: int, inside: int, grid:
             id_type = batch.column(0).type
             for run in text_slices(batch, 1):
                 texts = [t or "" for t in run.column(1).to_pylist()]
-                flags, flags_of = np.empty(0, bool), None
-                for doc_id, (ids, each, pieces, codes) in zip(
-                    run.column(0).to_pylist(), encode_texts(texts, cache, mark_id), strict=True
-                ):
-                    if flags_of is not pieces:
-                        flags, flags_of = _sentence_ends(pieces), pieces
-                    marks = np.cumsum(each)[flags[codes]] if len(codes) else np.empty(0, np.int64)
+                rows = list(encode_texts(texts, cache, mark_id))
+                for doc_id, (ids, *_), marks in zip(run.column(0).to_pylist(), rows, _marks(rows), strict=True):
                     stream.add(doc_id, np.concatenate((ids, end)), marks)
                     if stream.held >= STRETCH:
                         yield _rows(stream.pack(last=False), first_window, id_type)
         yield _rows(stream.pack(last=True), first_window, id_type)
-        cache.end_task()
 
     return work
 

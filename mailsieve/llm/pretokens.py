@@ -16,11 +16,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers.pre_tokenizers import ByteLevel
 
 MARK = "<|endoftext|>"
-CACHE = 40 << 20  # bytes of one generation
-_ENTRY = 180  # bytes of an entry beside its text and its ids
+CACHE = 300_000
+#: Longer pieces are hardly ever met again; they would make the size of the cache unbounded.
+_KEPT_LENGTH = 64
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = range(5)
 _APOSTROPHE, _BLANK = 0x27, 0x20
 
@@ -101,6 +103,7 @@ class Cut:
         sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         if not whole:
             self.codes, self.pieces = np.empty(0, np.int64), []
+            self.distinct = pa.array([], pa.large_string())
             self.counts = np.zeros(len(texts), np.int64)
             return
         points = np.frombuffer(whole.encode("utf-32-le"), dtype=np.uint32)
@@ -117,6 +120,7 @@ class Cut:
             len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)
         ).dictionary_encode()
         self.codes = array.indices.to_numpy(zero_copy_only=False)
+        self.distinct = array.dictionary
         self.pieces = array.dictionary.to_pylist()
 
 
@@ -137,44 +141,46 @@ def spread_rows(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np
 
 
 class PieceCache:
-    """Encodes pieces, keeping the ids of recent ones: two generations of about ``limit`` bytes.
+    """Encodes pieces, keeping the ids of recent ones: two generations of ``limit`` pieces.
 
-    ``encode`` gives the ids of each piece as little-endian 32-bit integers. The pieces of one
-    cut are a generation at least; they are in memory in any case.
+    ``encode`` gives the ids of each piece as little-endian 32-bit integers. Only pieces of
+    ``_KEPT_LENGTH`` characters at most are kept, some 200 bytes each, so the cache is bounded in
+    bytes too. The pieces of one cut are a generation at least; they are in memory in any case.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE):
         self._encode, self._limit = encode, limit
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._held = 0
 
-    def end_task(self) -> None:
-        """Free the older generation: a worker outlives its task, other work may be next."""
-        self._old = {}
-
-    def _lookup(self, pieces: list[str]) -> list[bytes]:
-        young, old = self._young, self._old
-        found = [young.get(p) or old.get(p) for p in pieces]
+    def _lookup(self, cut: Cut) -> list[bytes]:
+        pieces = cut.pieces
+        found = list(map(self._young.get, pieces))
         missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            encoded = self._encode([pieces[i] for i in missing])
-            for i, ids in zip(missing, encoded, strict=True):
+        if not missing:
+            return found
+        old, unknown = self._old.get, []
+        for i in missing:
+            found[i] = ids = old(pieces[i])
+            if ids is None:
+                unknown.append(i)
+        if unknown:
+            for i, ids in zip(unknown, self._encode([pieces[i] for i in unknown]), strict=True):
                 found[i] = ids
-        new = [i for i, piece in enumerate(pieces) if piece not in young]
-        size = sum(_ENTRY + len(pieces[i]) + len(found[i]) for i in new)
-        if self._held + size > self._limit:
-            self._young, self._old, self._held = {}, young, 0
-            new = range(len(pieces))
-            size = sum(_ENTRY + len(piece) + len(ids) for piece, ids in zip(pieces, found, strict=True))
-        self._held += size
-        self._young.update((pieces[i], found[i]) for i in new)
+        if len(self._young) + len(missing) > self._limit:
+            self._young, self._old = {}, self._young
+        long = set(np.flatnonzero(pc.utf8_length(cut.distinct).to_numpy(zero_copy_only=False) > _KEPT_LENGTH).tolist())
+        if long:
+            missing = [i for i in missing if i not in long]
+        young = self._young
+        for i in missing:
+            young[pieces[i]] = found[i]
         return found
 
     def ids(self, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a cut (uint32), and the number of ids of each of its pieces in order."""
-        found = self._lookup(cut.pieces)
-        sizes = np.fromiter((len(ids) >> 2 for ids in found), dtype=np.int64, count=len(found))
+        found = self._lookup(cut)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         each = sizes[cut.codes] if len(found) else np.empty(0, np.int64)
         starts = (np.cumsum(sizes) - sizes)[cut.codes] if len(found) else each
@@ -183,8 +189,8 @@ class PieceCache:
 
 def encode_texts(
     texts: list[str], cache_: PieceCache, mark_id: int | None
-) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray]]:
-    """Per text: ids, ids per piece, the batch's pieces and the text's codes into them.
+) -> Iterator[tuple[np.ndarray, np.ndarray, Cut, np.ndarray]]:
+    """Per text: ids, ids per piece, the batch's cut and the text's codes into its pieces.
 
     With a ``mark_id`` the end-of-text mark inside a text becomes that one id, as a
     tokenizer does with its special token; without, it is ordinary text. A mark has the
@@ -203,7 +209,7 @@ def encode_texts(
     for a, b in spans:
         if b - a == 1:
             lo, hi = code_ends[a], code_ends[b]
-            yield ids[id_ends[a] : id_ends[b]], each[lo:hi], cut.pieces, cut.codes[lo:hi]
+            yield ids[id_ends[a] : id_ends[b]], each[lo:hi], cut, cut.codes[lo:hi]
             continue
         bits, sizes, codes = [], [], []
         for i in range(a, b):
@@ -214,4 +220,4 @@ def encode_texts(
             bits.append(ids[id_ends[i] : id_ends[i + 1]])
             sizes.append(each[code_ends[i] : code_ends[i + 1]])
             codes.append(cut.codes[code_ends[i] : code_ends[i + 1]])
-        yield np.concatenate(bits), np.concatenate(sizes), cut.pieces, np.concatenate(codes)
+        yield np.concatenate(bits), np.concatenate(sizes), cut, np.concatenate(codes)
