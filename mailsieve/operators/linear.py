@@ -32,6 +32,8 @@ from mailsieve.session import importable_by_workers
 LOSSES = ("logistic", "squared_hinge")
 #: The gradient has to fall to this share of the first one.
 TOLERANCE = 1e-10
+#: A margin below this is noise of the solution: texts without a known term in balanced classes.
+MARGIN_PRECISION = 1e-9
 _CG_STEPS = 250
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mailsieve import settings
 from mailsieve.functions.numeric import round_half_even
 from mailsieve.operators.evaluation import metrics_from_cells
-from mailsieve.operators.linear import Problem, fit_linear, margins
+from mailsieve.operators.linear import MARGIN_PRECISION, Problem, fit_linear, margins
 from mailsieve.operators.sampling import seeded_hash
 from mailsieve.operators.terms import counted_terms, with_terms
 from mailsieve.plans.training import LOSSES, MODEL_NAMES
@@ -241,7 +241,7 @@ def _solved(
         found.append(
             scored.unpivot(["label", "run", "part"], [LOSSES[n] for n in names], "loss", "margin").select(
                 F.element_at(F.create_map(*[F.lit(x) for n in names for x in (LOSSES[n], n)]), F.col("loss")).alias("model"),
-                "label", "run", "part", (F.col("margin") > 0).cast("int").alias("prediction"),
+                "label", "run", "part", (F.col("margin") > MARGIN_PRECISION).cast("int").alias("prediction"),
             )
         )
     return reduce(DataFrame.unionByName, found)

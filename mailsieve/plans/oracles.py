@@ -720,7 +720,10 @@ FROM trained""",
 SELECT 'naive_bayes' AS model, {CURVE_COLUMNS}
 FROM rates r JOIN grid g ON r.run = g.run JOIN sizes s ON s.run = r.run""",
     "learning_curve_solvers": f"""WITH RECURSIVE {CURVE}, {solver_runs()}, guesses AS (
-  SELECT run, loss, in_train, label, CAST(f > 0 AS INTEGER) AS prediction FROM solver_margins), cells AS (
+  SELECT run, loss, in_train, label, CAST(f > 1e-9 AS INTEGER) AS prediction FROM solver_margins
+  UNION ALL  -- a training set of one class predicts it, whatever the model
+  SELECT p.run, m.loss, p.in_train, p.label, p.prediction FROM predicted p JOIN sizes s ON s.run = p.run
+  CROSS JOIN (SELECT unnest(['logistic', 'squared_hinge']) AS loss) m WHERE s.n0 = 0 OR s.n1 = 0), cells AS (
   {cell_counts("run, loss, in_train", "guesses")}), rates AS (
   SELECT *, {ratio("tp", "tp + fp")} AS p, {ratio("tp", "tp + fn")} AS r FROM cells)
 SELECT {LOSS_NAMES} AS model, {CURVE_COLUMNS}
