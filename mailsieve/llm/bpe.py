@@ -229,10 +229,14 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: Pieces of a generation; the vocabulary's own tables lie beside them in a worker.
+_CACHE = 100_000
+
+
 @lru_cache(maxsize=2)
 def _piece_cache(path: str) -> PieceCache:
     merge = vocabulary(path).merge
-    return PieceCache(lambda pieces: [ids.tobytes() for ids in merge(pieces)])
+    return PieceCache(lambda pieces: [ids.tobytes() for ids in merge(pieces)], _CACHE)
 
 
 def _encoder(path: str, mark: bool, kind: str):

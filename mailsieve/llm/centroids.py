@@ -20,11 +20,10 @@ Rounds that no longer move a centroid would repeat each other and are left out.
 
 Defined results: vectors that are null, of another length, or with null or non-finite components
 take no part. Rows without an id are clustered, but never start a centroid. Rows that repeat an
-id are clustered one by one; of equal hashes the vector whose
-little-endian bytes are smaller starts first. With fewer vectors
-than centroids each vector with an id starts one; without any the result is empty. Components are
-exact up to the range of a long; a scaled component, a distance or an inertia beyond it is an
-error. Extra columns of any name are not read.
+id are clustered one by one; of equal hashes the vector whose little-endian bytes are smaller
+starts first. With fewer vectors than centroids each vector with an id starts one; without any
+the result is empty. Components are exact up to the range of a long; a scaled component, a
+distance or an inertia beyond it is an error. Extra columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -93,7 +92,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
-    """The other way round; Spark's batches are not sliced, but offsets are minded."""
+    """The other way round, also of a slice of a batch."""
     _, offsets, data = column.buffers()
     start = np.frombuffer(offsets, np.int32)[column.offset] if len(column) else 0
     rows = np.frombuffer(data, "<i8", count=len(column) * dimension, offset=int(start)) if len(column) else np.empty(0, "<i8")

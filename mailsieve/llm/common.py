@@ -16,7 +16,7 @@ from mailsieve.session import written
 
 __all__ = ["ascii_lower", "free_names", "held_out", "map_arrow", "table", "text_slices", "worker_path", "written"]
 
-_SLICE_BYTES = 1 << 22
+_SLICE_BYTES = 1 << 21
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -55,17 +55,20 @@ def worker_path(spark: SparkSession) -> None:
 
 
 def map_arrow(
-    frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    frame: DataFrame,
+    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+    slice_bytes: int = _SLICE_BYTES,
 ) -> DataFrame:
     """``mapInArrow`` with a package that workers can import.
 
-    ``work`` sees batches of about 4 MB of text at most, whatever Spark's batches hold: the
+    ``work`` sees batches of about ``slice_bytes`` of text, whatever Spark's batches hold: the
     memory of a worker does not follow the length of the texts, only that of the longest.
     """
     worker_path(frame.sparkSession)
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return work(part for batch in batches for part in _byte_slices(batch))
+        return work(part for batch in batches for part in _byte_slices(batch, slice_bytes))
 
     return frame.mapInArrow(sliced, schema)
 

@@ -47,6 +47,8 @@ SENTENCE = 4
 INSIDE = 64
 GRID = 64
 STRETCH = 1 << 19
+#: Pieces repeat within a slice; a larger one is looked up less often.
+SLICE_BYTES = 1 << 22
 
 
 def cut_places(ends: np.ndarray, sentence_ends: np.ndarray, grid: int, sentence: int, inside: int):
@@ -258,7 +260,7 @@ def _packer(path: str, end_id: int, size: int, sentence: int, inside: int, grid:
         id_type = pa.int64()
         for batch in batches:
             id_type = batch.column(0).type
-            for run in text_slices(batch, 1):
+            for run in text_slices(batch, 1, SLICE_BYTES):
                 texts = [t or "" for t in run.column(1).to_pylist()]
                 rows = list(encode_texts(texts, cache, mark_id))
                 for doc_id, (ids, *_), marks in zip(run.column(0).to_pylist(), rows, _marks(rows), strict=True):
@@ -292,4 +294,5 @@ def pack(
         _packer(path, end_id, size, sentence, inside, grid),
         f"doc_id {docs.schema[id_col].dataType.simpleString()}, start bigint, ids binary, "
         "doc_tokens bigint, sequence_id bigint, offset bigint",
+        SLICE_BYTES,
     )

@@ -4,8 +4,9 @@ Terms are pairs of neighbouring byte classes (letters, digits, each punctuation
 so the whole text of any language counts. A few shares are added: distinct words,
 words that repeat the one before, repeated lines. Weighted by tf-idf and
 projected on the leading singular vectors of the labelled sample, each text becomes
-one short vector. Document frequencies are counted over all documents. Its cosine with every labelled vector is computed exactly, in blocks,
-and the labels of the nearest vote with a power of their similarity.
+one short vector. Document frequencies are counted over all documents. The cosine of a text
+with every labelled vector is computed exactly, in blocks, and the labels of the nearest vote
+with a power of their similarity.
 
 The labelled sample is bounded by ``sample`` rows (the smallest hashes of their ids among
 rows that are not held out), so what is broadcast is bounded: ``sample`` x ``rank`` floats and

@@ -62,8 +62,12 @@ def write_flat(
         .select("doc_id", F.col("ids").cast("string").alias("ids"), place.alias("place"))
         .select(F.stack(F.lit(2), F.lit(TOKENS), F.col("ids"), F.lit(NAMES), name).alias(HOLDS, "value"))
     )
-    # With a writer open for each of the two, rows are not sorted before they are written.
-    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+    # With a writer open for each of the two, rows are not sorted before they are written. Texts
+    # go to the workers a thousand at a time, which bounds what the executor holds of them.
+    with (
+        _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"),
+        _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"),
+    ):
         (
             rows.write.partitionBy(HOLDS)
             .option("encoding", "ISO-8859-1")
