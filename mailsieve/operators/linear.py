@@ -5,7 +5,8 @@ Objectives, with y = +1 or -1 and f(x) = w.x + b:
 * ``logistic``: |w|^2 / 2 + C * sum log(1 + exp(-y f)), intercept free;
 * ``squared_hinge``: (|w|^2 + b^2) / 2 + C * sum max(0, 1 - y f)^2, intercept penalised.
 
-Vectors are stored once. A step solves for its direction by conjugate gradients with the
+Vectors are stored once, as blocks of arrays that need no conversion, and stand there once for
+all runs that share them. A step solves for its direction by conjugate gradients with the
 diagonal as preconditioner, each of which is one pass: tasks multiply their rows as arrays and
 give back sums by feature, which Spark adds up by (problem, feature). No Hessian is built. The
 driver holds a few vectors of one number per feature and problem, never a row.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import settings
-from mailsieve.session import importable_by_workers
+from mailsieve.session import importable_by_workers, written
 
 LOSSES = ("logistic", "squared_hinge")
 #: The gradient has to fall to this share of the first one.
@@ -68,38 +69,81 @@ def vector_rows(frame: DataFrame, vector_col: str = "features", label_col: str =
     )
 
 
-# --- one pass ---------------------------------------------------------------
+# --- rows as blocks ----------------------------------------------------------
 
+#: Entries of a block: what is made of them stays in the cache.
+_BLOCK_ENTRIES = 1 << 15
+_BLOCK = "n int, label binary, scale binary, sizes binary, at binary, x binary"
+_KINDS = (np.int8, np.float64, np.int32, np.int32, np.float64)
 
-class _Rows:
-    """The rows of a batch that belong to one run, as a sparse matrix."""
-
-    def __init__(self, batch: pa.RecordBatch, run: int):
-        runs = batch.column(0).to_numpy(zero_copy_only=False)
-        mine = runs == run
-        if not mine.all():
-            batch = batch.filter(pa.array(mine))
-        self.n = batch.num_rows
-        self.y = 2.0 * batch.column(1).to_numpy(zero_copy_only=False) - 1.0
-        sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
-        self.row = np.repeat(np.arange(self.n), sizes)
-        self.at = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-        self.x = batch.column(3).flatten().to_numpy(zero_copy_only=False)
 
-    def times(self, w: np.ndarray) -> np.ndarray:
-        """Rows times the weights; the last weight is the intercept."""
-        return np.bincount(self.row, self.x * w[self.at], self.n) + w[-1]
+def _lists(column: pa.Array, kind: type) -> np.ndarray:
+    """All values of a list column; nulls of numbers become NaN."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (label, at, x, scales) as blocks of arrays."""
+    for batch in batches:
+        label = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int8)
+        sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
+        at, x = _lists(batch.column(1), np.int32), _lists(batch.column(2), np.float64)
+        scale = _lists(batch.column(3), np.float64).reshape(batch.num_rows, -1)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        a = 0
+        while a < batch.num_rows:
+            first = ends[a] - sizes[a]
+            b = max(a + 1, int(np.searchsorted(ends, first + _BLOCK_ENTRIES, "right")))
+            part = slice(first, ends[b - 1])
+            arrays = (label[a:b], scale[a:b], sizes[a:b], at[part], x[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b - a], pa.int32()), *(pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in arrays)],
+                [field.split()[0] for field in _BLOCK.split(", ")],
+            )
+            a = b
 
-    def back(self, u: np.ndarray, width: int) -> np.ndarray:
-        """The sum over rows of u times the row, the intercept last."""
-        out = np.bincount(self.at, self.x * u[self.row], width)
-        out[-1] += u.sum()
-        return out
 
-    def back_squares(self, u: np.ndarray, width: int) -> np.ndarray:
-        out = np.bincount(self.at, self.x * self.x * u[self.row], width)
+def stored_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (label, at, x, scales) stored as blocks that the passes multiply as they are.
+
+    ``scales`` holds a number per run: what the row is multiplied by there, null where the run
+    leaves it out. So a row that many runs share is stored, read and sent to Python once.
+    """
+    importable_by_workers(rows.sparkSession)
+    packed = rows.select("label", "at", "x", "scales").mapInArrow(_blocks, _BLOCK)
+    # Floats hardly shrink, and every pass would unpack them again.
+    return written(packed, "solver-blocks", compression="uncompressed", **{"parquet.block.size": 1 << 25})
+
+
+class _Rows:
+    """A block as a sparse matrix whose rows stand once for all runs."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        self.n = batch.column(0)[i].as_py()
+        label, scale, sizes, at, self.x = (
+            np.frombuffer(batch.column(k + 1)[i].as_buffer(), kind) for k, kind in enumerate(_KINDS)
+        )
+        self.at = at.astype(np.int64)  # numpy's own kind of index
+        self.y = 2.0 * label - 1.0
+        scale = np.ascontiguousarray(scale.reshape(self.n, -1).T)
+        self.used = ~np.isnan(scale)
+        self.scale = np.where(self.used, scale, 0.0)
+        self.row = np.repeat(np.arange(self.n), sizes)
+        self.filled = np.flatnonzero(sizes)
+        self.starts = (np.cumsum(sizes, dtype=np.int64) - sizes)[self.filled]
+
+    def times(self, w: np.ndarray, run: int) -> np.ndarray:
+        """Rows times the weights under the run at this place; the last weight is the intercept."""
+        found = np.zeros(self.n)
+        if len(self.at):
+            found[self.filled] = np.add.reduceat(w.take(self.at) * self.x, self.starts)
+        return found * self.scale[run] + w[-1]
+
+    def back(self, u: np.ndarray, run: int, out: np.ndarray, power: int = 1) -> None:
+        """Add the sum over rows of u times the row (to a power) to ``out``, the intercept last."""
+        entries = (u * self.scale[run] ** power).take(self.row) * (self.x if power == 1 else self.x**power)
+        np.add.at(out, self.at, entries)
         out[-1] += u.sum()
-        return out
 
 
 def _slopes(loss: str, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,23 +155,27 @@ def _slopes(loss: str, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return short * short, -2 * short, 2.0 * (short > 0)
 
 
-def _summed(rows: DataFrame, slots: int, per_batch: Callable) -> np.ndarray:
-    """One pass: ``per_batch(batch, sums)`` adds to sums[problem, slot]; returns their total."""
-    spark = rows.sparkSession
+# --- one pass ---------------------------------------------------------------
+
+
+def _summed(blocks: DataFrame, slots: int, per_block: Callable) -> np.ndarray:
+    """One pass: ``per_block(rows, sums)`` adds to sums[problem, slot]; returns their total."""
+    spark = blocks.sparkSession
     importable_by_workers(spark)
-    problems = per_batch.problems
+    problems = per_block.problems
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((problems, slots))
         for batch in batches:
-            per_batch(batch, sums)
+            for i in range(batch.num_rows):
+                per_block(_Rows(batch, i), sums)
         problem, slot = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(problem.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(sums[problem, slot])],
             ["problem", "slot", "x"],
         )
 
-    added = rows.mapInArrow(work, "problem int, slot int, x double").groupBy("problem", "slot").agg(F.sum("x").alias("x"))
+    added = blocks.mapInArrow(work, "problem int, slot int, x double").groupBy("problem", "slot").agg(F.sum("x").alias("x"))
     found = added.toArrow()  # one number per problem and feature
     total = np.zeros((problems, slots))
     total[found["problem"].to_numpy(), found["slot"].to_numpy()] = found["x"].to_numpy()
@@ -137,45 +185,44 @@ def _summed(rows: DataFrame, slots: int, per_batch: Callable) -> np.ndarray:
 class _Evaluate:
     """Adds up gradient, diagonal of the Hessian and loss of the data part."""
 
-    def __init__(self, problems: Sequence[Problem], shared):
-        self.kinds, self.problems, self.shared = list(problems), len(problems), shared
+    def __init__(self, states: Sequence[_State], shared):
+        self.losses, self.runs = [s.problem.loss for s in states], [s.place for s in states]
+        self.problems, self.shared = len(states), shared
 
-    def __call__(self, batch: pa.RecordBatch, sums: np.ndarray) -> None:
+    def __call__(self, rows: _Rows, sums: np.ndarray) -> None:
         points = self.shared.value
         width = points.shape[1]
-        for run in sorted({p.run for p in self.kinds}):
-            rows = _Rows(batch, run)
-            for i, problem in enumerate(self.kinds):
-                if problem.run == run and rows.n:
-                    loss, first, second = _slopes(problem.loss, rows.y * rows.times(points[i]))
-                    sums[i, :width] += rows.back(rows.y * first, width)
-                    sums[i, width : 2 * width] += rows.back_squares(second, width)
-                    sums[i, 2 * width] += loss.sum()
+        for i, (kind, run) in enumerate(zip(self.losses, self.runs, strict=True)):
+            used = rows.used[run]
+            loss, first, second = _slopes(kind, rows.y * rows.times(points[i], run))
+            rows.back(rows.y * first * used, run, sums[i, :width])
+            rows.back(second * used, run, sums[i, width : 2 * width], power=2)
+            sums[i, 2 * width] += loss[used].sum()
 
 
 class _Curvature:
     """Adds up the Hessian of the data part times a direction."""
 
-    def __init__(self, problems: Sequence[Problem], shared):
-        self.kinds, self.problems, self.shared = list(problems), len(problems), shared
+    def __init__(self, states: Sequence[_State], shared):
+        self.losses, self.runs = [s.problem.loss for s in states], [s.place for s in states]
+        self.problems, self.shared = len(states), shared
 
-    def __call__(self, batch: pa.RecordBatch, sums: np.ndarray) -> None:
+    def __call__(self, rows: _Rows, sums: np.ndarray) -> None:
         points, directions = self.shared.value
-        width = points.shape[1]
-        for run in sorted({p.run for p in self.kinds}):
-            rows = _Rows(batch, run)
-            for i, problem in enumerate(self.kinds):
-                if problem.run == run and rows.n:
-                    _, _, second = _slopes(problem.loss, rows.y * rows.times(points[i]))
-                    sums[i] += rows.back(second * rows.times(directions[i]), width)
+        for i, (kind, run) in enumerate(zip(self.losses, self.runs, strict=True)):
+            _, _, second = _slopes(kind, rows.y * rows.times(points[i], run))
+            rows.back(second * rows.used[run] * rows.times(directions[i], run), run, sums[i])
 
 
 # --- Newton -----------------------------------------------------------------
 
 
 class _State:
-    def __init__(self, problem: Problem, width: int, weight: float):
-        self.problem, self.weight = problem, weight
+    """A problem on its way; ``place`` is the place of its run among the scales of a row."""
+
+    def __init__(self, problem: Problem, place: int, factor: np.ndarray, weight: float):
+        width = len(factor)
+        self.problem, self.place, self.factor, self.weight = problem, place, factor, weight
         self.w = np.zeros(width)
         # The penalty on each weight; the logistic intercept has none.
         self.penalty = np.ones(width)
@@ -193,8 +240,8 @@ class _State:
     def measure(self, w: np.ndarray, sums: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         width = len(w)
         value = self.weight * sums[2 * width] + 0.5 * float(np.dot(self.penalty * w, w))
-        gradient = self.weight * sums[:width] + self.penalty * w
-        diagonal = np.maximum(self.weight * sums[width : 2 * width] + self.penalty, 1e-12)
+        gradient = self.weight * self.factor * sums[:width] + self.penalty * w
+        diagonal = np.maximum(self.weight * self.factor**2 * sums[width : 2 * width] + self.penalty, 1e-12)
         return value, gradient, diagonal
 
     @property
@@ -202,17 +249,21 @@ class _State:
         return self.size <= TOLERANCE * max(1.0, self.first)
 
 
-def _evaluated(rows: DataFrame, states: list[_State], points: list[np.ndarray]) -> np.ndarray:
-    shared = rows.sparkSession.sparkContext.broadcast(np.array(points))
-    width = len(points[0])
-    sums = _summed(rows, 2 * width + 1, _Evaluate([s.problem for s in states], shared))
+def _scaled(states: Sequence[_State], vectors: Sequence[np.ndarray]) -> np.ndarray:
+    """Vectors of all states, times the factors of their run's features."""
+    return np.array([s.factor * v for s, v in zip(states, vectors, strict=True)])
+
+
+def _evaluated(blocks: DataFrame, states: list[_State], points: list[np.ndarray]) -> np.ndarray:
+    shared = blocks.sparkSession.sparkContext.broadcast(_scaled(states, points))
+    sums = _summed(blocks, 2 * len(points[0]) + 1, _Evaluate(states, shared))
     shared.destroy()
     for state in states:
         state.passes += 1
     return sums
 
 
-def _directions(rows: DataFrame, states: list[_State]) -> list[np.ndarray]:
+def _directions(blocks: DataFrame, states: list[_State]) -> list[np.ndarray]:
     """Newton directions by conjugate gradients, all states in the same passes."""
     found = [np.zeros_like(s.w) for s in states]
     left = [-s.gradient for s in states]
@@ -225,15 +276,16 @@ def _directions(rows: DataFrame, states: list[_State]) -> list[np.ndarray]:
     for _ in range(_CG_STEPS):
         if not active:
             break
-        pair = np.array([states[i].w for i in active]), np.array([ways[i] for i in active])
-        shared = rows.sparkSession.sparkContext.broadcast(pair)
-        sums = _summed(rows, pair[0].shape[1], _Curvature([states[i].problem for i in active], shared))
+        some = [states[i] for i in active]
+        pair = _scaled(some, [s.w for s in some]), _scaled(some, [ways[i] for i in active])
+        shared = blocks.sparkSession.sparkContext.broadcast(pair)
+        sums = _summed(blocks, len(some[0].w), _Curvature(some, shared))
         shared.destroy()
         still = []
         for i, data in zip(active, sums, strict=True):
             state = states[i]
             state.passes += 1
-            bent = state.weight * data + state.penalty * ways[i]
+            bent = state.weight * state.factor * data + state.penalty * ways[i]
             curve = float(np.dot(ways[i], bent))
             if curve <= 0:  # flat along an unpenalised intercept
                 continue
@@ -251,12 +303,12 @@ def _directions(rows: DataFrame, states: list[_State]) -> list[np.ndarray]:
     return found
 
 
-def _advance(rows: DataFrame, states: list[_State], directions: list[np.ndarray]) -> None:
+def _advance(blocks: DataFrame, states: list[_State], directions: list[np.ndarray]) -> None:
     """Go as far along each direction as lowers the objective: whole steps, else halves."""
     todo = [(s, d, 1.0) for s, d in zip(states, directions, strict=True)]
     while todo:
         points = [s.w + t * d for s, d, t in todo]
-        sums = _evaluated(rows, [s for s, _, _ in todo], points)
+        sums = _evaluated(blocks, [s for s, _, _ in todo], points)
         again = []
         for (state, way, t), point, row in zip(todo, points, sums, strict=True):
             value, gradient, _ = state.measure(point, row)
@@ -278,20 +330,43 @@ def fit_linear(
     weight: float = settings.INVERSE_REGULARISATION,
     max_steps: int | None = None,
 ) -> dict[Problem, Solution]:
-    """Solve all ``problems`` over ``rows`` (run, label, at, x), which should be a stored table."""
+    """Solve all ``problems`` over ``rows`` (run, label, at, x)."""
+    runs = sorted({p.run for p in problems})
+    scales = F.array(*[F.when(F.col("run") == run, F.lit(1.0)) for run in runs])
+    mine = rows.where(F.col("run").isin(runs)).withColumn("scales", scales)
+    return fit_shared(mine, runs, problems, n_features, None, weight, max_steps)
+
+
+def fit_shared(
+    rows: DataFrame,
+    runs: Sequence[int],
+    problems: Sequence[Problem],
+    n_features: int,
+    factors: dict[int, np.ndarray] | None = None,
+    weight: float = settings.INVERSE_REGULARISATION,
+    max_steps: int | None = None,
+) -> dict[Problem, Solution]:
+    """Solve all ``problems`` over rows (label, at, x, scales) that ``runs`` share.
+
+    In a run, a row counts times its scale there, and each feature times the run's factor.
+    """
     limit = settings.SOLVER_MAX_STEPS if max_steps is None else max_steps
-    rows = rows.select("run", "label", "at", "x")
-    states = [_State(p, n_features + 1, weight) for p in problems]
+
+    def factor(run: int) -> np.ndarray:
+        return np.append(np.ones(n_features) if factors is None else factors[run], 1.0)
+
+    states = [_State(p, list(runs).index(p.run), factor(p.run), weight) for p in problems]
     if not states:
         return {}
-    for state, sums in zip(states, _evaluated(rows, states, [s.w for s in states]), strict=True):
+    blocks = stored_blocks(rows)
+    for state, sums in zip(states, _evaluated(blocks, states, [s.w for s in states]), strict=True):
         state.take(state.w, sums)
     active = [s for s in states if not s.done]
     while active:
         late = [s for s in active if s.steps >= limit]
         if late:
             raise RuntimeError(f"{late[0].problem.loss} did not converge in {limit} steps")
-        _advance(rows, active, _directions(rows, active))
+        _advance(blocks, active, _directions(blocks, active))
         active = [s for s in active if not s.done]
     return {s.problem: Solution(s.w[:-1], float(s.w[-1]), s.steps, s.passes, s.size) for s in states}
 
@@ -301,25 +376,43 @@ def margins(rows: DataFrame, solutions: dict[Problem, Solution], keep: Sequence[
 
     ``keep`` are columns of ``rows`` beside run, at and x.
     """
+    runs = sorted({p.run for p in solutions})
+    scales = F.array(*[F.when(F.col("run") == run, F.lit(1.0)) for run in runs])
+    return shared_margins(rows.withColumn("scales", scales), runs, solutions, keep)
+
+
+def shared_margins(
+    rows: DataFrame,
+    runs: Sequence[int],
+    solutions: dict[Problem, Solution],
+    keep: Sequence[str],
+    factors: dict[int, np.ndarray] | None = None,
+) -> DataFrame:
+    """As ``margins``, for rows (label, at, x, scales) that ``runs`` share: one for each row and run of it."""
     spark = rows.sparkSession
     importable_by_workers(spark)
     losses = list(dict.fromkeys(p.loss for p in solutions))
-    shared = spark.sparkContext.broadcast(
-        {(p.run, p.loss): np.append(s.weights, s.intercept) for p, s in solutions.items()}
-    )
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+
+    def scoring(run: int, loss: str) -> np.ndarray:
+        s = solutions[Problem(run, loss)]
+        return np.append(s.weights if factors is None else factors[run] * s.weights, s.intercept)
+
+    shared = spark.sparkContext.broadcast({(run, loss): scoring(run, loss) for loss in losses for run in runs})
+    number = np.array(runs, np.int32)
+    schema = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in keep)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points = shared.value
         for batch in batches:
-            runs = batch.column(0).to_numpy(zero_copy_only=False)
-            for run in np.unique(runs).tolist():
-                mine = batch.filter(pa.array(runs == run))
-                matrix = _Rows(mine, run)
-                found = [pa.array(matrix.times(points[run, loss])) for loss in losses]
-                yield pa.RecordBatch.from_arrays([mine.column(0), *mine.columns[4:], *found], ["run", *keep, *losses])
-
-    chosen = rows.where(F.col("run").isin(sorted({p.run for p in solutions})))
-    return chosen.select("run", "label", "at", "x", *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]).mapInArrow(
-        work, f"run int, {schema}, " + ", ".join(f"{loss} double" for loss in losses)
-    )
+            done = 0
+            for block in _blocks(iter([batch.select(range(4))])):
+                matrix = _Rows(block, 0)
+                run, row = np.nonzero(matrix.used)
+                kept = pa.RecordBatch.from_arrays(batch.columns[4:], list(keep)).take(pa.array(row + done)).columns if keep else []
+                margin = [
+                    pa.array(np.array([matrix.times(shared.value[r, loss], k) for k, r in enumerate(runs)])[run, row]) for loss in losses
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(number[run]), *kept, *margin], ["run", *keep, *losses])
+                done += matrix.n
+
+    chosen = rows.select("label", "at", "x", "scales", *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)])
+    return chosen.mapInArrow(work, f"run int, {schema}" + ", ".join(f"{loss} double" for loss in losses))

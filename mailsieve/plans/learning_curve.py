@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mailsieve import settings
 from mailsieve.functions.numeric import round_half_even
 from mailsieve.operators.evaluation import metrics_from_cells
-from mailsieve.operators.linear import MARGIN_PRECISION, Problem, fit_linear, margins
+from mailsieve.operators.linear import MARGIN_PRECISION, Problem, fit_shared, shared_margins
 from mailsieve.operators.sampling import seeded_hash
 from mailsieve.operators.terms import counted_terms, with_terms
 from mailsieve.plans.training import LOSSES, MODEL_NAMES
@@ -217,27 +217,28 @@ def _solved(
         only = _per_run(one, lambda run: F.lit(int(sizes[run.number][1] > 0)))
         found.append(vectors.select(F.lit(name).alias("model"), "label", only).withColumnRenamed("value", "prediction"))
     if two:
-        # The weights of a row under each of its runs.
-        used = vectors.select(row_key, "label", "fold", "band", "norm", F.inline_outer("entries")).join(
-            F.broadcast(terms.select("at", "idf")), "at", "left"
+        # Rows stand once for all runs: their counts, times the idf and over the length of each run.
+        def scale(run: Run) -> Column:
+            return F.coalesce(F.try_divide(F.lit(1.0), F.get("norm", F.lit(run.number))), F.lit(0.0))
+
+        rows = vectors.select(
+            "label", F.col("entries.at").alias("at"), F.col("entries.tf").cast("array<double>").alias("x"),
+            *[F.array(*[F.when(used(r), scale(r)) for r in two]).alias(name) for name, used in (("trains", Run.trains), ("scales", Run.uses))],
+            "fold", F.col("label").alias("truth"),
         )
-        per_run = used.select(
-            row_key, "label", "at", "tf", "idf", _per_run(two, lambda run: F.get("norm", F.lit(run.number)))
-        ).select(
-            row_key, "label", "run", "part", "at",
-            (F.col("tf") * F.get("idf", F.col("run")) / F.nullif(F.col("value"), F.lit(0.0))).alias("weight"),
+        numbers = [r.number for r in two]
+        idf = terms.select("at", *[F.coalesce(F.get("idf", F.lit(n)), F.lit(0.0)).alias(f"idf_{n}") for n in numbers]).toArrow()
+        n_features = idf.num_rows
+        factors = {n: np.zeros(n_features) for n in numbers}  # one number per run and feature, as the weights
+        for n, factor in factors.items():
+            factor[idf["at"].to_numpy()] = idf[f"idf_{n}"].to_numpy()
+        problems = [Problem(n, LOSSES[name]) for n in numbers for name in names]
+        trained = rows.select("label", "at", "x", F.col("trains").alias("scales")).where(F.exists("scales", lambda s: s.isNotNull()))
+        solved = fit_shared(trained, numbers, problems, n_features, factors)
+        held_out = F.get(F.array(*[F.lit(r.held_out) for r in runs]), F.col("run"))
+        scored = shared_margins(rows, numbers, solved, ["truth", "fold"], factors).withColumnRenamed("truth", "label").withColumn(
+            "part", F.when(F.col("fold") == held_out, "validation").otherwise("train")
         )
-        entry = F.when(F.col("weight").isNotNull(), F.struct("at", "weight"))
-        rows = written(
-            per_run.groupBy(row_key, "label", "run", "part")
-            .agg(F.collect_list(entry).alias("e"))
-            .select("run", "label", F.col("e.at").alias("at"), F.col("e.weight").alias("x"), "part"),
-            "curve-solver-rows",
-        )
-        n_features = terms.count()
-        problems = [Problem(r.number, LOSSES[name]) for r in two for name in names]
-        solved = fit_linear(rows.where("part = 'train'"), problems, n_features)
-        scored = margins(rows, solved, ["label", "part"])
         found.append(
             scored.unpivot(["label", "run", "part"], [LOSSES[n] for n in names], "loss", "margin").select(
                 F.element_at(F.create_map(*[F.lit(x) for n in names for x in (LOSSES[n], n)]), F.col("loss")).alias("model"),

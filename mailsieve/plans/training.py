@@ -82,8 +82,7 @@ def fit_classifiers(names: Sequence[str], train: DataFrame, n_features: int) ->
         wanted = [name for name in names if name in LOSSES]
         if not wanted:
             return {}
-        rows = written(vector_rows(train), "solver-rows")
-        solved = fit_linear(rows, [Problem(0, LOSSES[name]) for name in wanted], n_features)
+        solved = fit_linear(vector_rows(train), [Problem(0, LOSSES[name]) for name in wanted], n_features)
         return {
             name: Fit(linear_model(spark, name, s.weights, s.intercept), s.steps, s.passes, s.gradient)
             for name in wanted

@@ -180,5 +180,5 @@ def read_split_csv(
     sizes = records.groupBy("file", "start").agg(F.max("place").alias("last"))
     ahead = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("file", "start", F.coalesce(F.sum(F.col("last") + 1).over(ahead), F.lit(0)).alias("before"))
-    numbered = records.join(offsets, ["file", "start"]).select((F.col("before") + F.col("place")).alias(row_key), parsed.alias("row"))
+    numbered = records.join(F.broadcast(offsets), ["file", "start"]).select((F.col("before") + F.col("place")).alias(row_key), parsed.alias("row"))
     return numbered.select("row.*", row_key)
