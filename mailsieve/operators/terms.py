@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     CountVectorizerModel,
@@ -24,7 +26,7 @@ from mailsieve.functions import patterns as P
 from mailsieve.functions.features import MANUAL_FEATURES
 from mailsieve.functions.text import stopword_list
 from mailsieve.operators.running import totals_before
-from mailsieve.session import written
+from mailsieve.session import importable_by_workers, written
 
 
 def _grams_sql(n: int) -> str:
@@ -93,26 +95,52 @@ def counted_terms(frame: DataFrame) -> DataFrame:
     return began.withColumn("counted", counted).drop("_sorted", "_starts")
 
 
+def _counts_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of terms to the distinct terms of each batch, with occurrences and number of texts."""
+    for batch in batches:
+        lists = batch.column(0)
+        coded = lists.flatten().dictionary_encode()
+        n = len(coded.dictionary)
+        if not n:
+            continue
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        # Equal numbers stand for equal terms of one text.
+        pairs = np.repeat(np.arange(len(sizes), dtype=np.int64) * n, sizes) + code
+        pairs.sort()
+        firsts = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))]
+        tf, df = np.bincount(code, minlength=n), np.bincount(firsts % n, minlength=n)
+        yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(tf), pa.array(df)], ["term", "tf", "df"])
+
+
 def term_counts(frame: DataFrame) -> DataFrame:
     """Occurrences and number of texts per term, from one shuffle by term.
 
-    Sorting the terms within a text shows which occurrence is its first, so texts
-    are counted without grouping by text. Frequent terms are combined per task
-    before the shuffle.
+    Terms are combined per batch of texts before they become rows, and per task before the
+    shuffle: a row per occurrence would cost several times what finding the terms does.
     """
-    ordered = frame.select(F.sort_array("terms").alias("terms"))
-    marked = F.transform(
-        "terms",
-        lambda term, i: F.struct(
-            term.alias("term"),
-            F.when(F.get(F.col("terms"), i - 1) == term, 0).otherwise(1).alias("first"),
-        ),
-    )
-    return (
-        ordered.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
-    )
+    importable_by_workers(frame.sparkSession)
+    combined = frame.select("terms").mapInArrow(_counts_of_batches, "term string, tf bigint, df bigint")
+    return combined.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def _bucket_counts(frame: DataFrame, buckets: int) -> DataFrame:
+    """Occurrences per hash bucket of their terms: bucket and n, where there are any.
+
+    Only the numbers of the buckets leave the JVM; a task holds one count for each.
+    """
+    importable_by_workers(frame.sparkSession)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            number = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            total += np.bincount(number.astype(np.int64), minlength=buckets)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["bucket", "n"])
+
+    numbers = frame.select(F.transform("terms", lambda term: _bucket(term, buckets).cast("int")).alias("number"))
+    return numbers.mapInArrow(work, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def _bucket(term: Column, buckets: int) -> Column:
@@ -144,10 +172,7 @@ def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> D
     the guess was right; otherwise it is lowered. The result never depends on it.
     """
     buckets = max(1 << 10, 1 << (16 * max_features - 1).bit_length())
-    each = frame.select(F.explode("terms").alias("term"))
-    sketch = written(
-        each.groupBy(_bucket(F.col("term"), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "term-sketch"
-    )
+    sketch = written(_bucket_counts(frame, buckets), "term-sketch")
     wanted = 2 * max_features
     while True:
         # As many numbers as the vocabulary has terms, twice.
