@@ -162,6 +162,19 @@ def _only_buckets(frame: DataFrame, chosen: DataFrame, buckets: int) -> DataFram
     return frame.withColumn("terms", F.filter("terms", is_chosen))
 
 
+#: Bits of the longest bitmap of terms, as a power of two: half a megabyte.
+_MOST_BUCKET_BITS = 22
+
+
+def only_terms_of(frame: DataFrame, known: DataFrame) -> DataFrame:
+    """Drop most of the ``terms`` that are not in ``known`` (term), and none that is.
+
+    The bitmap has sixteen bits a term up to a fixed length, beyond which it lets more through.
+    """
+    buckets = 1 << min(_MOST_BUCKET_BITS, max(10, (16 * known.count()).bit_length()))
+    return _only_buckets(frame, known.select(_bucket(F.col("term"), buckets).alias("bucket")).distinct(), buckets)
+
+
 def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> DataFrame:
     """The ``max_features`` most frequent terms; ties go to the lower term.
 

@@ -3,7 +3,8 @@
 A model of any vocabulary can be scored this way: neither the driver nor a task holds it. The
 most frequent terms, a fixed number of them, are joined where the texts lie; they are most of all
 occurrences and the only ones that could crowd a shuffle. The rest is joined by term. Sums are
-combined per text before they are brought together.
+combined per text before they are brought together. Terms that the model cannot hold, told by a
+bitmap of hashes, are left out before a text's terms are counted.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from mailsieve import settings
 from mailsieve.functions.labels import display_name
 from mailsieve.functions.numeric import round_half_even, sigmoid
 from mailsieve.functions.text import with_clean_text
-from mailsieve.operators.terms import counted_terms, with_terms
+from mailsieve.operators.terms import counted_terms, only_terms_of, with_terms
 from mailsieve.session import written
 from mailsieve.sources.sinks import write_json, write_table
 
@@ -66,8 +67,8 @@ def table_of(model: PipelineModel, ngram_range: Sequence[int], stopwords: Iterab
 
 def margins(model: TableModel, frame: DataFrame, row_key: str, text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """row_key and margin of each row of ``frame``; ``row_key`` must be unique."""
-    termed = counted_terms(with_terms(frame.select(row_key, F.col(text_col).alias("text")), "text", model.ngram_range, model.stopwords))
-    texts = written(termed.select(row_key, "counted"), "counted-texts")
+    termed = with_terms(frame.select(row_key, F.col(text_col).alias("text")), "text", model.ngram_range, model.stopwords)
+    texts = written(counted_terms(only_terms_of(termed, model.terms)).select(row_key, "counted"), "counted-texts")
     entries = texts.select(row_key, F.inline("counted"))
     often = model.terms.orderBy(F.desc("df"), "term").limit(frequent).select("term", F.lit(True).alias("often"))
     marked = written(model.terms.join(F.broadcast(often), "term", "left"), "model-terms")

@@ -51,3 +51,26 @@ def test_no_counts_of_no_terms(spark):
 def test_counting_makes_no_row_per_occurrence(termed, counts):
     plan = counts(termed)._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_terms_unknown_to_a_model_are_not_counted(spark, monkeypatch):
+    from mailsieve.plans import table_model
+
+    stored = {}
+    true = table_model.written
+    monkeypatch.setattr(table_model, "written", lambda frame, name: stored.setdefault(name, true(frame, name)))
+    texts = [" ".join([f"rare{i}x{j}" for j in range(200)] + ["red", "fox", "red"]) for i in range(20)] + ["", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    known = spark.createDataFrame([("red", 1.0, 3.0, 20), ("red fox", 2.0, -1.0, 9), ("far", 1.0, 9.0, 1)], "term string, idf double, weight double, df int")
+    model = table_model.TableModel(known, 0.5)
+    found = {r["doc_id"]: r["margin"] for r in table_model.margins(model, frame, "doc_id").collect()}
+    expected = (2 * 3.0 - 2.0) / (2**2 + 2**2) ** 0.5 + 0.5
+    assert found == {i: pytest.approx(expected if i < 20 else 0.5) for i in range(22)}
+    assert stored["counted-texts"].select(F.sum(F.size("counted"))).first()[0] < 1000  # of some 8,000
+
+
+def test_no_known_term_is_dropped(spark, termed):
+    each = termed.select(F.explode("terms").alias("term")).distinct()
+    assert terms.only_terms_of(termed, each).select("terms").collect() == termed.select("terms").collect()
+    none = terms.only_terms_of(termed, each.limit(0)).select(F.sum(F.size("terms"))).first()[0]
+    assert none == 0
