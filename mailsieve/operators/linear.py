@@ -8,8 +8,13 @@ Objectives, with y = +1 or -1 and f(x) = w.x + b:
 Vectors are stored once, as blocks of arrays that need no conversion, and stand there once for
 all runs that share them. A step solves for its direction by conjugate gradients with the
 diagonal as preconditioner, each of which is one pass: tasks multiply their rows as arrays and
-give back sums by feature, which Spark adds up by (problem, feature). No Hessian is built. The
-driver holds a few vectors of one number per feature and problem, never a row.
+give back sums by feature in chunks, which are added up by (problem, chunk). No Hessian is built.
+The driver holds vectors of one number per feature and problem, never a row.
+
+The Hessian changes little from one step to the next, so the directions that a step tried tell the
+next ones about it: they refine the preconditioner (as L-BFGS does with gradients; Morales and
+Nocedal 2000). With more rows the diagonal alone needs ever more passes. What is kept of them is
+bounded, and decides how fast the solution is reached, never what it is.
 
 Many problems are solved side by side in the same passes: both losses of a training set, and
 the training sets (``run``) of a learning curve. A problem that has converged leaves the
@@ -18,7 +23,7 @@ passes; one that has not after ``max_steps`` steps is an error.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +41,8 @@ TOLERANCE = 1e-10
 #: A margin below this is noise of the solution: texts without a known term in balanced classes.
 MARGIN_PRECISION = 1e-9
 _CG_STEPS = 250
+#: Memory for what all problems together keep of earlier steps.
+_KNOWN_BYTES = 160 << 20
 
 
 @dataclass(frozen=True)
@@ -169,19 +176,43 @@ def _summed(blocks: DataFrame, slots: int, per_block: Callable) -> np.ndarray:
         for batch in batches:
             for i in range(batch.num_rows):
                 per_block(_Rows(batch, i), sums)
-        problem, slot = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(problem.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(sums[problem, slot])],
-            ["problem", "slot", "x"],
-        )
-
-    added = blocks.mapInArrow(work, "problem int, slot int, x double").groupBy("problem", "slot").agg(F.sum("x").alias("x"))
-    found = added.toArrow()  # one number per problem and feature
+        for problem in range(problems):
+            for at in range(0, slots, _CHUNK):
+                part = sums[problem, at : at + _CHUNK]
+                if part.any():
+                    yield _chunk(problem, at, part)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for key, part in _chunks(batches):
+            totals[key] = totals[key] + part if key in totals else part
+        for key, part in totals.items():
+            yield _chunk(*key, part)
+
+    parts = blocks.mapInArrow(work, _CHUNKS).repartition("problem", "at")
     total = np.zeros((problems, slots))
-    total[found["problem"].to_numpy(), found["slot"].to_numpy()] = found["x"].to_numpy()
+    # One number per problem and feature.
+    for (problem, at), part in _chunks(parts.mapInArrow(added, _CHUNKS).toArrow().to_batches()):
+        total[problem, at : at + len(part)] = part
     return total
 
 
+#: Sums travel in chunks of so many: a row for each would cost more than what it is made from.
+_CHUNK = 1 << 12
+_CHUNKS = "problem int, at int, x binary"
+
+
+def _chunk(problem: int, at: int, part: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([problem], pa.int32()), pa.array([at], pa.int32()), pa.array([part.tobytes()], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["problem", "at", "x"])
+
+
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield (batch.column(0)[i].as_py(), batch.column(1)[i].as_py()), np.frombuffer(batch.column(2)[i].as_buffer())
+
+
 class _Evaluate:
     """Adds up gradient, diagonal of the Hessian and loss of the data part."""
 
@@ -229,6 +260,10 @@ class _State:
         self.penalty[-1] = float(problem.loss == "squared_hinge")
         self.steps = self.passes = 0
         self.first: float | None = None
+        # Features that the run has; the others keep a weight of 0.
+        self.own = np.flatnonzero(factor)
+        # Directions of earlier steps, the Hessian times each, and 1 over the product of both.
+        self.known: list[tuple[np.ndarray, np.ndarray, float]] = []
 
     def take(self, w: np.ndarray, sums: np.ndarray) -> None:
         """Move to ``w``, where the data part has these sums."""
@@ -244,6 +279,29 @@ class _State:
         diagonal = np.maximum(self.weight * self.factor**2 * sums[width : 2 * width] + self.penalty, 1e-12)
         return value, gradient, diagonal
 
+    def learn(self, tried: Sequence[tuple[np.ndarray, np.ndarray]], most: int) -> None:
+        """Keep the last ``most`` pairs of a direction and the Hessian times it."""
+        for way, bent in tried[-most:]:
+            inner = float(np.dot(way, bent))
+            if inner > 0:
+                self.known.append((way, bent, 1.0 / inner))
+        self.known = self.known[-most:]
+
+    def preconditioned(self, vector: np.ndarray) -> np.ndarray:
+        """About the inverse Hessian times ``vector``."""
+        if not self.known:
+            return vector / self.diagonal
+        left, shares = vector[self.own], []
+        for way, bent, share in reversed(self.known):
+            shares.append(share * np.dot(way, left))
+            left -= shares[-1] * bent
+        found = left / self.diagonal[self.own]
+        for (way, bent, share), before in zip(self.known, reversed(shares), strict=True):
+            found += (before - share * np.dot(bent, found)) * way
+        whole = np.zeros_like(vector)
+        whole[self.own] = found
+        return whole
+
     @property
     def done(self) -> bool:
         return self.size <= TOLERANCE * max(1.0, self.first)
@@ -267,7 +325,9 @@ def _directions(blocks: DataFrame, states: list[_State]) -> list[np.ndarray]:
     """Newton directions by conjugate gradients, all states in the same passes."""
     found = [np.zeros_like(s.w) for s in states]
     left = [-s.gradient for s in states]
-    scaled = [r / s.diagonal for r, s in zip(left, states, strict=True)]
+    scaled = [s.preconditioned(r) for r, s in zip(left, states, strict=True)]
+    most = max(1, _KNOWN_BYTES // sum(16 * len(s.own) for s in states))
+    tried: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in states]
     ways = [z.copy() for z in scaled]
     reach = [float(np.dot(r, z)) for r, z in zip(left, scaled, strict=True)]
     # No further than the whole solution has to go.
@@ -289,17 +349,21 @@ def _directions(blocks: DataFrame, states: list[_State]) -> list[np.ndarray]:
             curve = float(np.dot(ways[i], bent))
             if curve <= 0:  # flat along an unpenalised intercept
                 continue
+            tried[i].append((ways[i][state.own], bent[state.own]))
+            del tried[i][:-most]
             step = reach[i] / curve
             found[i] += step * ways[i]
             left[i] -= step * bent
             if np.linalg.norm(left[i]) <= goal[i]:
                 continue
-            scaled[i] = left[i] / state.diagonal
+            scaled[i] = state.preconditioned(left[i])
             new = float(np.dot(left[i], scaled[i]))
             ways[i] = scaled[i] + new / reach[i] * ways[i]
             reach[i] = new
             still.append(i)
         active = still
+    for state, pairs in zip(states, tried, strict=True):
+        state.learn(pairs, most)
     return found
 
 

@@ -96,3 +96,19 @@ def test_weights_as_models_of_the_engine(spark, tmp_path):
             expected = x @ s.weights + s.intercept
             assert [r[1][1] for r in found] == pytest.approx(expected.tolist())
             assert [r[0] for r in found] == (expected > 0).astype(float).tolist()
+
+
+def test_passes_grow_slowly_with_steps(spark):
+    """Features of very different frequency: what a step finds out helps the next ones."""
+    draw = np.random.default_rng(5)
+    often = 1.0 / np.arange(1, 301) ** 0.7
+    x = (draw.random((3000, 300)) < often) * (0.2 + draw.random((3000, 300)))
+    x /= np.maximum(1e-9, np.linalg.norm(x, axis=1, keepdims=True))
+    label = (x @ draw.normal(size=300) + 0.2 * draw.normal(size=3000) > 0).astype(int)
+    solved = fit_linear(frame_of(spark, x, label).cache(), [Problem(0, loss) for loss in LOSSES], 300)
+    for loss in LOSSES:
+        s = solved[Problem(0, loss)]
+        first = np.linalg.norm(gradient(loss, x, 2.0 * label - 1, np.zeros(300), 0.0))
+        assert np.linalg.norm(gradient(loss, x, 2.0 * label - 1, s.weights, s.intercept)) <= 1e-8 * max(1, first)
+    passes = {loss: solved[Problem(0, loss)].passes for loss in LOSSES}
+    assert passes["logistic"] <= 42 and passes["squared_hinge"] <= 60, passes  # 53 and 78 by the diagonal alone
