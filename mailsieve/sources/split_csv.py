@@ -145,7 +145,7 @@ def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     importable_by_workers(spark)
     lines = _lines(spark, path)
     states = written(_open_splits(lines), "csv-splits")
-    known = lines.join(states, _SPLIT, "left").select(
+    known = lines.join(F.broadcast(states), _SPLIT, "left").select(  # one row per split
         *_SPLIT,
         F.coalesce("open", F.raise_error(F.lit("the input was cut anew while it was read; read it again")).cast("boolean")).alias("open"),
         "odd", "value", "line",
