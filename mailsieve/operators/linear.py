@@ -89,18 +89,21 @@ def _lists(column: pa.Array, kind: type) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (label, at, x, scales) as blocks of arrays."""
+def _blocks(batches: Iterator[pa.RecordBatch], apart: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows (label, at, x, scales) as blocks of arrays; ``apart``: a block holds rows of the same runs."""
     for batch in batches:
         label = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int8)
         sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int32)
         at, x = _lists(batch.column(1), np.int32), _lists(batch.column(2), np.float64)
         scale = _lists(batch.column(3), np.float64).reshape(batch.num_rows, -1)
         ends = np.cumsum(sizes, dtype=np.int64)
+        unused = np.isnan(scale)
+        cuts = [*(np.flatnonzero((unused[1:] != unused[:-1]).any(axis=1)) + 1), batch.num_rows] if apart else [batch.num_rows]
         a = 0
         while a < batch.num_rows:
             first = ends[a] - sizes[a]
             b = max(a + 1, int(np.searchsorted(ends, first + _BLOCK_ENTRIES, "right")))
+            b = min(b, int(cuts[np.searchsorted(cuts, a, "right")]))
             part = slice(first, ends[b - 1])
             arrays = (label[a:b], scale[a:b], sizes[a:b], at[part], x[part])
             yield pa.RecordBatch.from_arrays(
@@ -114,10 +117,13 @@ def stored_blocks(rows: DataFrame) -> DataFrame:
     """Rows (label, at, x, scales) stored as blocks that the passes multiply as they are.
 
     ``scales`` holds a number per run: what the row is multiplied by there, null where the run
-    leaves it out. So a row that many runs share is stored, read and sent to Python once.
+    leaves it out. So a row that many runs share is stored, read and sent to Python once. Rows of
+    the same runs stand together, and a run skips the blocks that it leaves out.
     """
     importable_by_workers(rows.sparkSession)
-    packed = rows.select("label", "at", "x", "scales").mapInArrow(_blocks, _BLOCK)
+    chosen = rows.select("label", "at", "x", "scales")
+    together = chosen.sortWithinPartitions(F.transform("scales", lambda scale: scale.isNull()))
+    packed = together.mapInArrow(lambda batches: _blocks(batches, apart=True), _BLOCK)
     # Floats hardly shrink, and every pass would unpack them again.
     return written(packed, "solver-blocks", compression="uncompressed", **{"parquet.block.size": 1 << 25})
 
@@ -225,6 +231,8 @@ class _Evaluate:
         width = points.shape[1]
         for i, (kind, run) in enumerate(zip(self.losses, self.runs, strict=True)):
             used = rows.used[run]
+            if not used.any():
+                continue
             loss, first, second = _slopes(kind, rows.y * rows.times(points[i], run))
             rows.back(rows.y * first * used, run, sums[i, :width])
             rows.back(second * used, run, sums[i, width : 2 * width], power=2)
@@ -241,6 +249,8 @@ class _Curvature:
     def __call__(self, rows: _Rows, sums: np.ndarray) -> None:
         points, directions = self.shared.value
         for i, (kind, run) in enumerate(zip(self.losses, self.runs, strict=True)):
+            if not rows.used[run].any():
+                continue
             _, _, second = _slopes(kind, rows.y * rows.times(points[i], run))
             rows.back(second * rows.used[run] * rows.times(directions[i], run), run, sums[i])
 

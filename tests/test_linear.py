@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from mailsieve.operators import linear
 from mailsieve.operators.linear import LOSSES, Problem, fit_linear, margins, vector_rows
 from mailsieve.plans.training import LOSSES as LOSS_OF
 from mailsieve.plans.training import linear_model
@@ -112,3 +113,12 @@ def test_passes_grow_slowly_with_steps(spark):
         assert np.linalg.norm(gradient(loss, x, 2.0 * label - 1, s.weights, s.intercept)) <= 1e-8 * max(1, first)
     passes = {loss: solved[Problem(0, loss)].passes for loss in LOSSES}
     assert passes["logistic"] <= 42 and passes["squared_hinge"] <= 60, passes  # 53 and 78 by the diagonal alone
+
+
+def test_runs_skip_the_rows_they_leave_out(spark):
+    x, label = sparse_rows(7, n=300)
+    rows = frame_of(spark, x, label).withColumn("scales", F.array(*[F.when(F.col("row_no") % 3 != k, F.lit(1.0)) for k in range(3)]))
+    blocks = linear.stored_blocks(rows.coalesce(1)).toArrow().to_batches()
+    found = [linear._Rows(batch, i) for batch in blocks for i in range(batch.num_rows)]
+    assert sum(block.n for block in found) == 300 and len(found) == 3
+    assert all(used.all() or not used.any() for block in found for used in block.used)
