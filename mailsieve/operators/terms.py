@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml import Transformer
@@ -39,6 +41,11 @@ def _grams_sql(n: int) -> str:
     return f"zip_with({starts}, {ends}, (a, b) -> concat(a, ' ', b))"
 
 
+def _words_sql(text_col: str) -> str:
+    """The lower-cased words of a text, stop words among them."""
+    return f"regexp_extract_all(lower(coalesce({text_col}, '')), r'{P.WORD}', 0)"
+
+
 def term_stage(
     text_col: str = "text",
     output_col: str = "terms",
@@ -52,7 +59,7 @@ def term_stage(
     stop = stopword_list("english") if stopwords is None else stopwords
     # Entries that are not a single word, such as "don't", can never match one.
     listed = ", ".join(f"'{word}'" for word in stop if re.fullmatch(r"\w+", word))
-    words = f"regexp_extract_all(lower(coalesce({text_col}, '')), r'{P.WORD}', 0)"
+    words = _words_sql(text_col)
     if listed:
         words = f"filter({words}, word -> word NOT IN ({listed}))"
     low, high = ngram_range
@@ -147,11 +154,17 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets))
 
 
-def _only_buckets(frame: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame:
-    """Terms of the ``chosen`` buckets; their numbers become a bitmap of fixed length."""
+def _bitmap(chosen: DataFrame, buckets: int) -> np.ndarray:
+    """The numbers of the ``chosen`` buckets as bits of fixed length."""
     words = np.zeros(max(1, buckets // 64), np.uint64)
     numbers = chosen.select("bucket").toArrow()["bucket"].to_numpy()
     np.bitwise_or.at(words, numbers // 64, np.uint64(1) << (numbers % 64).astype(np.uint64))
+    return words
+
+
+def _only_buckets(frame: DataFrame, chosen: DataFrame, buckets: int) -> DataFrame:
+    """Terms of the ``chosen`` buckets."""
+    words = _bitmap(chosen, buckets)
     # One literal, folded to an array when the query is optimised.
     bitmap = F.split(F.lit(",".join(map(str, words.view(np.int64).tolist()))), ",").cast("array<bigint>")
 
@@ -176,7 +189,142 @@ def only_terms_of(frame: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> DataFrame:
-    """The ``max_features`` most frequent terms; ties go to the lower term.
+    """The ``max_features`` most frequent ``terms``; ties go to the lower term."""
+
+    def counts(chosen: DataFrame | None, buckets: int) -> DataFrame:
+        return term_counts(frame if chosen is None else _only_buckets(frame, chosen, buckets))
+
+    return _by_sketch(lambda buckets: _bucket_counts(frame, buckets), counts, max_features)
+
+
+def text_vocabulary(
+    frame: DataFrame,
+    text_col: str = "text",
+    max_features: int = settings.MAX_FEATURES,
+    ngram_range: Sequence[int] = settings.NGRAM_RANGE,
+    stopwords: Iterable[str] | None = None,
+) -> DataFrame:
+    """``vocabulary`` of the terms of texts, without making the terms.
+
+    Only the words leave the JVM. Runs of them are counted as runs of numbers, and only the
+    distinct ones of a batch that may get in become text.
+    """
+    importable_by_workers(frame.sparkSession)
+    words = frame.select(F.expr(_words_sql(text_col)).alias("words"))
+    stop = stopword_list("english") if stopwords is None else list(stopwords)
+    sizes = range(ngram_range[0], ngram_range[1] + 1)
+
+    def sketch(buckets: int) -> DataFrame:
+        work = partial(_sketch_of_words, sizes=sizes, stop=stop, buckets=buckets)
+        return words.mapInArrow(work, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+    def counts(chosen: DataFrame | None, buckets: int) -> DataFrame:
+        bits = None if chosen is None else _bitmap(chosen, buckets)
+        work = partial(_counts_of_words, sizes=sizes, stop=stop, buckets=buckets, bits=bits)
+        combined = words.mapInArrow(work, "term string, tf bigint, df bigint")
+        return combined.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+    return _by_sketch(sketch, counts, max_features)
+
+
+@dataclass(frozen=True)
+class _Words:
+    """The words of a batch of texts but for stop words: ``word`` is a place in ``distinct``."""
+
+    distinct: pa.Array
+    word: np.ndarray
+    text: np.ndarray
+
+    @classmethod
+    def of(cls, lists: pa.ListArray, stop: Sequence[str]) -> _Words:
+        coded = lists.flatten().dictionary_encode()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        common = pc.is_in(coded.dictionary, value_set=pa.array(stop, coded.dictionary.type))
+        left = ~common.to_numpy(zero_copy_only=False)[word]
+        text = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+        return cls(coded.dictionary, word[left], text[left])
+
+    def runs(self, n: int) -> np.ndarray:
+        """Where ``n`` words of one text begin."""
+        last = max(0, len(self.text) - n + 1)
+        return np.flatnonzero(self.text[:last] == self.text[n - 1 :])
+
+    def hashes(self) -> np.ndarray:
+        """A number for each word that is the same in every batch."""
+        return pd.util.hash_array(self.distinct.to_numpy(zero_copy_only=False), categorize=False)[self.word]
+
+    def numbers(self, runs: np.ndarray, n: int) -> np.ndarray:
+        """Equal numbers, from 0 without gaps, for equal runs."""
+        number = _numbered(self.word[runs])
+        for k in range(1, n):
+            number = _numbered(number << 32 | self.word[runs + k])
+        return number
+
+    def terms(self, runs: np.ndarray, n: int) -> pa.Array:
+        parts = [self.distinct.take(pa.array(self.word[runs + k])) for k in range(n)]
+        return pc.binary_join_element_wise(*parts, pa.scalar(" ", self.distinct.type)) if n > 1 else parts[0]
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    return pa.array(values).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _run_buckets(hashes: np.ndarray, runs: np.ndarray, n: int, buckets: int) -> np.ndarray:
+    mixed = hashes[runs]
+    for k in range(1, n):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[runs + k]
+    return ((mixed ^ mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _sketch_of_words(
+    batches: Iterator[pa.RecordBatch], sizes: Iterable[int], stop: Sequence[str], buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """Lists of words to the occurrences of their runs by hash bucket."""
+    total = np.zeros(buckets, np.int64)
+    for batch in batches:
+        words = _Words.of(batch.column(0), stop)
+        hashes = words.hashes()
+        for n in sizes:
+            total += np.bincount(_run_buckets(hashes, words.runs(n), n, buckets), minlength=buckets)
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["bucket", "n"])
+
+
+def _counts_of_words(
+    batches: Iterator[pa.RecordBatch], sizes: Iterable[int], stop: Sequence[str], buckets: int, bits: np.ndarray | None
+) -> Iterator[pa.RecordBatch]:
+    """Lists of words to the distinct runs of each batch, with occurrences and number of texts.
+
+    Runs whose bucket is not one of ``bits`` are left out.
+    """
+    chosen = None if bits is None else np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
+    for batch in batches:
+        words = _Words.of(batch.column(0), stop)
+        hashes = None if chosen is None else words.hashes()
+        for n in sizes:
+            runs = words.runs(n)
+            if chosen is not None:
+                runs = runs[chosen[_run_buckets(hashes, runs, n, buckets)]]
+            if not len(runs):
+                continue
+            number = words.numbers(runs, n)
+            tf = np.bincount(number)
+            # Equal numbers stand for equal terms of one text.
+            pairs = words.text[runs] * len(tf) + number
+            pairs.sort()
+            df = np.bincount(pairs[np.flatnonzero(np.diff(pairs, prepend=-1))] % len(tf), minlength=len(tf))
+            at = np.empty(len(tf), np.int64)
+            at[number] = runs
+            yield pa.RecordBatch.from_arrays([words.terms(at, n), pa.array(tf), pa.array(df)], ["term", "tf", "df"])
+
+
+def _by_sketch(
+    sketch_of: Callable[[int], DataFrame],
+    counts_of: Callable[[DataFrame | None, int], DataFrame],
+    max_features: int,
+) -> DataFrame:
+    """The most frequent terms, from counts by hash bucket and counts of the terms of some buckets.
 
     Most terms are far too rare to get in, and they are what a count by term would shuffle. So
     occurrences are counted by hash bucket first, into a fixed number of buckets: the count of a
@@ -185,14 +333,13 @@ def vocabulary(frame: DataFrame, max_features: int = settings.MAX_FEATURES) -> D
     the guess was right; otherwise it is lowered. The result never depends on it.
     """
     buckets = max(1 << 10, 1 << (16 * max_features - 1).bit_length())
-    sketch = written(_bucket_counts(frame, buckets), "term-sketch")
+    sketch = written(sketch_of(buckets), "term-sketch")
     wanted = 2 * max_features
     while True:
         # As many numbers as the vocabulary has terms, twice.
         top = sketch.orderBy(F.desc("n")).limit(wanted).agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("n")).first()
         guess = top["n"] if top["found"] == wanted else 1
-        some = frame if guess <= 1 else _only_buckets(frame, sketch.where(F.col("n") >= guess), buckets)
-        counts = written(term_counts(some), "term-counts")
+        counts = written(counts_of(None if guess <= 1 else sketch.where(F.col("n") >= guess), buckets), "term-counts")
         if guess <= 1 or counts.where(F.col("tf") >= guess).count() >= max_features:
             break
         wanted *= 8
@@ -261,7 +408,7 @@ def fit_tfidf(
     Only the vocabulary itself, at most ``max_features`` rows, comes to the driver.
     """
     stop = stopword_list("english") if stopwords is None else list(stopwords)
-    chosen = vocabulary(with_terms(frame, text_col, ngram_range, stop), max_features)
+    chosen = text_vocabulary(frame, text_col, max_features, ngram_range, stop)
     rows = chosen.select("term", "df").toPandas().sort_values("term")
     if rows.empty:
         raise ValueError("no terms found: the texts are empty or hold only stop words")

@@ -74,3 +74,35 @@ def test_no_known_term_is_dropped(spark, termed):
     assert terms.only_terms_of(termed, each).select("terms").collect() == termed.select("terms").collect()
     none = terms.only_terms_of(termed, each.limit(0)).select(F.sum(F.size("terms"))).first()[0]
     assert none == 0
+
+
+@pytest.mark.parametrize("ngram_range", [(1, 1), (1, 2), (2, 3), (1, 4)])
+@pytest.mark.parametrize("max_features", [1, 3, 7, 1000])
+def test_vocabulary_of_texts_is_that_of_their_terms(spark, ngram_range, max_features):
+    frame = spark.createDataFrame([(text,) for text in TEXTS], "text string").repartition(3)
+    stop = ["of", "the", "don't"]
+    termed = terms.with_terms(frame, ngram_range=ngram_range, stopwords=stop)
+    expected = terms.vocabulary(termed, max_features).select("term", "tf", "df").collect()
+    found = terms.text_vocabulary(frame, "text", max_features, ngram_range, stop)
+    assert found.select("term", "tf", "df").collect() == expected
+
+
+def test_vocabulary_of_texts_leaves_out_rare_terms_and_no_other(spark):
+    texts = [" ".join(["red fox"] * (i % 5 + 1) + [f"rare{i}x{j}" for j in range(300)]) for i in range(40)]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string").repartition(4)
+    expected = terms.vocabulary(terms.with_terms(frame), 3).select("term", "tf", "df").collect()
+    assert terms.text_vocabulary(frame, max_features=3).select("term", "tf", "df").collect() == expected
+
+
+def test_fitting_makes_no_terms_in_the_engine(spark, monkeypatch):
+    plans, true = [], terms.written
+    monkeypatch.setattr(terms, "written", lambda frame, name: plans.append(frame._jdf.queryExecution().toString()) or true(frame, name))
+    frame = spark.createDataFrame([(text,) for text in TEXTS], "text string")
+    assert terms.fit_tfidf(frame, stopwords=["of"]).terms
+    assert plans and not any("zip_with" in plan for plan in plans)
+
+
+def test_no_vocabulary_of_no_words(spark):
+    none = spark.createDataFrame([("",), (None,), ("a b",)], "text string")
+    assert terms.text_vocabulary(none).collect() == []
+    assert terms.text_vocabulary(none.limit(0)).collect() == []
