@@ -19,7 +19,7 @@ from pyspark.ml.feature import (
     SQLTransformer,
     VectorAssembler,
 )
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -277,6 +277,72 @@ def _run_buckets(hashes: np.ndarray, runs: np.ndarray, n: int, buckets: int) ->
     return ((mixed ^ mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
+class _Known:
+    """The terms of a vocabulary, by their number of words."""
+
+    def __init__(self, terms: Sequence[str]):
+        places: dict[int, list[int]] = {}
+        for place, term in enumerate(terms):
+            places.setdefault(term.count(" ") + 1, []).append(place)
+        self.by_size = {
+            n: (np.array(at), [pa.array(part) for part in zip(*(terms[place].split(" ") for place in at))])
+            for n, at in places.items()
+        }
+
+    def found(self, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+        """Text and place in the vocabulary of each occurrence of a known term."""
+        texts, found = [], []
+        for n, (places, parts) in self.by_size.items():
+            # The same words by their numbers in this batch.
+            numbers = [pc.fill_null(pc.index_in(part, value_set=words.distinct), -1).to_numpy(zero_copy_only=False).astype(np.int64) for part in parts]
+            here = np.logical_and.reduce([number >= 0 for number in numbers])
+            numbers, runs = [number[here] for number in numbers], words.runs(n)
+            for k, number in enumerate(numbers):
+                may = np.zeros(len(words.distinct), bool)
+                may[number] = True
+                runs = runs[may[words.word[runs + k]]]
+            known, seen = numbers[0], words.word[runs]
+            # Beginnings of terms are numbered anew with every word more.
+            for k in range(1, n):
+                beginnings, known = np.unique(known << 32 | numbers[k], return_inverse=True)
+                seen = seen << 32 | words.word[runs + k]
+                at = np.minimum(np.searchsorted(beginnings, seen), max(0, len(beginnings) - 1))
+                same = beginnings[at] == seen
+                runs, seen = runs[same], at[same]
+            place = np.zeros(known.max(initial=-1) + 1, np.int64)
+            place[known] = places[here]
+            texts.append(words.text[runs])
+            found.append(place[seen])
+        return np.concatenate(texts), np.concatenate(found)
+
+
+def _vectors_of_words(
+    batches: Iterator[pa.Array], terms: Sequence[str], idf: Sequence[float], stop: Sequence[str]
+) -> Iterator[pa.Array]:
+    """Lists of words to unit-length TF-IDF vectors."""
+    known, weight, size = _Known(terms), np.array(idf), len(terms)
+    for lists in batches:
+        text, place = known.found(_Words.of(lists, stop))
+        # Equal numbers stand for equal terms of one text.
+        pairs = text * size + place
+        pairs.sort()
+        firsts = np.flatnonzero(np.diff(pairs, prepend=-1))
+        text, place = np.divmod(pairs[firsts], size)
+        values = np.diff(firsts, append=len(pairs)) * weight[place]
+        # Added one by one in the order of places, as Spark does.
+        length = np.sqrt(np.bincount(text, weights=values * values, minlength=len(lists)))
+        ends = pa.array(np.searchsorted(text, np.arange(len(lists) + 1)).astype(np.int32))
+        yield pa.StructArray.from_arrays(
+            [
+                pa.array(np.zeros(len(lists), np.int8)),
+                pa.array(np.full(len(lists), size, np.int32)),
+                pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
+                pa.ListArray.from_arrays(ends, pa.array(values / length[text])),
+            ],
+            ["type", "size", "indices", "values"],
+        )
+
+
 def _sketch_of_words(
     batches: Iterator[pa.RecordBatch], sizes: Iterable[int], stop: Sequence[str], buckets: int
 ) -> Iterator[pa.RecordBatch]:
@@ -374,7 +440,10 @@ class TfidfModel:
     stopwords: list[str]
 
     def stages(self, text_col: str = "text", output_col: str = "tfidf") -> list[Transformer]:
-        """Spark ML stages from text to a unit-length TF-IDF vector; no shuffle."""
+        """Spark ML stages from text to a unit-length TF-IDF vector; no shuffle.
+
+        They can be stored with a model. ``transform`` gives the same vectors with less work.
+        """
         split = term_stage(text_col, "_terms", self.ngram_range, self.stopwords)
         counted = CountVectorizerModel.from_vocabulary(
             self.terms, inputCol="_terms", outputCol="_counts"
@@ -391,9 +460,17 @@ class TfidfModel:
     def transform(
         self, frame: DataFrame, text_col: str = "text", output_col: str = "tfidf"
     ) -> DataFrame:
-        for stage in self.stages(text_col, output_col):
-            frame = stage.transform(frame)
-        return frame
+        """The vectors that ``stages`` make, bit by bit, with only the words leaving the JVM."""
+        importable_by_workers(frame.sparkSession)
+        work = partial(_vectors_of_words, terms=self.terms, idf=self.idf, stop=self.stopwords)
+
+        def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            return work(batches)
+
+        vector = F.arrow_udf(vectors, VectorUDT())(F.expr(_words_sql(text_col)))
+        # The size is known to what comes next, as it is after the stages.
+        size = {"ml_attr": {"num_attrs": len(self.terms)}}
+        return frame.withColumn(output_col, vector.alias(output_col, metadata=size))
 
 
 def fit_tfidf(

@@ -106,3 +106,25 @@ def test_no_vocabulary_of_no_words(spark):
     none = spark.createDataFrame([("",), (None,), ("a b",)], "text string")
     assert terms.text_vocabulary(none).collect() == []
     assert terms.text_vocabulary(none.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("ngram_range", [(1, 1), (1, 2), (2, 3), (1, 4)])
+@pytest.mark.parametrize("max_features", [1, 9, 1000])
+def test_vectors_are_those_of_the_stages_bit_by_bit(spark, ngram_range, max_features):
+    texts = [*TEXTS, "red " * 7 + "fox dog", "dog fox red dog fox", "nothing known here"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    model = terms.fit_tfidf(frame.where("doc_id <> 10"), "text", max_features, ngram_range, ["of", "the"])
+    expected = frame
+    for stage in model.stages():
+        expected = stage.transform(expected)
+    found = model.transform(frame)
+    assert found.columns == expected.columns
+    assert sorted(found.collect()) == sorted(expected.collect())
+    assert found.schema["tfidf"].metadata["ml_attr"]["num_attrs"] == len(model.terms)
+
+
+def test_vectors_need_no_terms_in_the_engine(spark):
+    frame = spark.createDataFrame([(text,) for text in TEXTS], "text string")
+    model = terms.fit_tfidf(frame, stopwords=["of"])
+    plan = model.transform(frame)._jdf.queryExecution().toString()
+    assert "zip_with" not in plan
