@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVCModel, LogisticRegressionModel, NaiveBayes
 from pyspark.ml.common import _py2java
 from pyspark.ml.linalg import Vectors
@@ -19,7 +19,7 @@ from mailsieve.functions.text import with_clean_text
 from mailsieve.operators.evaluation import compare_models, long_predictions, model_metrics
 from mailsieve.operators.linear import Problem, fit_linear, vector_rows
 from mailsieve.operators.sampling import capped_sample, stratified_split
-from mailsieve.operators.terms import combine_features, fit_tfidf, manual_feature_stage
+from mailsieve.operators.terms import TfidfModel, combine_features, fit_tfidf, manual_feature_stage
 from mailsieve.schema import ROW_KEY
 from mailsieve.session import side_by_side, written
 from mailsieve.sources.readers import training_rows
@@ -110,6 +110,21 @@ class Training:
         return self.models[self.best_name]
 
 
+class TextFeatures(PipelineModel):
+    """The stages of the text features. Read back from a store, they are a pipeline like any other.
+
+    Its own ``transform`` makes the same TF-IDF vectors in Arrow batches.
+    """
+
+    def __init__(self, tfidf: TfidfModel, text_col: str, tfidf_col: str, others: Sequence[Transformer] = ()):
+        super().__init__([*tfidf.stages(text_col, tfidf_col), *others])
+        self._vectors = lambda frame: tfidf.transform(frame, text_col, tfidf_col)
+        self._others = PipelineModel(list(others))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self._others.transform(self._vectors(dataset))
+
+
 def feature_model(
     train: DataFrame,
     text_col: str,
@@ -120,10 +135,8 @@ def feature_model(
     """Fit the text features: TF-IDF, optionally with the hand-made ones beside it."""
     tfidf = fit_tfidf(train, text_col, max_features, ngram_range)
     if not with_manual:
-        return PipelineModel(tfidf.stages(text_col, "features"))
-    return PipelineModel(
-        [*tfidf.stages(text_col, "tfidf"), manual_feature_stage(text_col), combine_features()]
-    )
+        return TextFeatures(tfidf, text_col, "features")
+    return TextFeatures(tfidf, text_col, "tfidf", [manual_feature_stage(text_col), combine_features()])
 
 
 def require_two_classes(frame: DataFrame) -> dict[int, int]:

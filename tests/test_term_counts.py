@@ -128,3 +128,20 @@ def test_vectors_need_no_terms_in_the_engine(spark):
     model = terms.fit_tfidf(frame, stopwords=["of"])
     plan = model.transform(frame)._jdf.queryExecution().toString()
     assert "zip_with" not in plan
+
+
+@pytest.mark.parametrize("with_manual", [False, True])
+def test_text_features_are_those_of_their_stages(spark, tmp_path, with_manual):
+    from pyspark.ml import PipelineModel
+
+    from mailsieve.plans.training import feature_model
+
+    frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, text string").repartition(3)
+    model = feature_model(frame, "text", with_manual=with_manual)
+    found = model.transform(frame)
+    assert "zip_with" not in found._jdf.queryExecution().toString()
+    model.write().save(str(tmp_path / "features"))
+    for plain in (PipelineModel(model.stages), PipelineModel.load(str(tmp_path / "features"))):
+        expected = plain.transform(frame)
+        assert found.columns == expected.columns
+        assert sorted(found.collect()) == sorted(expected.collect())
