@@ -33,6 +33,7 @@ EMAIL = (
 )
 DIGITS = r"\p{Nd}+"
 NOT_LETTERS = r"[^a-z]+"
+LETTERS = r"[a-z]+"
 URL_MARK = r"https?://|www\."
 UPPERCASE_RUN = r"\p{IsUppercase}+"
 

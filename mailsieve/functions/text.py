@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import partial
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
@@ -84,6 +85,12 @@ def _drop_words(text: Column, words: list[str]) -> Column:
     return F.array_join(kept, " ")
 
 
+def kept_letter_words(value: Column, words: list[str]) -> Column:
+    """``letters_only`` without the stop words: runs of a-z are taken out, not all else replaced."""
+    runs = F.regexp_extract_all(F.lower(as_text(value)), F.lit(P.LETTERS), F.lit(0))
+    return F.array_join(F.filter(runs, lambda word: ~word.isin(words)), " ")
+
+
 def without_stopwords(value: Column, words: Iterable[str] | None = None) -> Column:
     """Words between white space of any kind, without the stop words, one blank apart."""
     blanks = F.translate(as_text(value), P.WHITESPACE, " " * len(P.WHITESPACE))
@@ -129,8 +136,8 @@ def with_clean_text(
     stopwords: Iterable[str] | None = None,
 ) -> DataFrame:
     """Add the cleaned text: no markup, entity tokens, letters only, no stop words."""
-    steps = [*MARKUP_STEPS, *TOKEN_STEPS, letters_only]
+    last = letters_only
     if remove_common_words:
         words = list(P.SHORT_STOPWORDS if stopwords is None else stopwords)
-        steps.append(lambda text: _drop_words(text, words))
-    return with_steps(frame, text_col, output_col, steps)
+        last = partial(kept_letter_words, words=words)
+    return with_steps(frame, text_col, output_col, [*MARKUP_STEPS, *TOKEN_STEPS, last])

@@ -682,7 +682,7 @@ def naive_bayes_model(spark, folder) -> PipelineModel:
     rows = balanced(spark, folder).select("label", "text")
     rows = written(text.with_clean_text(rows, "text", "text"), "model-rows")
     model = terms.fit_tfidf(rows, max_features=settings.MAX_FEATURES, stopwords=[])
-    features = PipelineModel(model.stages("text", "features"))
+    features = training.TextFeatures(model, "text", "features")
     vectors = features.transform(rows).select("label", "features")
     fitted = training.naive_bayes().fit(vectors)
     return PipelineModel([*features.stages, fitted])

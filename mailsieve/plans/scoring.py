@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from mailsieve.functions.labels import display_name
 from mailsieve.functions.numeric import round_half_even, sigmoid
 from mailsieve.functions.text import with_clean_text
+from mailsieve.operators.terms import TFIDF_STAGES, TfidfModel
 from mailsieve.sources.readers import read_text_files, texts_to_frame
 
 #: Sample messages for a quick look at a model; no result depends on them.
@@ -28,6 +29,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def transformed(model: PipelineModel, frame: DataFrame) -> DataFrame:
+    """What the stages make of ``frame``; the TF-IDF stages, where it begins with them, in Arrow batches."""
+    first = len(TFIDF_STAGES)
+    found = TfidfModel.of_stages(model.stages[:first])
+    if found is None:
+        return model.transform(frame)
+    tfidf, text_col, output_col = found
+    return PipelineModel(model.stages[first:]).transform(tfidf.transform(frame, text_col, output_col))
+
+
 def spam_score(model: PipelineModel) -> Column:
     """Probability of spam; the squashed margin where a model has no probability."""
     last = model.stages[-1]
@@ -44,7 +55,7 @@ def score_texts(
     """Clean and score every row. Works the same on a table and on a stream."""
     # The model's stages read a column called "text".
     texts = frame.select(*keep, F.col(text_col).alias("text"))
-    scored = model.transform(with_clean_text(texts, "text", "text"))
+    scored = transformed(model, with_clean_text(texts, "text", "text"))
     label = F.col(model.stages[-1].getOrDefault("predictionCol")).cast("int")
     return scored.select(
         *keep,
