@@ -430,16 +430,6 @@ def most_frequent(counts: DataFrame, max_features: int) -> DataFrame:
     return frequent.orderBy(F.desc("tf"), "term").limit(max_features)
 
 
-#: Kinds of the stages of a ``TfidfModel``.
-TFIDF_STAGES = [SQLTransformer, CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer]
-
-
-def _same_settings(one: Transformer, other: Transformer) -> bool:
-    """Whether two stages of one kind do the same."""
-    settings_of = [{p.name: stage.getOrDefault(p) for p in stage.params if stage.isDefined(p)} for stage in (one, other)]
-    return settings_of[0] == settings_of[1]
-
-
 @dataclass(frozen=True)
 class TfidfModel:
     """A fitted vocabulary: terms in order, and their inverse document frequency."""
@@ -467,22 +457,6 @@ class TfidfModel:
         )
         return [split, counted, weighted, unit, tidy]
 
-    @classmethod
-    def of_stages(cls, stages: Sequence[Transformer]) -> tuple[TfidfModel, str, str] | None:
-        """The model, text and output column of ``stages``, stored or not; None if they are others."""
-        if [type(stage) for stage in stages] != TFIDF_STAGES:
-            return None
-        split, counted, weighted, unit, _ = stages
-        statement, output_col = split.getStatement(), unit.getOutputCol()
-        text_col = re.search(r"coalesce\((\w+), ''\)", statement)
-        listed = re.search(r"word NOT IN \(([^)]*)\)", statement)
-        stop = re.findall(r"'(\w+)'", listed[1]) if listed else []
-        for low, high in ((low, high) for high in range(1, 6) for low in range(1, high + 1)):
-            model = cls(list(counted.vocabulary), weighted.getScalingVec().toArray().tolist(), (low, high), stop)
-            if text_col and all(map(_same_settings, stages, model.stages(text_col[1], output_col))):
-                return model, text_col[1], output_col
-        return None
-
     def transform(
         self, frame: DataFrame, text_col: str = "text", output_col: str = "tfidf"
     ) -> DataFrame:
